@@ -57,36 +57,36 @@ def facts(spark: SparkSession, sf_dir: str, flow: str, *lookups: str) -> DataFra
     """One flow with the `lookups` asked for: co_pais, sigla_uf_ncm, co_via.
 
     Goods go from the supplier's state to the customer's country when exported, and from the
-    supplier's country to the customer's state when imported.
+    supplier's country to the customer's state when imported. The fact columns are computed
+    before the lookups, so a filter on products passes below them to the scan.
     """
-    rows = _lines(spark, sf_dir).filter(F.col("l_linestatus") == STATUS[flow])
+    columns = _fact_columns()
+    rows = _lines(spark, sf_dir).filter(F.col("l_linestatus") == STATUS[flow]).select(
+        "l_orderkey", "l_suppkey", *[c.alias(n) for n, c in columns.items()]
+    )
     customer_role, supplier_role = (
         ("co_pais", "sigla_uf_ncm") if flow == EXPORT else ("sigla_uf_ncm", "co_pais")
     )
-    columns = _fact_columns()
     if customer_role in lookups or "co_via" in lookups:
         orders = read(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"
+            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderpriority").alias("co_via")
         )
         rows = rows.join(orders, "l_orderkey", "left")
-        columns["co_via"] = F.col("o_orderpriority")
     if customer_role in lookups:
         customers = read(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("o_custkey"), "c_nationkey"
+            F.col("c_custkey").alias("o_custkey"), _role_code(customer_role, F.col("c_nationkey"))
         )
         rows = rows.join(customers, "o_custkey", "left")
-        columns[customer_role] = _role_code(customer_role, F.col("c_nationkey"))
     if supplier_role in lookups:
         suppliers = read(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
+            F.col("s_suppkey").alias("l_suppkey"), _role_code(supplier_role, F.col("s_nationkey"))
         )
         rows = rows.join(suppliers, "l_suppkey", "left")
-        columns[supplier_role] = _role_code(supplier_role, F.col("s_nationkey"))
-    return rows.select(*[c.alias(n) for n, c in columns.items()])
+    return rows.select(*columns, *lookups)
 
 
 def _role_code(role: str, nation: Column) -> Column:
-    return code(nation, 3) if role == "co_pais" else state_code(nation)
+    return (code(nation, 3) if role == "co_pais" else state_code(nation)).alias(role)
 
 
 def trade_with(spark: SparkSession, sf_dir: str, *lookups: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from aduana.functions.typing import parsed
-from aduana.operators.lineage import LINEAGE, LOADED_AT
+from aduana.operators.lineage import LINEAGE
 from aduana.operators.spec import TableSpec
 
 TYPED_AT = "_silver_insert_ts"
@@ -47,5 +47,3 @@ def name_columns(df: DataFrame, names: list[str] | None) -> DataFrame:
         return df
     return df.toDF(*names)
 
-
-__all__ = ["LOADED_AT", "TYPED_AT", "all_text", "apply_spec", "missing_columns", "name_columns"]

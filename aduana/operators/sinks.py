@@ -1,8 +1,15 @@
-"""Writing and registering tables."""
+"""Writing and registering tables.
+
+Files are always written to a folder of their own first and the catalog entry is pointed at them
+afterwards, so a failed write never takes an existing table with it.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -27,7 +34,11 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows.first()["data_type"]
 
 
-def _spread(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+def snapshot_path(path: str) -> str:
+    return f"{path.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     """Gather rows of a table partition into few files and split partitions that are too large.
 
     The rebalance hint lets adaptive execution cut a hot partition by size, so one state or
@@ -36,8 +47,15 @@ def _spread(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def write_files(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "error") -> None:
+    writer = spread(df, partition_by).write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
 def append_files(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    _spread(df, partition_by).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
+    write_files(df, path, partition_by, mode="append")
 
 
 def read_widened(spark: SparkSession, path: str) -> DataFrame:
@@ -45,41 +63,74 @@ def read_widened(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _column_ddl(schema: StructType) -> str:
+    def one(field) -> str:
+        comment = field.metadata.get("comment")
+        note = f" COMMENT '{comment}'" if comment else ""
+        return f"`{field.name}` {field.dataType.simpleString()}{note}"
+
+    return ", ".join(one(f) for f in schema.fields)
+
+
+def register(
+    spark: SparkSession, name: str, schema: StructType, location: str, partition_by: list[str] | None = None
+) -> None:
+    """Catalog entry for Parquet files that are already there."""
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({_column_ddl(schema)}) USING parquet{parts} LOCATION '{location}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+
+
 def create_table(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
 ) -> None:
-    writer = _spread(df, partition_by).write.mode("overwrite").format("parquet").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    location = snapshot_path(path)
+    write_files(df, location, partition_by)
+    register(spark, name, df.schema, location, partition_by)
 
 
 def save_table(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
 ) -> None:
-    """Overwrite a whole table, schema included, and register it."""
-    create_table(spark, df, name, path, partition_by)
+    """Replace a whole table, schema included. Earlier snapshots stay on disk."""
+    location = snapshot_path(path)
+    write_files(df, location, partition_by)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    register(spark, name, df.schema, location, partition_by)
+
+
+def move_table(spark: SparkSession, name: str, location: str) -> None:
+    """Point an unpartitioned table at other files of the same schema."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
 
 
+def add_new_columns(spark: SparkSession, name: str, schema: StructType) -> None:
+    known = {c.lower() for c in columns_of(spark, name)}
+    added = StructType([f for f in schema.fields if f.name.lower() not in known])
+    if added.fields:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_column_ddl(added)})")
+
+
 def create_or_append(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
 ) -> str:
-    """First write creates the table with its partitioning, later writes append to it."""
+    """First write creates the table with its partitioning; later writes append, and columns the
+    table does not have yet are added to it."""
     if not table_exists(spark, name):
         create_table(spark, df, name, path, partition_by)
         return "created"
-    added = [f for f in df.schema.fields if f.name not in columns_of(spark, name)]
-    if added:
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
+    add_new_columns(spark, name, df.schema)
     empty = spark.table(name).limit(0)
-    rows = empty.unionByName(df, allowMissingColumns=True)
-    _spread(rows.select(*empty.columns), partition_by).write.insertInto(name)
+    rows = empty.unionByName(df, allowMissingColumns=True).select(*empty.columns)
+    spread(rows, partition_by).write.insertInto(name)
     return "appended"
 
 
-def create_empty(spark: SparkSession, name: str, path: str, schema: str, partition_by: list[str] | None = None) -> None:
+def create_empty(
+    spark: SparkSession, name: str, path: str, schema: str, partition_by: list[str] | None = None
+) -> None:
     """Empty table with a typed schema (a DDL string, comments allowed); kept when it exists."""
     if not table_exists(spark, name):
         create_table(spark, spark.createDataFrame([], schema), name, path, partition_by)

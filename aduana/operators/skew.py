@@ -8,19 +8,15 @@ _SALT = "_salt"
 _HOT = "_hot"
 
 
-def hot_keys(df: DataFrame, key: str, share: float, sample: float | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys that hold at least `share` of the rows: at most 1 / share of them.
 
-    `sample` lets the count read part of the key column; the answer only steers the salting, no
-    result row depends on it.
+    Reads the key column only. The limit cuts nothing; it states the bound for the planner.
     """
-    rows = df.select(key).filter(F.col(key).isNotNull())
-    if sample is not None:
-        rows = rows.sample(sample, seed=7)
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).select(F.col("n") * F.lit(share))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
     return (
-        counts.filter(F.col("n") >= total.scalar())
+        counts.filter(F.col("n") >= total * F.lit(share))
         .orderBy(F.desc("n"), key)
         .limit(int(1 / share) + 1)
         .select(key)
@@ -28,25 +24,20 @@ def hot_keys(df: DataFrame, key: str, share: float, sample: float | None = None)
 
 
 def salted_left_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    salts: int = 64,
-    share: float = 0.001,
-    sample: float | None = None,
+    facts: DataFrame, lookup: DataFrame, key: str, salts: int = 64, share: float = 0.001
 ) -> DataFrame:
     """Left join on `key` where a few keys may hold most of `facts`.
 
-    Rows of a hot key are spread over `salts` partitions and only the lookup rows of hot keys are
-    repeated, so no task sees a whole hot key and cold keys cost what they always cost. The hot
-    list has at most 1 / share + 1 rows, which is what bounds its broadcast.
+    Rows of a hot key, and rows without a key, are spread over `salts` partitions; only the lookup
+    rows of hot keys are repeated. So no task sees a whole hot key and cold keys cost what they
+    always cost. The hot list has at most 1 / share + 1 rows, which bounds its broadcast.
     """
-    hot = F.broadcast(hot_keys(facts, key, share, sample).withColumn(_HOT, F.lit(True)))
+    hot = F.broadcast(hot_keys(facts, key, share).withColumn(_HOT, F.lit(True)))
     payload = [c for c in facts.columns if c != key]
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in payload]), F.lit(salts)).cast("int")
 
     salted_facts = facts.join(hot, key, "left").withColumn(
-        _SALT, F.when(F.col(_HOT), spread).otherwise(F.lit(0))
+        _SALT, F.when(F.col(_HOT) | F.col(key).isNull(), spread).otherwise(F.lit(0))
     ).drop(_HOT)
     copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)

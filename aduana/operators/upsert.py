@@ -14,7 +14,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aduana.operators.dedup import latest_by_key
-from aduana.operators.sinks import columns_of, create_table, table_location
+from aduana.operators.sinks import (
+    add_new_columns,
+    columns_of,
+    create_table,
+    move_table,
+    snapshot_path,
+    spread,
+    table_exists,
+    write_files,
+)
 from aduana.session import fresh_path
 
 
@@ -90,6 +99,13 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replace_rows(spark: SparkSession, name: str, rows: DataFrame, path: str) -> None:
+    """New snapshot of an unpartitioned table; `rows` may read from the table itself."""
+    location = snapshot_path(path)
+    write_files(rows.select(*columns_of(spark, name)), location)
+    move_table(spark, name, location)
+
+
 def replace_partitions(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Swap in whole partitions from `rows`, which must not read from the table itself.
 
@@ -110,14 +126,6 @@ def _drop_partitions(spark: SparkSession, name: str, gone: DataFrame) -> None:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
 
 
-def _add_new_columns(spark: SparkSession, name: str, source: DataFrame) -> None:
-    known = {c.lower() for c in columns_of(spark, name)}
-    added = [f for f in source.schema.fields if f.name.lower() not in known]
-    if added:
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
-
-
 def upsert_table(
     spark: SparkSession,
     name: str,
@@ -133,18 +141,14 @@ def upsert_table(
     `source` holds one row per key and should be cheap to read again (see `staged`): the
     partitioned path uses it to find the partitions as well as the rows.
     """
-    partition_by = partition_by or []
-    if not spark.catalog.tableExists(name):
-        create_table(spark, source, name, f"{path}/{_snapshot()}", partition_by)
+    if not table_exists(spark, name):
+        create_table(spark, source, name, path, partition_by)
         return "created"
 
-    _add_new_columns(spark, name, source)
+    add_new_columns(spark, name, source.schema)
     target = spark.table(name)
     if not partition_by:
-        snapshot = f"{path}/{_snapshot()}"
-        merged(target, source, keys, null_safe, newer_by).select(*target.columns).write.parquet(snapshot)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{snapshot}'")
-        spark.catalog.refreshTable(name)
+        replace_rows(spark, name, merged(target, source, keys, null_safe, newer_by), path)
         return "updated"
 
     touched = source.select(*partition_by).distinct()
@@ -158,21 +162,11 @@ def upsert_table(
     old = target.alias("t").join(
         touched.alias("p"), _matches("t", "p", partition_by, True), "left_semi"
     )
-    rebuilt = merged(old, source, keys, null_safe, newer_by).hint("rebalance", *partition_by)
-    rebuilt = staged(spark, rebuilt, "partitions")
+    rebuilt = staged(spark, spread(merged(old, source, keys, null_safe, newer_by), partition_by), "partitions")
 
     left = rebuilt.select(*partition_by).distinct()
     gone = touched.alias("p").join(left.alias("r"), _matches("p", "r", partition_by, True), "left_anti")
     _drop_partitions(spark, name, gone)
-    replace_partitions(spark, name, rebuilt.hint("rebalance", *partition_by))
+    replace_partitions(spark, name, spread(rebuilt, partition_by))
     spark.catalog.refreshTable(name)
     return "updated"
-
-
-def _snapshot() -> str:
-    import uuid
-
-    return f"snapshot-{uuid.uuid4().hex}"
-
-
-__all__ = ["accumulated", "merged", "replace_partitions", "staged", "table_location", "upsert_table"]

@@ -242,9 +242,7 @@ def class_age(fact: DataFrame, classes: DataFrame, digits: int = 2) -> DataFrame
     )
 
 
-def company_dim(
-    sites: DataFrame, companies: DataFrame, cities: DataFrame, sample: float | None = None
-) -> DataFrame:
+def company_dim(sites: DataFrame, companies: DataFrame, cities: DataFrame) -> DataFrame:
     """Every site with its company and city. Row by row, so nothing can be summed beforehand:
     the company lookup spreads companies that hold very many sites."""
     company = companies.select("cnpj_basico", "razao_social", "porte_empresa", "capital_social")
@@ -255,7 +253,7 @@ def company_dim(
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "cnae_fiscal_principal", "uf",
         "municipio", "situacao_cadastral", "data_inicio_atividade",
     )
-    rows = salted_left_join(site, company, "cnpj_basico", sample=sample)
+    rows = salted_left_join(site, company, "cnpj_basico")
     return rows.join(city, F.col("municipio") == F.col("_municipio"), "left").select(
         "cnpj_basico",
         "cnpj_ordem",

@@ -1,8 +1,8 @@
 """Trade of the top products by country, bloc, state and transport route.
 
-Every report keeps only the top products first and adds names last. `top` has at most as many
-rows as products were asked for, which is what makes its broadcast safe; the name tables carry no
-hint, so Spark broadcasts them only when they are small and shuffles the aggregate otherwise.
+Every report keeps only the top products first and adds names last. No join here carries a
+broadcast hint: the computed top list brings its own, as its length is fixed, and Spark
+broadcasts any other list or name table only when it knows it to be small.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ OPERATION = {EXPORT: "EXPORTACAO", IMPORT: "IMPORTACAO"}
 
 
 def only_top(facts: DataFrame, top: DataFrame) -> DataFrame:
-    """Facts of the chosen products; `top` must be bounded by a limit or an inline list."""
-    codes = top.select(F.col("CO_NCM").alias("co_ncm"))
-    return facts.join(F.broadcast(codes), "co_ncm", "left_semi")
+    """Facts of the chosen products."""
+    return facts.join(top.select(F.col("CO_NCM").alias("co_ncm")), "co_ncm", "left_semi")
 
 
 def country_trade(

@@ -6,6 +6,8 @@ kg_liquido and whatever else a report needs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aduana.functions.measures import month_start, percent, percent_change, ratio
@@ -42,11 +44,17 @@ def yearly_totals(trade: DataFrame) -> DataFrame:
     )
 
 
-def _share(rows: DataFrame, value: str, within: list[str] | None) -> Column:
-    """Percent of the total: one scalar for the whole, a small window when taken within groups."""
+def _total_of(rows: DataFrame, within: list[str] | None) -> Callable[[str], Column]:
+    """Total of a column: a small window within groups, else a field of one scalar subquery.
+
+    The subquery adds up every measure, used or not, so that it asks for the very aggregate the
+    report itself needs and Spark computes that once.
+    """
     if within:
-        return percent(value, F.sum(value).over(Window.partitionBy(*within)))
-    return percent(value, rows.agg(F.sum(value)).scalar())
+        return lambda value: F.sum(value).over(Window.partitionBy(*within))
+    measures = [c for c in rows.columns if c not in ("ANO", "no_fat_agreg")]
+    totals = rows.agg(F.struct(*[F.sum(c).alias(c) for c in measures])).scalar()
+    return lambda value: totals.getField(value)
 
 
 def factor_share(
@@ -77,9 +85,10 @@ def factor_share(
         )
     )
     label = F.trim(F.regexp_replace("no_fat_agreg", "PRODUTOS", ""))
+    total = _total_of(per_factor, within)
     return (
-        per_factor.withColumn("PERC_TOTAL_EXP", _share(per_factor, "VL_FOB_EXP", within))
-        .withColumn("PERC_TOTAL_IMP", _share(per_factor, "VL_FOB_IMP", within))
+        per_factor.withColumn("PERC_TOTAL_EXP", percent("VL_FOB_EXP", total("VL_FOB_EXP")))
+        .withColumn("PERC_TOTAL_IMP", percent("VL_FOB_IMP", total("VL_FOB_IMP")))
         .filter((F.col("ne") > 0) & (F.col("ni") > 0))
         .select(
             "ANO", label.alias("NO_FAT_AGREG"), "VL_FOB_EXP", "PERC_TOTAL_EXP", "VL_FOB_IMP", "PERC_TOTAL_IMP"

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from aduana.operators.lineage import LOAD_DATE, with_lineage
+from aduana.operators.sinks import ensure_database
 from aduana.sources.delimited import HEADERED
 
 # File name pattern of each fact table.
@@ -54,13 +55,16 @@ def append_once(
 
 
 def ingest_facts(
-    spark: SparkSession, folder: str, table: str, schema: StructType, base_path: str
-) -> str:
-    """Load the new files of one fact table into its raw folder; returns that folder."""
+    spark: SparkSession, folder: str, table: str, schema: StructType, database: str, base_path: str
+) -> None:
+    """Load the new files of one fact table into the raw table `database.table`."""
     path = f"{base_path}/{table}"
     stream = with_lineage(file_stream(spark, folder, FACT_FILES[table], schema))
     append_once(stream, path, f"{base_path}/_checkpoint/{table}", [LOAD_DATE])
-    return path
+    # The sink's own log lists the committed files, so the entry needs no partition upkeep.
+    ensure_database(spark, database)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{path}'")
+    spark.catalog.refreshTable(f"{database}.{table}")
 
 
 def apply_batches(
