@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from aduana.operators.flows import EXPORT, FLOW, IMPORT, tag_flows
 from aduana.sources.bridge import bridge_pairs, distinct_pairs, keyed_pairs
@@ -18,8 +19,15 @@ AS_OF = dt.date(2002, 1, 1)
 STATUS = {EXPORT: "O", IMPORT: "F"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its schema is read from the file footers once per process, not once per use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def code(c: str | Column, width: int) -> Column:
@@ -42,7 +50,7 @@ def _fact_columns() -> dict[str, Column]:
         "co_ncm": code("l_partkey", 8),
         "co_urf": F.col("l_returnflag"),
         "kg_liquido": F.col("l_quantity").cast("bigint"),
-        "vl_fob": F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+        "vl_fob": F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint"),
     }
 
 
@@ -202,9 +210,9 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _activity(order_key: Column) -> Column:
     """Seven-digit activity of a site, written as a number: leading zeros are lost."""
-    index = (order_key % 50).cast("int")
-    seven = F.concat(_class_code(index % 25), code(F.floor(index / 25) + 1, 2))
-    return seven.cast("int").cast("string")
+    index = order_key % 50
+    five = F.lit(1113) + (index % 25) * 3877
+    return (five * 100 + F.when(index < 25, 1).otherwise(2)).cast("string")
 
 
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ AS_OF = "DATE '2002-01-01'"
 
 def half_up(x: str, digits: int) -> str:
     """Round a double half up the way Spark does, on its decimal digits."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def div(a: str, b: str) -> str:
@@ -255,6 +255,28 @@ _UPSERTED = f"""
 
 _CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
+_ORDERS_TYPED = """
+    SELECT o_orderkey AS pedido, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS cliente,
+           o_orderstatus AS situacao, o_orderpriority AS prioridade,
+           CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice END AS valor,
+           CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS data
+    FROM orders"""
+_PARTS = """
+    SELECT CAST(p_partkey AS VARCHAR) AS chave, p_name || '; "ação" ' || p_type AS nome, p_brand AS marca
+    FROM part"""
+_EVENT_COLUMNS = "event_id, ts, user_id, event_type, value"
+
+
+def _event_files(rows: str) -> str:
+    return f"""
+        SELECT upper(substr(event_type, 1, 1)) || substr(event_type, 2) || CAST(user_id % 1000 AS VARCHAR) || '.zip'
+                   AS table_name, any_value(event_type) AS kind, max(ts) AS modificationTime, count(*) AS size
+        FROM events WHERE {rows} GROUP BY 1"""
+
+
+_LISTED = "'12.3-' || c_custkey || 'x'"
+_DAYS = f"date_diff('day', CAST(o_orderdate AS DATE), {AS_OF})"
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -378,6 +400,68 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_type AS table_name, max(ts) AS last_ingestion_timestamp, max(ts) AS last_update,
                    count(*) AS records_processed, CASE WHEN max(ts) > {_CUT} THEN 'run-2' ELSE 'run-1' END AS execution_id
             FROM events GROUP BY 1""",
+        "upsert_newer_only": f"SELECT {_LINE_COLUMNS} FROM ({_latest('lineitem')})",
+        "silver_incremental": _UPSERTED,
+        "silver_report": """
+            SELECT execucao, 'linhas' AS table_name, CASE execucao WHEN 'run-1' THEN 'created' ELSE 'updated' END AS status,
+                   count(*) AS records
+            FROM (SELECT DISTINCT l_orderkey, l_linenumber,
+                         CASE WHEN l_shipdate < TIMESTAMP '1999-01-01' THEN 'run-1' ELSE 'run-2' END AS execucao FROM lineitem)
+            GROUP BY 1
+            UNION ALL SELECT 'run-1', 'ausente', 'failed', 0 UNION ALL SELECT 'run-2', 'ausente', 'failed', 0""",
+        "silver_control": """
+            SELECT 'linhas' AS table_name, date_diff('day', DATE '1970-01-01', DATE '2024-02-01')::INTEGER AS dia,
+                   count(*) AS records_processed, 'run-2' AS execution_id
+            FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate < TIMESTAMP '1999-01-01' FROM lineitem)""",
+        "stream_once": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+        "latest_control": """
+            SELECT event_type AS table_name, arg_max(event_id, (ts, event_id)) AS execucao, max(ts) AS last_update
+            FROM events GROUP BY 1""",
+        "country_exports_top": _country("ex", "valor_exportado")
+            + " ORDER BY valor_exportado DESC, produto_ncm, no_pais NULLS FIRST LIMIT 10",
+        "typed_mapping": _ORDERS_TYPED,
+        "delimited_headered": _ORDERS_TYPED,
+        "delimited_headerless": _PARTS,
+        "positional_names": _PARTS,
+        "archive_expand": _PARTS,
+        "lineage_columns": "SELECT o_orderkey, true AS mesma_data, true AS origem FROM orders",
+        "changed_files": f"""
+            WITH files AS ({_event_files("event_type <> 'error'")}),
+            loaded AS ({_event_files("event_type <> 'signup' AND ts <= TIMESTAMP '2024-01-28'")})
+            SELECT '/landing/' || table_name AS path, table_name, size, modificationTime, 'CNPJ' AS container_name,
+                   kind AS target_table
+            FROM files WHERE table_name NOT IN (SELECT table_name FROM loaded WHERE loaded.modificationTime >= files.modificationTime)""",
+        "hot_keys": "SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 0.008 * (SELECT count(*) FROM events)",
+        "append_partitioned": f"SELECT {_EVENT_COLUMNS}, props FROM events",
+        "append_widened": f"SELECT {_EVENT_COLUMNS}, CASE WHEN event_type = 'view' THEN props END AS props FROM events",
+        "create_or_append": f"SELECT {_EVENT_COLUMNS}, CASE WHEN event_type = 'view' THEN props END AS props FROM events",
+        "replace_and_copy": "SELECT o_orderkey, o_custkey FROM orders",
+        "scalar_codes": f"""
+            SELECT c_custkey, {_LISTED} AS aparado, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS produto,
+                   substr(lpad(CAST(c_custkey * 97 AS VARCHAR), 7, '0'), 1, 5) AS classe,
+                   substr(lpad(CAST(c_nationkey AS VARCHAR), 5, '0'), 1, 2) AS divisao,
+                   '123' || c_custkey || 'x' AS sem_pontuacao, '123' || c_custkey AS digitos,
+                   CAST(NULL AS VARCHAR) AS sem_digitos,
+                   c_mktsegment || CASE WHEN c_nationkey > 5 THEN c_name ELSE '' END || c_nationkey AS identificador,
+                   c_mktsegment || '-' || c_nationkey AS unido, c_mktsegment LIKE 'AUTO%' AS prefixo,
+                   lower(c_mktsegment) || c_custkey AS arquivo, lower(c_mktsegment) AS tabela,
+                   c_custkey % 3 <> 2 AS ativa, CAST(len(string_split(c_name, '0')) AS INTEGER) AS partes,
+                   CASE WHEN c_mktsegment = 'BUILDING' THEN 'nenhum' ELSE c_mktsegment END AS preenchido
+            FROM customer""",
+        "scalar_numbers": f"""
+            SELECT o_orderkey, make_date(year(o_orderdate)::INT, month(o_orderdate)::INT, 1) AS mes,
+                   CAST(o_orderdate AS DATE) AS data, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS valor,
+                   CAST(o_orderkey AS INTEGER) AS inteiro, CAST(NULL AS BIGINT) AS longo,
+                   CAST({_DAYS} AS INTEGER) AS dias, {half_up(_DAYS + ' / 365.25e0', 2)} AS anos,
+                   CASE WHEN {_DAYS} / 365.25e0 * 4 >= 20 THEN 'Setor Maduro (20+ anos)'
+                        WHEN {_DAYS} / 365.25e0 * 4 >= 10 THEN 'Setor Estabelecido (10-20 anos)'
+                        WHEN {_DAYS} / 365.25e0 * 4 >= 5 THEN 'Setor Emergente (5-10 anos)'
+                        ELSE 'Setor Novo (< 5 anos)' END AS faixa,
+                   {half_up(div('o_totalprice', 'o_orderkey % 4'), 2)} AS razao,
+                   {half_up('(' + div('o_orderkey', 'o_custkey % 9') + ') * 100', 2)} AS percentual,
+                   {half_up('(' + div('o_orderkey - before', 'before') + ') * 100', 2)} AS variacao,
+                   o_orderkey * 1000 AS milissegundos
+            FROM (SELECT *, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders)""",
         "incremental_filter": f"SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts > {_CUT}",
         "watermark_advance": f"""
             SELECT event_type AS table_name, max(ts) AS last_ingestion_timestamp,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aduana.checks import binding as b
+from aduana.checks import binding as b, table_queries
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.flows import EXPORT, IMPORT
 from aduana.operators.topk import refilled_top
@@ -85,6 +85,19 @@ def upsert_table_scd1(s: SparkSession, d: str) -> DataFrame:
     return s.table(name)
 
 
+def upsert_newer_only(s: SparkSession, d: str) -> DataFrame:
+    """The older load arrives last and must not replace newer rows."""
+    older, newer = _two_loads(s, d)
+    return merged(newer, older, LINE_KEYS, newer_by="l_shipdate")
+
+
+def latest_control(s: SparkSession, d: str) -> DataFrame:
+    """Events as control rows: the latest one of every table."""
+    return b.read(s, d, "events").groupBy(F.col("event_type").alias("table_name")).agg(
+        F.max_by("event_id", F.struct("ts", "event_id")).alias("execucao"), F.max("ts").alias("last_update")
+    )
+
+
 def _event_control(events: DataFrame, run: str) -> DataFrame:
     return batch_progress(events, ["event_type"], "ts").select(
         F.col("event_type").alias("table_name"),
@@ -192,4 +205,10 @@ def queries() -> dict[str, Query]:
         "watermark_advance": watermark_advance,
         "stream_once": stream_once,
         "stream_upsert": stream_upsert,
+        "upsert_newer_only": upsert_newer_only,
+        "latest_control": latest_control,
+        "country_exports_top": lambda s, d: geo.country_trade(
+            b.facts(s, d, EXPORT, "co_pais"), top10(s, d), b.countries(s, d), "valor_exportado", k=10
+        ),
+        **table_queries.QUERIES,
     }
