@@ -11,7 +11,17 @@ AS_OF = "DATE '2002-01-01'"
 
 def half_up(x: str, digits: int) -> str:
     """Round a double half up the way Spark does, on its decimal digits."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+def exact_ratio(a: str, b: str, digits: int) -> str:
+    """a / b of non-negative whole numbers, rounded half up without any binary fraction."""
+    scale = 10**digits
+    return f"CAST((2 * {scale} * CAST({a} AS HUGEINT) + {b}) // NULLIF(2 * ({b}), 0) AS DOUBLE) / {scale}"
+
+
+def years(days: str, n: str, digits: int = 2) -> str:
+    return exact_ratio(f"100 * ({days})", f"36525 * ({n})", digits)
 
 
 def div(a: str, b: str) -> str:
@@ -154,9 +164,9 @@ ROLES = {
         SELECT e.classe AS codigo_cnae, e.uf, lpad(p.porte_empresa, 2, '0') AS codigo_porte,
                count(DISTINCT e.cnpj_basico) AS qtd_empresas,
                count(DISTINCT CASE WHEN identificador_matriz_filial = '1' THEN e.cnpj_basico END) AS qtd_matrizes,
-               {half_up(div('sum(dias)', 'count(dias)') + ' / 365.25e0', 2)} AS longevidade_media_anos,
-               {half_up('min(dias) / 365.25e0', 2)} AS longevidade_min_anos,
-               {half_up('max(dias) / 365.25e0', 2)} AS longevidade_max_anos,
+               {years('sum(dias)', 'count(dias)')} AS longevidade_media_anos,
+               {years('min(dias)', '1')} AS longevidade_min_anos,
+               {years('max(dias)', '1')} AS longevidade_max_anos,
                CAST(COALESCE(max(ve), 0) AS BIGINT) AS volume_exportacao,
                CAST(COALESCE(max(ke), 0) AS BIGINT) AS kg_exportacao,
                CAST(COALESCE(max(ne), 0) AS BIGINT) AS operacoes_exportacao,
@@ -184,7 +194,8 @@ def with_roles(roles: list[str], body: str) -> str:
 
 
 _TOTALS = "CAST(sum(qtd_empresas) AS BIGINT) AS total_empresas, CAST(sum(qtd_matrizes) AS BIGINT) AS total_matrizes"
-_AGE = div("sum(CAST(longevidade_media_anos AS DECIMAL(12,2)) * qtd_empresas)", "sum(qtd_empresas)")
+_CENTS = "sum(CAST(round(longevidade_media_anos * 100) AS HUGEINT) * qtd_empresas)"
+_AGE = exact_ratio(_CENTS, "100 * sum(qtd_empresas)", 2)
 
 
 def _country(flow: str, value: str) -> str:
@@ -330,7 +341,7 @@ def oracle_sql() -> dict[str, str]:
             FROM top10 LEFT JOIN ncm ON ncm.co_ncm = top10.CO_NCM"""),
         "top_bridge": with_roles([*_TOP, *_BRIDGE, "top_pairs"], "SELECT co_ncm, classe AS codigo_cnae FROM top_pairs"),
         "companies_by_state": with_roles([*_FACT, "uf"], f"""
-            SELECT codigo_cnae, fato.uf, no_uf, no_regiao, {_TOTALS}, {half_up(_AGE, 2)} AS longevidade_media
+            SELECT codigo_cnae, fato.uf, no_uf, no_regiao, {_TOTALS}, {_AGE} AS longevidade_media
             FROM fato JOIN uf ON fato.uf = sg_uf GROUP BY 1, 2, 3, 4"""),
         "size_profile": with_roles([*_FACT, "porte"], f"""
             SELECT codigo_cnae, codigo_porte, descricao_porte, {_TOTALS}
@@ -340,19 +351,19 @@ def oracle_sql() -> dict[str, str]:
                    longevidade_media, CAST(ranking AS INTEGER) AS ranking
             FROM (SELECT *, row_number() OVER (PARTITION BY no_regiao ORDER BY total_empresas DESC, codigo_cnae) AS ranking
                   FROM (SELECT codigo_cnae, descricao_cnae AS nome_classe_cnae, cnae_divisao, no_regiao, {_TOTALS},
-                               {half_up(_AGE, 2)} AS longevidade_media
+                               {_AGE} AS longevidade_media
                         FROM fato JOIN uf ON fato.uf = sg_uf JOIN classes USING (codigo_cnae)
                         WHERE no_regiao <> 'REGIÃO NÃO DECLARADA' GROUP BY 1, 2, 3, 4))
             WHERE ranking <= 10"""),
         "class_age": with_roles([*_FACT, "cnaes", "classes"], f"""
-            SELECT codigo_cnae, nome_classe_cnae, cnae_divisao, {half_up('media', 2)} AS longevidade_media_anos,
+            SELECT codigo_cnae, nome_classe_cnae, cnae_divisao, media AS longevidade_media_anos,
                    total_empresas, total_matrizes,
-                   CASE WHEN media >= 20 THEN 'Setor Maduro (20+ anos)'
-                        WHEN media >= 10 THEN 'Setor Estabelecido (10-20 anos)'
-                        WHEN media >= 5 THEN 'Setor Emergente (5-10 anos)'
+                   CASE WHEN centavos >= 2000 * total_empresas THEN 'Setor Maduro (20+ anos)'
+                        WHEN centavos >= 1000 * total_empresas THEN 'Setor Estabelecido (10-20 anos)'
+                        WHEN centavos >= 500 * total_empresas THEN 'Setor Emergente (5-10 anos)'
                         ELSE 'Setor Novo (< 5 anos)' END AS classificacao_maturidade,
                    volume_exportacao_total, volume_importacao_total
-            FROM (SELECT codigo_cnae, descricao_cnae AS nome_classe_cnae, cnae_divisao, {_AGE} AS media, {_TOTALS},
+            FROM (SELECT codigo_cnae, descricao_cnae AS nome_classe_cnae, cnae_divisao, {_AGE} AS media, {_CENTS} AS centavos, {_TOTALS},
                          CAST(sum(volume_exportacao) AS BIGINT) AS volume_exportacao_total,
                          CAST(sum(volume_importacao) AS BIGINT) AS volume_importacao_total
                   FROM fato JOIN classes USING (codigo_cnae) GROUP BY 1, 2, 3)"""),
@@ -373,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT no_ncm_por AS desc_ncm, total_exportado,
                    qtd_empresas_habilitadas, longevidade_media_anos
             FROM (SELECT co_ncm, total_exportado, count(DISTINCT cnpj_basico) AS qtd_empresas_habilitadas,
-                         {half_up(div('sum(dias)', 'count(dias)') + ' / 365e0', 1)} AS longevidade_media_anos
+                         {exact_ratio('sum(dias)', '365 * count(dias)', 1)} AS longevidade_media_anos
                   FROM (SELECT co_ncm, CAST(sum(vl_fob) AS BIGINT) AS total_exportado FROM ex
                         WHERE co_ncm IN (SELECT CO_NCM FROM top10) GROUP BY 1)
                   JOIN top_pairs USING (co_ncm) JOIN ativas USING (classe) GROUP BY 1, 2)
@@ -452,10 +463,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, make_date(year(o_orderdate)::INT, month(o_orderdate)::INT, 1) AS mes,
                    CAST(o_orderdate AS DATE) AS data, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS valor,
                    CAST(o_orderkey AS INTEGER) AS inteiro, CAST(NULL AS BIGINT) AS longo,
-                   CAST({_DAYS} AS INTEGER) AS dias, {half_up(_DAYS + ' / 365.25e0', 2)} AS anos,
-                   CASE WHEN {_DAYS} / 365.25e0 * 4 >= 20 THEN 'Setor Maduro (20+ anos)'
-                        WHEN {_DAYS} / 365.25e0 * 4 >= 10 THEN 'Setor Estabelecido (10-20 anos)'
-                        WHEN {_DAYS} / 365.25e0 * 4 >= 5 THEN 'Setor Emergente (5-10 anos)'
+                   CAST({_DAYS} AS INTEGER) AS dias, {years(_DAYS, '1')} AS anos,
+                   CASE WHEN {years(_DAYS, '1', 4)} * 4 >= 20 THEN 'Setor Maduro (20+ anos)'
+                        WHEN {years(_DAYS, '1', 4)} * 4 >= 10 THEN 'Setor Estabelecido (10-20 anos)'
+                        WHEN {years(_DAYS, '1', 4)} * 4 >= 5 THEN 'Setor Emergente (5-10 anos)'
                         ELSE 'Setor Novo (< 5 anos)' END AS faixa,
                    {half_up(div('o_totalprice', 'o_orderkey % 4'), 2)} AS razao,
                    {half_up('(' + div('o_orderkey', 'o_custkey % 9') + ') * 100', 2)} AS percentual,

@@ -13,7 +13,7 @@ from aduana.operators.dedup import latest_by_key
 from aduana.operators.flows import EXPORT, IMPORT
 from aduana.operators.topk import refilled_top
 from aduana.operators.upsert import accumulated, merged, staged, upsert_table
-from aduana.operators.watermark import batch_progress, new_rows
+from aduana.operators.watermark import batch_progress, moment, new_rows
 from aduana.plans import audit, company, geo, trade as t
 from aduana.session import fresh_path
 from aduana.sources.bridge import bridge_pairs
@@ -110,7 +110,7 @@ def _event_control(events: DataFrame, run: str) -> DataFrame:
 
 def upsert_accumulate(s: SparkSession, d: str) -> DataFrame:
     events = b.read(s, d, "events")
-    cut = F.lit(EVENT_CUT).cast("timestamp_ntz")
+    cut = moment(EVENT_CUT, events.schema["ts"].dataType)
     before, after = (
         _event_control(events.filter(keep), run)
         for keep, run in ((F.col("ts") <= cut, "run-1"), (F.col("ts") > cut, "run-2"))

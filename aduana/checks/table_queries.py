@@ -22,6 +22,7 @@ from aduana.operators.lineage import LOADED_AT, SOURCE, with_lineage
 from aduana.operators.mapping import all_text, apply_spec, name_columns
 from aduana.operators.skew import hot_keys
 from aduana.operators.spec import TableSpec, renamed, same_name
+from aduana.operators.watermark import moment
 from aduana.plans.silver import run_silver
 from aduana.session import fresh_path
 from aduana.sources.archives import archive_lines
@@ -145,7 +146,7 @@ def changed_event_files(s: SparkSession, d: str) -> DataFrame:
     """Events as the files of a landing folder: loaded up to the cut, without the signup files,
     and with the error files left to somebody else."""
     events = b.read(s, d, "events")
-    before = events.filter((F.col("ts") <= F.lit(LOAD_CUT).cast("timestamp_ntz")) & (F.col("event_type") != "signup"))
+    before = events.filter((F.col("ts") <= moment(LOAD_CUT, events.schema["ts"].dataType)) & (F.col("event_type") != "signup"))
     control = _event_files(before).select(
         F.col("container_name").alias("originator"), "table_name", F.col("path").alias("input_file_name"),
         F.col("modificationTime").alias("last_ingestion_timestamp"),
@@ -197,7 +198,7 @@ LINE_SPEC_COLUMNS = [
     *same_name("l_quantity", "l_extendedprice", "l_discount", "l_tax", type_name="double"),
     *same_name("l_returnflag", "l_linestatus"),
 ]
-RUNS = [("l_shipdate < '19990101'", dt.datetime(2024, 1, 1)), ("l_shipdate >= '19990101'", dt.datetime(2024, 2, 1))]
+RUNS = [("l_shipdate < '19990101'", dt.datetime(2024, 1, 1, 12)), ("l_shipdate >= '19990101'", dt.datetime(2024, 2, 1, 12))]
 
 
 def _two_runs(s: SparkSession, d: str) -> tuple[str, list[DataFrame]]:
@@ -274,7 +275,7 @@ def scalar_numbers(s: SparkSession, d: str) -> DataFrame:
     """Calendar and arithmetic functions over orders."""
     key, price, opened = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderdate").cast("date")
     text = F.when(key % 5 == 0, "abc").otherwise(F.replace(F.format_string("%.2f", price), F.lit("."), F.lit(",")))
-    age = measures.days_since(opened, b.AS_OF).cast("double") / F.lit(365.25)
+    age = measures.mean_years(measures.days_since(opened, b.AS_OF), F.lit(1), 365.25, 4)
     return b.read(s, d, "orders").select(
         "o_orderkey",
         measures.month_start(F.year(opened), F.month(opened)).alias("mes"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -38,19 +39,26 @@ def percent_change(now: str | Column, before: str | Column, digits: int = 2) ->
 
 
 def mean_years(total_days: str | Column, n: str | Column, days_per_year: float, digits: int) -> Column:
-    """Mean age from a day total and a count, the two parts that can be pre-aggregated."""
-    days = F.try_divide(_col(total_days).cast("double"), _col(n).cast("double"))
-    return F.round(days / F.lit(float(days_per_year)), digits)
+    """Mean age from a day total and a count, the two parts that can be pre-aggregated.
+
+    Divided as decimals, so a mean that lies exactly between two figures is rounded up.
+    """
+    days = _col(n).cast("decimal(18,0)") * F.lit(Decimal(str(days_per_year)))
+    return rounded(F.try_divide(_col(total_days).cast("decimal(20,0)"), days), digits)
+
+
+def rounded(c: Column, digits: int) -> Column:
+    return F.round(c, digits).cast("double")
 
 
 def weighted_mean(mean: str | Column, n: str | Column) -> Column:
-    """Aggregate: sum(mean * n) / sum(n), null when the weights add up to zero.
+    """Aggregate: sum(mean * n) / sum(n) as a decimal, null when the weights add up to zero.
 
-    The means are rounded figures, so the products are summed as exact decimals and the result
-    does not depend on the order in which partitions arrive.
+    The means are rounded figures, so they are summed as exact decimals and the result does not
+    depend on the order in which partitions arrive.
     """
-    exact = _col(mean).cast("decimal(12,2)") * _col(n)
-    return F.try_divide(F.sum(exact).cast("double"), F.sum(_col(n)).cast("double"))
+    exact = F.sum(_col(mean).cast("decimal(12,2)") * _col(n))
+    return F.try_divide(exact, F.sum(_col(n)).cast("decimal(20,0)"))
 
 
 # Lower bound in years and label of each maturity band, oldest first.

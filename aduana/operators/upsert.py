@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.sinks import (
@@ -20,7 +21,6 @@ from aduana.operators.sinks import (
     create_table,
     move_table,
     snapshot_path,
-    spread,
     table_exists,
     write_files,
 )
@@ -92,11 +92,17 @@ def _setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
-def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back: later uses start from the files."""
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    write_files(df, path, partition_by)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _as_stored(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Empty text cannot name a partition folder; it is stored, and so must be matched, as null."""
+    texts = [f.name for f in df.schema.fields if f.name in partition_by and isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else df
 
 
 def replace_rows(spark: SparkSession, name: str, rows: DataFrame, path: str) -> None:
@@ -117,13 +123,27 @@ def replace_partitions(spark: SparkSession, name: str, rows: DataFrame) -> None:
 
 
 def _literal(value) -> str:
+    if value is None:
+        return "NULL"
     return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _drop_partitions(spark: SparkSession, name: str, gone: DataFrame) -> None:
-    for row in gone.toLocalIterator():
-        spec = ", ".join(f"`{c}` = {_literal(row[c])}" for c in gone.columns)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+def _partition_values(df: DataFrame) -> set[tuple]:
+    """Distinct partition values, which are table metadata and as few as the table's folders."""
+    return {tuple(row) for row in df.distinct().collect()}
+
+
+def _of_partitions(df: DataFrame, values: set[tuple], partition_by: list[str]) -> DataFrame:
+    """Rows of the given partitions. One literal filter per column prunes the scan; with several
+    partition columns the combinations are matched exactly as well."""
+    for position, column in enumerate(partition_by):
+        wanted = {v[position] for v in values}
+        some = F.col(column).isin([v for v in wanted if v is not None])
+        df = df.filter(some | F.col(column).isNull() if None in wanted else some)
+    if len(partition_by) == 1 or not values:
+        return df
+    listed = df.sparkSession.createDataFrame(sorted(values, key=repr), df.select(*partition_by).schema)
+    return df.alias("t").join(listed.alias("p"), _matches("t", "p", partition_by, True), "left_semi")
 
 
 def upsert_table(
@@ -141,6 +161,8 @@ def upsert_table(
     `source` holds one row per key and should be cheap to read again (see `staged`): the
     partitioned path uses it to find the partitions as well as the rows.
     """
+    partition_by = partition_by or []
+    source = _as_stored(source, partition_by)
     if not table_exists(spark, name):
         create_table(spark, source, name, path, partition_by)
         return "created"
@@ -151,22 +173,19 @@ def upsert_table(
         replace_rows(spark, name, merged(target, source, keys, null_safe, newer_by), path)
         return "updated"
 
-    touched = source.select(*partition_by).distinct()
+    partitions = source.select(*partition_by)
     if not set(partition_by) <= set(keys):
         # A key may have moved: the partition that holds its old row is rebuilt as well.
         moved = target.select(*keys, *partition_by).alias("t").join(
             source.select(*keys).alias("s"), _matches("t", "s", keys, null_safe), "left_semi"
         )
-        touched = touched.unionByName(moved.select(*partition_by).distinct()).distinct()
-    touched = staged(spark, touched, "touched")
-    old = target.alias("t").join(
-        touched.alias("p"), _matches("t", "p", partition_by, True), "left_semi"
-    )
-    rebuilt = staged(spark, spread(merged(old, source, keys, null_safe, newer_by), partition_by), "partitions")
-
-    left = rebuilt.select(*partition_by).distinct()
-    gone = touched.alias("p").join(left.alias("r"), _matches("p", "r", partition_by, True), "left_anti")
-    _drop_partitions(spark, name, gone)
-    replace_partitions(spark, name, spread(rebuilt, partition_by))
+        partitions = partitions.unionByName(moved.select(*partition_by))
+    touched = _partition_values(partitions)
+    old = _of_partitions(target, touched, partition_by)
+    rebuilt = staged(spark, merged(old, source, keys, null_safe, newer_by), "partitions", partition_by)
+    for gone in touched - _partition_values(rebuilt.select(*partition_by)):
+        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, gone))
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    replace_partitions(spark, name, rebuilt)
     spark.catalog.refreshTable(name)
     return "updated"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 from aduana.operators.lineage import LOADED_AT
 from aduana.operators.upsert import accumulated
@@ -28,6 +29,13 @@ def last_watermark(control: DataFrame, table: str) -> dt.datetime | None:
     return row["last"]
 
 
+def moment(value: dt.datetime, as_type: DataType) -> Column:
+    """Literal of the type it is compared with: a wall-clock time stays one."""
+    if isinstance(as_type, TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def new_rows(
     df: DataFrame,
     last: dt.datetime | None,
@@ -44,7 +52,7 @@ def new_rows(
     if last is None:
         return df
     since = last - overlap
-    rows = df.filter(F.col(ts_col) > F.lit(since))
+    rows = df.filter(F.col(ts_col) > moment(since, df.schema[ts_col].dataType))
     if date_col is not None and date_col in df.columns:
         # A day earlier than the timestamp says, as the session time zone may shift the date.
         rows = rows.filter(F.col(date_col) >= F.lit((since - dt.timedelta(days=1)).date()))

@@ -20,7 +20,7 @@ from aduana.functions.codes import (
     padded,
     product_key,
 )
-from aduana.functions.measures import days_since, maturity_band, mean_years, weighted_mean
+from aduana.functions.measures import days_since, maturity_band, mean_years, rounded, weighted_mean
 from aduana.functions.typing import parsed
 from aduana.operators.flows import EXPORT, IMPORT, flow_rows, flow_sum
 from aduana.operators.skew import salted_left_join
@@ -187,7 +187,7 @@ def companies_by_state(fact: DataFrame, states: DataFrame, digits: int = 2) -> D
     """A company with sites in two states counts in both."""
     names = state_dim(states).select(F.col("sg_uf").alias("uf"), "no_uf", "no_regiao")
     return fact.join(names, "uf").groupBy("codigo_cnae", "uf", "no_uf", "no_regiao").agg(
-        *_company_totals(), F.round(_mean_age(), digits).alias("longevidade_media")
+        *_company_totals(), rounded(_mean_age(), digits).alias("longevidade_media")
     )
 
 
@@ -209,7 +209,7 @@ def top_classes_by_region(
         fact.join(regions, "uf")
         .join(labels, "codigo_cnae")
         .groupBy("codigo_cnae", "nome_classe_cnae", "cnae_divisao", "no_regiao")
-        .agg(*_company_totals(), F.round(_mean_age(), digits).alias("longevidade_media"))
+        .agg(*_company_totals(), rounded(_mean_age(), digits).alias("longevidade_media"))
     )
     best = Window.partitionBy("no_regiao").orderBy(F.desc("total_empresas"), "codigo_cnae")
     return totals.withColumn("ranking", F.row_number().over(best)).filter(F.col("ranking") <= k)
@@ -232,7 +232,7 @@ def class_age(fact: DataFrame, classes: DataFrame, digits: int = 2) -> DataFrame
             "codigo_cnae",
             "nome_classe_cnae",
             "cnae_divisao",
-            F.round("media", digits).alias("longevidade_media_anos"),
+            rounded(F.col("media"), digits).alias("longevidade_media_anos"),
             "total_empresas",
             "total_matrizes",
             maturity_band(F.col("media")).alias("classificacao_maturidade"),

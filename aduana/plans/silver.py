@@ -31,18 +31,20 @@ def _load_one(
     source = f"{bronze}.{spec.name}"
     if not table_exists(spark, source):
         return (spec.name, "failed", 0, None, f"{source} does not exist")
+    target = f"{silver}.{spec.name}"
     raw = spark.table(source)
     absent = ", ".join(missing_columns(raw, spec)) or None
     fresh = new_rows(raw, last_watermark(spark.table(control), spec.name), overlap=overlap, date_col=LOAD_DATE)
-    # Written once: the count, the touched partitions and the merge all start from these files.
-    latest = staged(spark, latest_by_key(apply_spec(fresh, spec), spec.keys, [LOADED_AT]), spec.name)
-    progress = batch_progress(latest, [], LOADED_AT)
-    records = progress.first()["records_processed"]
-    if records == 0:
+    if fresh.isEmpty():
         return (spec.name, "unchanged", 0, absent, None)
-    status = upsert_table(
-        spark, f"{silver}.{spec.name}", latest, spec.keys, f"{base_path}/{spec.name}", spec.partition_by
-    )
+    latest = latest_by_key(apply_spec(fresh, spec), spec.keys, [LOADED_AT])
+    first_load = not table_exists(spark, target)
+    if not first_load:
+        # Written once: the count, the touched partitions and the merge all start from these files.
+        latest = staged(spark, latest, spec.name)
+    status = upsert_table(spark, target, latest, spec.keys, f"{base_path}/{spec.name}", spec.partition_by)
+    progress = batch_progress(spark.table(target) if first_load else latest, [], LOADED_AT)
+    records = progress.first()["records_processed"]
     update = progress.select(
         F.lit(spec.name).alias("table_name"),
         "last_ingestion_timestamp",
