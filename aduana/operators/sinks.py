@@ -48,15 +48,20 @@ def spread(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def write_files(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "error") -> None:
-    writer = spread(df, partition_by).write.mode(mode)
+def write_files(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "error", gather: bool = True
+) -> None:
+    """`gather=False` saves the shuffle where every task writes to one partition anyway."""
+    writer = (spread(df, partition_by) if gather else df).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def append_files(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    write_files(df, path, partition_by, mode="append")
+def append_files(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, gather: bool = True
+) -> None:
+    write_files(df, path, partition_by, mode="append", gather=gather)
 
 
 def read_widened(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +89,15 @@ def register(
 
 
 def create_table(
-    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: list[str] | None = None,
+    gather: bool = True,
 ) -> None:
     location = snapshot_path(path)
-    write_files(df, location, partition_by)
+    write_files(df, location, partition_by, gather=gather)
     register(spark, name, df.schema, location, partition_by)
 
 
@@ -115,17 +125,22 @@ def add_new_columns(spark: SparkSession, name: str, schema: StructType) -> None:
 
 
 def create_or_append(
-    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: list[str] | None = None,
+    gather: bool = True,
 ) -> str:
     """First write creates the table with its partitioning; later writes append, and columns the
     table does not have yet are added to it."""
     if not table_exists(spark, name):
-        create_table(spark, df, name, path, partition_by)
+        create_table(spark, df, name, path, partition_by, gather)
         return "created"
     add_new_columns(spark, name, df.schema)
     empty = spark.table(name).limit(0)
     rows = empty.unionByName(df, allowMissingColumns=True).select(*empty.columns)
-    spread(rows, partition_by).write.insertInto(name)
+    (spread(rows, partition_by) if gather else rows).write.insertInto(name)
     return "appended"
 
 

@@ -36,6 +36,13 @@ def ensure_control(spark: SparkSession, name: str, path: str) -> None:
     create_empty(spark, name, path, CONTROL_SCHEMA)
 
 
+def _append(spark: SparkSession, rows: DataFrame, database: str, base_path: str, table: str) -> str:
+    """Append a load. It has one load date, so there is nothing to gather before writing."""
+    return create_or_append(
+        spark, rows, f"{database}.{table}", f"{base_path}/{table}", [LOAD_DATE], gather=False
+    )
+
+
 def _per_table(
     spark: SparkSession,
     changed: DataFrame,
@@ -80,7 +87,7 @@ def load_dimensions(
         rows = scans[0]
         for scan in scans[1:]:
             rows = rows.unionByName(scan, allowMissingColumns=True)
-        create_or_append(spark, rows, f"{database}.{table}", f"{base_path}/{table}", [LOAD_DATE])
+        _append(spark, rows, database, base_path, table)
 
     return _per_table(spark, changed, control, control_path, load)
 
@@ -117,7 +124,7 @@ def load_register(
         source = F.concat_ws("/", F.col("path"), F.element_at(F.split("member", "/"), -1))
         data = [c for c in parsed.columns if c not in ("path", "member")]
         loaded = with_lineage(parsed, source).select(*data, *LINEAGE)
-        create_or_append(spark, loaded, f"{database}.{table}", f"{base_path}/{table}", [LOAD_DATE])
+        _append(spark, loaded, database, base_path, table)
 
     return _per_table(spark, changed, control, control_path, load)
 
@@ -125,14 +132,10 @@ def load_register(
 def load_bridge(
     spark: SparkSession, rows: DataFrame, database: str, base_path: str, table: str = "corr_ncm_cnae"
 ) -> str:
-    """The bridge rows, with their source in `_source_path` when they have one, to pairs."""
+    """The bridge rows to pairs. Rows may name their file in a column `origem`."""
     ensure_database(spark, database)
-    has_source = "_source_path" in rows.columns
-    named = bridge_rows(rows.drop("_source_path")) if not has_source else rows.select(
-        *[F.col(c) for c in bridge_rows(rows.drop("_source_path")).columns], "_source_path"
-    )
-    origin = F.col("_origin") if has_source else F.lit(None).cast("string")
-    if has_source:
-        named = named.withColumnRenamed("_source_path", "_origin")
-    pairs = with_lineage(bridge_pairs(named), origin).drop("_origin")
-    return create_or_append(spark, pairs, f"{database}.{table}", f"{base_path}/{table}", [LOAD_DATE])
+    names = [c for c in rows.columns if c != "origem"]
+    origin = F.col("origem") if "origem" in rows.columns else F.lit(None).cast("string")
+    sourced = rows.select(*[F.col(f"`{c}`") for c in names], origin.alias("_c_origem"))
+    pairs = bridge_pairs(bridge_rows(sourced, keep=["_c_origem"]))
+    return _append(spark, with_lineage(pairs, F.col("_c_origem")).drop("_c_origem"), database, base_path, table)

@@ -8,14 +8,19 @@ batches of lines, never held as a whole. The lines go straight into Spark's own
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from aduana.sources.delimited import ENCODING
 
+# The functions below travel with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINE_SCHEMA = "container_name string, table_name string, path string, member string, line string"
 BATCH_LINES = 20_000
 

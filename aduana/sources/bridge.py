@@ -11,10 +11,13 @@ BRIDGE_COLUMNS = ["NCM", "NCM_DESC", "CNAE"]
 ACTIVITY_SEPARATOR = ";"
 
 
-def bridge_rows(df: DataFrame) -> DataFrame:
-    """Impose the three names: unnamed columns go, the first three that remain are taken in order."""
+def bridge_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Impose the three names: columns without a name go, the first three others are taken in
+    order. Columns in `keep` stay as they are."""
+    keep = keep or []
     named = [c for c in df.columns if c.strip() and "Unnamed" not in c and not c.startswith("_c")]
-    return df.select(*[F.col(f"`{c}`").cast("string") for c in named[:3]]).toDF(*BRIDGE_COLUMNS)
+    three = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(named, BRIDGE_COLUMNS, strict=False)]
+    return df.select(*three, *keep)
 
 
 def bridge_pairs(rows: DataFrame) -> DataFrame:
