@@ -1,8 +1,8 @@
 """The Parquet test tables in the roles the operators expect.
 
 Line items are the trade facts, parts the products, orders the company sites and customers the
-companies. Country, state and route need lookups in other tables, so a caller names the columns
-it wants and only those lookups are made.
+companies. Country, state and route need lookups in other tables, and only those a query wants
+are made.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from aduana.operators.flows import EXPORT, FLOW, IMPORT, tag_flows
+from aduana.operators.flows import EXPORT, FLOW, IMPORT
+from aduana.plans.geo import only_top
 from aduana.sources.bridge import bridge_pairs, distinct_pairs, keyed_pairs
 
 AS_OF = dt.date(2002, 1, 1)
@@ -43,66 +44,82 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem")
 
 
-def _fact_columns() -> dict[str, Column]:
-    return {
-        "ano": F.year("l_shipdate").cast("int"),
-        "mes": F.month("l_shipdate").cast("int"),
-        "co_ncm": code("l_partkey", 8),
-        "co_urf": F.col("l_returnflag"),
-        "kg_liquido": F.col("l_quantity").cast("bigint"),
-        "vl_fob": F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint"),
-    }
+def _fact_columns() -> list[Column]:
+    return [
+        F.year("l_shipdate").cast("int").alias("ano"),
+        F.month("l_shipdate").cast("int").alias("mes"),
+        code("l_partkey", 8).alias("co_ncm"),
+        F.col("l_returnflag").alias("co_urf"),
+        F.col("l_quantity").cast("bigint").alias("kg_liquido"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint").alias("vl_fob"),
+    ]
+
+
+def _flow() -> Column:
+    return F.when(F.col("l_linestatus") == STATUS[EXPORT], EXPORT).otherwise(IMPORT).alias(FLOW)
 
 
 def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both flows from a single scan, without the columns that need a lookup."""
-    flow = F.when(F.col("l_linestatus") == STATUS[EXPORT], EXPORT).otherwise(IMPORT)
-    columns = [c.alias(n) for n, c in _fact_columns().items()]
-    return _lines(spark, sf_dir).select(flow.alias(FLOW), *columns)
+    return _lines(spark, sf_dir).select(_flow(), *_fact_columns())
+
+
+def _with_order(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderpriority").alias("co_via")
+    )
+    return rows.join(orders, "l_orderkey", "left")
+
+
+def _with_customer(spark: SparkSession, sf_dir: str, rows: DataFrame, country: str, state: str) -> DataFrame:
+    nation = F.col("c_nationkey")
+    customers = read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), code(nation, 3).alias(country), state_code(nation).alias(state)
+    )
+    return _with_order(spark, sf_dir, rows).join(customers, "o_custkey", "left")
 
 
-def facts(spark: SparkSession, sf_dir: str, flow: str, *lookups: str) -> DataFrame:
-    """One flow with the `lookups` asked for: co_pais, sigla_uf_ncm, co_via.
+def _with_supplier(spark: SparkSession, sf_dir: str, rows: DataFrame, country: str, state: str) -> DataFrame:
+    nation = F.col("s_nationkey")
+    suppliers = read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), code(nation, 3).alias(country), state_code(nation).alias(state)
+    )
+    return rows.join(suppliers, "l_suppkey", "left")
+
 
-    Goods go from the supplier's state to the customer's country when exported, and from the
-    supplier's country to the customer's state when imported. The fact columns are computed
-    before the lookups, so a filter on products passes below them to the scan.
+def facts(spark: SparkSession, sf_dir: str, flow: str, lookup: str | None = None) -> DataFrame:
+    """One flow, if asked for with one looked-up column: co_pais or co_via.
+
+    Goods go to the customer's country when exported and come from the supplier's country when
+    imported. Codes are computed before the tables are joined, so that a filter on products passes
+    below the lookup to the scan.
     """
-    columns = _fact_columns()
     rows = _lines(spark, sf_dir).filter(F.col("l_linestatus") == STATUS[flow]).select(
-        "l_orderkey", "l_suppkey", *[c.alias(n) for n, c in columns.items()]
-    )
-    customer_role, supplier_role = (
-        ("co_pais", "sigla_uf_ncm") if flow == EXPORT else ("sigla_uf_ncm", "co_pais")
+        "l_orderkey", "l_suppkey", *_fact_columns()
     )
-    if customer_role in lookups or "co_via" in lookups:
-        orders = read(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderpriority").alias("co_via")
-        )
-        rows = rows.join(orders, "l_orderkey", "left")
-    if customer_role in lookups:
-        customers = read(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("o_custkey"), _role_code(customer_role, F.col("c_nationkey"))
-        )
-        rows = rows.join(customers, "o_custkey", "left")
-    if supplier_role in lookups:
-        suppliers = read(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("l_suppkey"), _role_code(supplier_role, F.col("s_nationkey"))
-        )
-        rows = rows.join(suppliers, "l_suppkey", "left")
-    return rows.select(*columns, *lookups)
-
-
-def _role_code(role: str, nation: Column) -> Column:
-    return (code(nation, 3) if role == "co_pais" else state_code(nation)).alias(role)
-
-
-def trade_with(spark: SparkSession, sf_dir: str, *lookups: str) -> DataFrame:
-    """Both flows with lookups, each flow making only the lookups it needs."""
-    columns = [*_fact_columns(), *lookups]
-    exports = facts(spark, sf_dir, EXPORT, *lookups)
-    imports = facts(spark, sf_dir, IMPORT, *lookups)
-    return tag_flows(exports, imports, columns)
+    if lookup == "co_via":
+        return _with_order(spark, sf_dir, rows)
+    if lookup == "co_pais":
+        with_party = _with_customer if flow == EXPORT else _with_supplier
+        return with_party(spark, sf_dir, rows, "co_pais", "_uf")
+    return rows
+
+
+def located_trade(spark: SparkSession, sf_dir: str, top: DataFrame) -> DataFrame:
+    """Both flows of the top products, from a single scan, with country and state: the country is
+    the customer's for exports and the supplier's for imports, the state the other way round.
+
+    Which party counts depends on the row, so the choice sits above the lookups and would hold a
+    later filter on products up there; it is made here, before them.
+    """
+    rows = only_top(_lines(spark, sf_dir).select("l_orderkey", "l_suppkey", _flow(), *_fact_columns()), top)
+    rows = _with_customer(spark, sf_dir, rows, "c_pais", "c_uf")
+    rows = _with_supplier(spark, sf_dir, rows, "s_pais", "s_uf")
+    exported = F.col(FLOW) == EXPORT
+    return rows.withColumns({
+        "co_pais": F.when(exported, F.col("c_pais")).otherwise(F.col("s_pais")),
+        "sigla_uf_ncm": F.when(exported, F.col("s_uf")).otherwise(F.col("c_uf")),
+    })
 
 
 def ncm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,9 +44,20 @@ def _route(flow: str) -> Query:
     )
 
 
+def bloc_trade(s: SparkSession, d: str) -> DataFrame:
+    top = top10(s, d)
+    return geo.bloc_trade(b.located_trade(s, d, top), top, b.blocs(s, d))
+
+
+def state_balance(s: SparkSession, d: str) -> DataFrame:
+    top = top10(s, d)
+    return geo.state_balance(b.located_trade(s, d, top), top, b.states(s, d))
+
+
 def company_fact(s: SparkSession, d: str) -> DataFrame:
+    top = top10(s, d)
     return company.company_fact(
-        b.sites(s, d), b.companies(s, d), b.bridge(s, d), top10(s, d), b.trade_with(s, d, "sigla_uf_ncm"), b.AS_OF
+        b.sites(s, d), b.companies(s, d), b.bridge(s, d), top, b.located_trade(s, d, top), b.AS_OF
     )
 
 
@@ -166,10 +177,8 @@ def queries() -> dict[str, Query]:
         "product_dim": lambda s, d: t.product_dim(b.ncm(s, d)),
         "country_exports": _country(EXPORT, "valor_exportado"),
         "country_imports": _country(IMPORT, "valor_importado"),
-        "bloc_trade": lambda s, d: geo.bloc_trade(b.trade_with(s, d, "co_pais"), top10(s, d), b.blocs(s, d)),
-        "state_balance": lambda s, d: geo.state_balance(
-            b.trade_with(s, d, "sigla_uf_ncm"), top10(s, d), b.states(s, d)
-        ),
+        "bloc_trade": bloc_trade,
+        "state_balance": state_balance,
         "route_exports": _route(EXPORT),
         "route_imports": _route(IMPORT),
         "class_dim": lambda s, d: company.class_dim(b.activities(s, d)),

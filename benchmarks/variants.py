@@ -38,7 +38,8 @@ def monthly_by_outer_join(s, d):
 
 
 def blocs_filtered_last(s, d):
-    facts = b.trade_with(s, d, "co_pais")
+    every = b.read(s, d, "part").select(b.code("p_partkey", 8).alias("CO_NCM"))
+    facts = b.located_trade(s, d, every)
     totals = facts.join(b.blocs(s, d), "co_pais", "left").groupBy("no_bloco", "co_ncm", "fluxo").agg(F.sum("vl_fob"))
     top = registry.top10(s, d).select(F.col("CO_NCM").alias("co_ncm"))
     return totals.join(top, "co_ncm")
