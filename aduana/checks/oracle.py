@@ -403,6 +403,10 @@ def oracle_sql() -> dict[str, str]:
         "state_dim": with_roles(["uf"], "SELECT DISTINCT sg_uf, no_uf, no_regiao, co_uf FROM uf"),
         "product_labels": with_roles(["ncm"], "SELECT DISTINCT co_ncm, no_ncm_por, no_ncm_ing, co_sh6, co_fat_agreg FROM ncm"),
         "bridge_explode": with_roles(["bridge_file", "bridge_rows"], "SELECT NCM, NCM_DESC, CNAE FROM bridge_rows"),
+        # An empty field of a file is read as null.
+        "bridge_from_file": with_roles(["bridge_file", "bridge_rows"], """
+            SELECT NCM, NCM_DESC, CNAE FROM bridge_rows
+            WHERE NCM NOT IN (SELECT NCM FROM bridge_file WHERE CNAE = '')"""),
         "dedup_latest": f"SELECT {_LINE_COLUMNS} FROM ({_latest('lineitem')})",
         "upsert_scd1": _UPSERTED,
         "upsert_table_scd1": _UPSERTED,

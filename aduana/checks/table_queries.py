@@ -26,6 +26,7 @@ from aduana.operators.watermark import moment
 from aduana.plans.silver import run_silver
 from aduana.session import fresh_path
 from aduana.sources.archives import archive_lines
+from aduana.sources.bridge import bridge_file, bridge_pairs
 from aduana.sources.delimited import HEADERED, HEADERLESS, headered, headerless, parsed_lines
 from aduana.sources.inventory import changed_files, excluding_prefixes, file_inventory, with_target
 
@@ -93,6 +94,12 @@ def positional_names(s: SparkSession, d: str) -> DataFrame:
     return name_columns(name_columns(unnamed, [*PART_NAMES, "outro"]), PART_NAMES)
 
 
+def bridge_from_file(s: SparkSession, d: str) -> DataFrame:
+    path = fresh_path(s, "bridge")
+    b.bridge_source(s, d).write.options(**HEADERLESS).csv(path)
+    return bridge_pairs(bridge_file(s, path).drop("origem"))
+
+
 def _write_archives(lines: DataFrame, folder: str) -> None:
     """One archive per partition; a repeated task writes the same file again."""
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,6 +312,7 @@ QUERIES = {
     "delimited_headerless": delimited_headerless,
     "positional_names": positional_names,
     "archive_expand": archive_expand,
+    "bridge_from_file": bridge_from_file,
     "lineage_columns": lineage_columns,
     "changed_files": changed_event_files,
     "hot_keys": hot_products,

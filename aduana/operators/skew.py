@@ -9,18 +9,13 @@ _HOT = "_hot"
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold at least `share` of the rows: at most 1 / share of them.
+    """Keys that hold at least `share` of the rows: by definition at most 1 / share of them.
 
-    Reads the key column only. The limit cuts nothing; it states the bound for the planner.
+    Reads the key column only.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return (
-        counts.filter(F.col("n") >= total * F.lit(share))
-        .orderBy(F.desc("n"), key)
-        .limit(int(1 / share) + 1)
-        .select(key)
-    )
+    return counts.filter(F.col("n") >= total * F.lit(share)).select(key)
 
 
 def salted_left_join(
@@ -30,7 +25,7 @@ def salted_left_join(
 
     Rows of a hot key, and rows without a key, are spread over `salts` partitions; only the lookup
     rows of hot keys are repeated. So no task sees a whole hot key and cold keys cost what they
-    always cost. The hot list has at most 1 / share + 1 rows, which bounds its broadcast.
+    always cost. The hot list has at most 1 / share rows, which bounds its broadcast.
     """
     hot = F.broadcast(hot_keys(facts, key, share).withColumn(_HOT, F.lit(True)))
     payload = [c for c in facts.columns if c != key]

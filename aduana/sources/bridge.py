@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aduana.functions.codes import class_key, leading_digits, product_key, without_punctuation
+from aduana.sources.delimited import headerless
 
 # The three column names of the source rows, in order.
 BRIDGE_COLUMNS = ["NCM", "NCM_DESC", "CNAE"]
 ACTIVITY_SEPARATOR = ";"
 
 
+def bridge_file(spark: SparkSession, path: str) -> DataFrame:
+    """Bridge rows of delimited files, with their file in `origem`.
+
+    The title and the heading above the rows are told by their first field, which is no code.
+    """
+    rows = headerless(spark, path, BRIDGE_COLUMNS).select("*", F.col("_metadata.file_path").alias("origem"))
+    return rows.filter(F.col("NCM").rlike(r"^\d"))
+
+
 def bridge_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Impose the three names: columns without a name go, the first three others are taken in
     order. Columns in `keep` stay as they are."""

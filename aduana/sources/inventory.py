@@ -14,10 +14,7 @@ CONTROL_SCHEMA = (
 
 def file_inventory(spark: SparkSession, path: str, source: str, glob: str | None = None) -> DataFrame:
     """One row per file below `path`. Only the listing is read: `content` is pruned."""
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
+    return binary_files(spark, path, glob).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("table_name"),
         F.col("length").alias("size"),
@@ -26,6 +23,12 @@ def file_inventory(spark: SparkSession, path: str, source: str, glob: str | None
     )
 
 
+def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Whole files as rows: path, modificationTime, length, content."""
+    reader = spark.read.format("binaryFile")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+
+
 def with_target(inventory: DataFrame, numbered: bool) -> DataFrame:
     """Name of the raw table a file belongs to; `numbered` files (`socios3.zip`) share one."""
     name = table_of_file("table_name") if numbered else file_stem("table_name")

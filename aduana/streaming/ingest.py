@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from aduana.operators.lineage import LOAD_DATE, with_lineage
-from aduana.operators.sinks import ensure_database
+from aduana.operators.sinks import ensure_database, path_exists
 from aduana.sources.delimited import HEADERED
 
 # File name pattern of each fact table.
@@ -61,8 +61,10 @@ def ingest_facts(
     path = f"{base_path}/{table}"
     stream = with_lineage(file_stream(spark, folder, FACT_FILES[table], schema))
     append_once(stream, path, f"{base_path}/_checkpoint/{table}", [LOAD_DATE])
-    # The sink's own log lists the committed files, so the entry needs no partition upkeep.
     ensure_database(spark, database)
+    if not path_exists(spark, path) or spark.read.schema("_ string").parquet(path).isEmpty():
+        return  # no rows have arrived yet, so there is no schema to register
+    # The sink's own log lists the committed files, so the entry needs no partition upkeep.
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{path}'")
     spark.catalog.refreshTable(f"{database}.{table}")
 

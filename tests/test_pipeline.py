@@ -16,6 +16,7 @@ from aduana.operators.spec import TableSpec
 from aduana.plans import bronze, gold, silver
 from aduana.plans.register_tables import POSITIONS, REGISTER_TABLES
 from aduana.plans.trade_tables import FACTS, TRADE_TABLES
+from aduana.sources.bridge import bridge_file, bridge_rows
 from aduana.streaming.ingest import FACT_FILES, ingest_facts
 from tests.conftest import rows
 
@@ -114,6 +115,8 @@ def lake(tmp_path_factory):
     write_zip(register / "Municipios.zip", {"F.MUNICCSV": '"7107";"SAO PAULO"\n'})
     write_zip(register / "Motivos.zip", {"F.MOTICSV": '"01";"EXTINCAO";"surplus"\n'})
     write(register / "layout.pdf", "not an archive")
+    write(lake.landing / "bridge" / "corr.csv", 'Correlação;;\nNCM;Descrição;CNAE\n12019000;Soja;"0111-3; 4711-3"\n'
+          '9011110;Café;abc\n27090010;Óleo;\n1;x;""\n')
     return lake
 
 
@@ -124,12 +127,8 @@ def loaded(spark, lake):
         "register": lake.load_register(spark).collect(),
     }
     lake.load_facts(spark)
-    source = spark.createDataFrame(
-        [("12019000", "Soja", "0111-3; 4711-3"), ("9011110", "Café", "abc"), ("27090010", "Óleo", None), ("1", "x", "")],
-        "NCM string, `Descrição` string, CNAE_2 string",
-    )
     for _ in range(2):  # loaded twice
-        bronze.load_bridge(spark, source, lake.bronze, lake.path("bronze"))
+        bronze.load_bridge(spark, bridge_file(spark, lake.folder("bridge")), lake.bronze, lake.path("bronze"))
     reports["silver"] = lake.run_silver(spark, TRADE_TABLES + REGISTER_TABLES, "run-1").collect()
     silver.load_bridge_table(spark, lake.bronze, lake.silver, lake.path("silver"))
     return reports
@@ -187,12 +186,26 @@ def test_silver_types_and_latest_rows(spark, lake, loaded):
 
 
 def test_bridge_is_exploded_and_loaded_once(spark, lake, loaded):
-    assert spark.table(f"{lake.bronze}.corr_ncm_cnae").count() == 8
+    raw = spark.table(f"{lake.bronze}.corr_ncm_cnae")
+    assert raw.count() == 6 and raw.filter("_source_path like '%/corr.csv'").count() == 6
     assert rows(spark.table(f"{lake.silver}.corr_ncm_cnae"), "NCM", "CNAE") == [
-        ("1", None), ("12019000", "01113"), ("12019000", "47113"), ("9011110", None),
+        ("12019000", "01113"), ("12019000", "47113"), ("9011110", None),
     ]
 
 
+def test_bridge_rows_take_three_named_columns(spark):
+    df = spark.createDataFrame([("x", "1", "d", "0111-3")], "`Unnamed: 0` string, a string, `b c` string, d string")
+    assert bridge_rows(df).columns == ["NCM", "NCM_DESC", "CNAE"] and rows(bridge_rows(df)) == [("1", "d", "0111-3")]
+
+
+def test_fact_table_without_files_is_reported(spark, tmp_path):
+    lake = Lake(tmp_path, "none")
+    write(lake.landing / "trade" / "VIA.csv", "CO_VIA;NO_VIA\n01;MARITIMA\n")
+    lake.load_facts(spark)
+    report = lake.run_silver(spark, FACTS, "run-1")
+    assert {r["status"] for r in report.collect()} == {"failed"}
+
+
 def test_control_tables(spark, lake, loaded):
     raw = spark.table(lake.raw_control)
     assert raw.filter("originator = 'BALANCE'").count() == 6
