@@ -474,9 +474,9 @@ def oracle_sql() -> dict[str, str]:
                         ELSE 'Setor Novo (< 5 anos)' END AS faixa,
                    {half_up(div('o_totalprice', 'o_orderkey % 4'), 2)} AS razao,
                    {half_up('(' + div('o_orderkey', 'o_custkey % 9') + ') * 100', 2)} AS percentual,
-                   {half_up('(' + div('o_orderkey - before', 'before') + ') * 100', 2)} AS variacao,
+                   {half_up('(' + div('o_orderkey - o_custkey', 'o_custkey') + ') * 100', 2)} AS variacao,
                    o_orderkey * 1000 AS milissegundos
-            FROM (SELECT *, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders)""",
+            FROM orders""",
         "incremental_filter": f"SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts > {_CUT}",
         "watermark_advance": f"""
             SELECT event_type AS table_name, max(ts) AS last_ingestion_timestamp,

@@ -25,7 +25,7 @@ from aduana.operators.spec import TableSpec, renamed, same_name
 from aduana.operators.watermark import moment
 from aduana.plans.silver import run_silver
 from aduana.session import fresh_path
-from aduana.sources.archives import archive_lines
+from aduana.sources.archives import archive_lines, filesystem_of
 from aduana.sources.bridge import bridge_file, bridge_pairs
 from aduana.sources.delimited import HEADERED, HEADERLESS, headered, headerless, parsed_lines
 from aduana.sources.inventory import changed_files, excluding_prefixes, file_inventory, with_target
@@ -103,9 +103,7 @@ def bridge_from_file(s: SparkSession, d: str) -> DataFrame:
 def _write_archives(lines: DataFrame, folder: str) -> None:
     """One archive per partition; a repeated task writes the same file again."""
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        filesystem, inner = fs.FileSystem.from_uri(folder)
+        filesystem, inner = filesystem_of(folder)
         filesystem.create_dir(inner)
         number, count = TaskContext.get().partitionId(), 0
         with filesystem.open_output_stream(f"{inner}/Partes{number}.zip") as raw:
@@ -295,17 +293,11 @@ def scalar_numbers(s: SparkSession, d: str) -> DataFrame:
         measures.maturity_band(age * 4).alias("faixa"),
         measures.ratio(price, key % 4, 2).alias("razao"),
         measures.percent(key, F.col("o_custkey") % 9, 2).alias("percentual"),
-        measures.percent_change(key, F.lag(key).over(_by_customer()), 2).alias("variacao"),
+        measures.percent_change(key, F.col("o_custkey"), 2).alias("variacao"),
         F.unix_millis(measures.from_epoch_ms(key * 1000)).alias("milissegundos"),
     )
 
 
-def _by_customer():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("o_custkey").orderBy("o_orderkey")
-
-
 QUERIES = {
     "typed_mapping": typed_mapping,
     "delimited_headered": delimited_headered,

@@ -159,7 +159,8 @@ def upsert_table(
     """Upsert `source` into the table `name` kept below `path`; returns `created` or `updated`.
 
     `source` holds one row per key and should be cheap to read again (see `staged`): the
-    partitioned path uses it to find the partitions as well as the rows.
+    partitioned path uses it to find the partitions as well as the rows. A partition that loses
+    its last row leaves the catalog; its files stay until the partition is written again.
     """
     partition_by = partition_by or []
     source = _as_stored(source, partition_by)

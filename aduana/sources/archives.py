@@ -25,14 +25,21 @@ LINE_SCHEMA = "container_name string, table_name string, path string, member str
 BATCH_LINES = 20_000
 
 
-def _open(path: str):
-    """Seekable stream on a local, HDFS, S3 or GCS path."""
+def filesystem_of(path: str):
+    """Arrow file system and inner path of a Spark path; works on local, HDFS, S3 and GCS paths."""
     from pyarrow import fs
 
-    uri = path
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        uri = "file://" + path[len("file:"):]
-    filesystem, inner = fs.FileSystem.from_uri(uri)
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        path = "file://" + "/" + rest.lstrip("/")
+    elif scheme == "s3a":
+        path = "s3:" + rest
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
+    """Seekable stream of a file; an archive is read piece by piece, never as a whole."""
+    filesystem, inner = filesystem_of(path)
     return filesystem.open_input_file(inner)
 
 

@@ -17,6 +17,7 @@ from aduana.plans import bronze, gold, silver
 from aduana.plans.register_tables import POSITIONS, REGISTER_TABLES
 from aduana.plans.trade_tables import FACTS, TRADE_TABLES
 from aduana.sources.bridge import bridge_file, bridge_rows
+from aduana.sources.inventory import binary_files, file_inventory
 from aduana.streaming.ingest import FACT_FILES, ingest_facts
 from tests.conftest import rows
 
@@ -193,6 +194,15 @@ def test_bridge_is_exploded_and_loaded_once(spark, lake, loaded):
     ]
 
 
+def test_inventory_and_binary_scan(spark, lake, loaded):
+    files = file_inventory(spark, lake.folder("register"), "CNPJ", "*.zip")
+    assert files.columns == ["path", "table_name", "size", "modificationTime", "container_name"]
+    assert "content" not in files._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    assert rows(files, "table_name")[:2] == [("Cnaes.zip",), ("Empresas0.zip",)]
+    content = binary_files(spark, lake.folder("register"), "Motivos.zip").first()
+    assert bytes(content["content"][:2]) == b"PK" and content["length"] == len(content["content"])
+
+
 def test_bridge_rows_take_three_named_columns(spark):
     df = spark.createDataFrame([("x", "1", "d", "0111-3")], "`Unnamed: 0` string, a string, `b c` string, d string")
     assert bridge_rows(df).columns == ["NCM", "NCM_DESC", "CNAE"] and rows(bridge_rows(df)) == [("1", "d", "0111-3")]
