@@ -80,7 +80,8 @@ def archive_lines(inventory: DataFrame, archives: int, encoding: str = ENCODING)
                                 })
 
     wanted = inventory.filter(is_archive()).select("container_name", "table_name", "path")
-    return wanted.repartition(max(archives, 1)).mapInPandas(expand, LINE_SCHEMA)
+    # Ranges of distinct paths: as many tasks as archives, none of them with two.
+    return wanted.repartitionByRange(max(archives, 1), "path").mapInPandas(expand, LINE_SCHEMA)
 
 
 def is_archive():

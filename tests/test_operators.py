@@ -443,3 +443,19 @@ def test_reports_agree_when_one_product_holds_most_rows(spark):
     countries = spark.createDataFrame([(str(c), str(c)) for c in range(4)], "co_pais string, no_pais string")
     got = geo.country_trade(df.filter("fluxo = 'EXP'"), explicit_top(spark, ["00000001"]), countries, "v")
     assert {r["no_pais"]: r["v"] for r in got.collect()} == dict(expected)
+
+
+def test_each_archive_gets_a_task(spark, tmp_path):
+    import zipfile
+
+    from aduana.sources.archives import archive_lines
+    from aduana.sources.inventory import file_inventory
+
+    for n in range(6):
+        with zipfile.ZipFile(tmp_path / f"T{n}.zip", "w") as archive:
+            archive.writestr("a.csv", f"{n};x\r\n\r\n{n};y\n")
+            archive.writestr("b.csv", f"{n};z")
+    lines = archive_lines(file_inventory(spark, str(tmp_path), "X"), 6)
+    tasks = lines.select("table_name", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r["task"] for r in tasks}) == 6 and len(tasks) == 6
+    assert rows(lines.filter("table_name = 'T3.zip'"), "member", "line") == [("a.csv", "3;x"), ("a.csv", "3;y"), ("b.csv", "3;z")]
