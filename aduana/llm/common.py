@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +19,21 @@ from aduana.session import fresh_path
 BLOCK_BYTES = 1 << 20
 
 
+def shipped(query: Callable) -> Callable:
+    """The query with this package sent to the executors first, as `--py-files` would."""
+    @wraps(query)
+    def run(spark: SparkSession, *args):
+        context = spark.sparkContext
+        if not getattr(context, "_aduana_sent", False):
+            root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+            name = os.path.join(tempfile.mkdtemp(prefix="aduana-package-"), "aduana_package")
+            context.addPyFile(shutil.make_archive(name, "zip", root, "aduana"))
+            context._aduana_sent = True
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

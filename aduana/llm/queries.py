@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aduana.llm.common import table
+from aduana.llm.common import shipped, table
 from aduana.llm.packing import op10_packing
+from aduana.llm.quality import op5_quality
 from aduana.llm.simhash import op7_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {
+    found: dict[str, Query] = {
+        "op5_quality": op5_quality,
         "op7_simhash": lambda s, d: op7_simhash(s, table(s, d, "documents")),
         "op10_packing": lambda s, d: op10_packing(table(s, d, "documents")),
     }
+    return {name: shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
