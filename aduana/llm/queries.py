@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aduana.llm.common import shipped, table
 from aduana.llm.fingerprints import op6_fingerprints
+from aduana.llm.mixing import op3_mixing
 from aduana.llm.packing import op10_packing
 from aduana.llm.quality import op5_quality
 from aduana.llm.simhash import op7_simhash
@@ -17,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "op3_mixing": lambda s, d: op3_mixing(s, table(s, d, "documents")),
         "op5_quality": op5_quality,
         "op6_fingerprints": lambda s, d: op6_fingerprints(s, table(s, d, "documents")),
         "op7_simhash": lambda s, d: op7_simhash(s, table(s, d, "documents")),
