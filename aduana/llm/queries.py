@@ -12,6 +12,7 @@ from aduana.llm.mixing import op3_mixing
 from aduana.llm.packing import op10_packing
 from aduana.llm.quality import op5_quality
 from aduana.llm.simhash import op7_simhash
+from aduana.llm.warc import OP4_SQL, op4_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "op3_mixing": lambda s, d: op3_mixing(s, table(s, d, "documents")),
+        "op4_warc": lambda s, d: op4_warc(s, table(s, d, "pages")),
         "op5_quality": op5_quality,
         "op6_fingerprints": lambda s, d: op6_fingerprints(s, table(s, d, "documents")),
         "op7_simhash": lambda s, d: op7_simhash(s, table(s, d, "documents")),
@@ -28,4 +30,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": OP4_SQL}
