@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aduana.llm.common import shipped, table
 from aduana.llm.fingerprints import op6_fingerprints
+from aduana.llm.licenses import op2_licenses
 from aduana.llm.mixing import op3_mixing
 from aduana.llm.packing import op10_packing
 from aduana.llm.quality import op5_quality
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "op2_licenses": lambda s, d: op2_licenses(s, table(s, d, "documents")),
         "op3_mixing": lambda s, d: op3_mixing(s, table(s, d, "documents")),
         "op4_warc": lambda s, d: op4_warc(s, table(s, d, "pages")),
         "op5_quality": op5_quality,
