@@ -11,6 +11,7 @@ from aduana.llm.fingerprints import op6_fingerprints
 from aduana.llm.licenses import op2_licenses
 from aduana.llm.mixing import op3_mixing
 from aduana.llm.packing import op10_packing
+from aduana.llm.pii import op9_pii
 from aduana.llm.quality import op5_quality
 from aduana.llm.simhash import op7_simhash
 from aduana.llm.warc import OP4_SQL, op4_warc
@@ -26,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op5_quality": op5_quality,
         "op6_fingerprints": lambda s, d: op6_fingerprints(s, table(s, d, "documents")),
         "op7_simhash": lambda s, d: op7_simhash(s, table(s, d, "documents")),
+        "op9_pii": lambda s, d: op9_pii(s, table(s, d, "documents")),
         "op10_packing": lambda s, d: op10_packing(table(s, d, "documents")),
     }
     return {name: shipped(query) for name, query in found.items()}
