@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aduana.llm.chat import op1_chat
 from aduana.llm.common import shipped, table
 from aduana.llm.fingerprints import op6_fingerprints
 from aduana.llm.licenses import op2_licenses
@@ -14,6 +15,7 @@ from aduana.llm.packing import op10_packing
 from aduana.llm.pii import op9_pii
 from aduana.llm.quality import op5_quality
 from aduana.llm.simhash import op7_simhash
+from aduana.llm.urls import op8_urls
 from aduana.llm.warc import OP4_SQL, op4_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,12 +23,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "op1_chat": lambda s, d: op1_chat(s, table(s, d, "conversations")),
         "op2_licenses": lambda s, d: op2_licenses(s, table(s, d, "documents")),
         "op3_mixing": lambda s, d: op3_mixing(s, table(s, d, "documents")),
         "op4_warc": lambda s, d: op4_warc(s, table(s, d, "pages")),
         "op5_quality": op5_quality,
         "op6_fingerprints": lambda s, d: op6_fingerprints(s, table(s, d, "documents")),
         "op7_simhash": lambda s, d: op7_simhash(s, table(s, d, "documents")),
+        "op8_urls": lambda s, d: op8_urls(s, table(s, d, "pages")),
         "op9_pii": lambda s, d: op9_pii(s, table(s, d, "documents")),
         "op10_packing": lambda s, d: op10_packing(table(s, d, "documents")),
     }
