@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from aduana.llm.common import written
+from aduana.llm.common import free_name, written
 
 # Weights of the sources, repeating, and the most often that a source is taken.
 WEIGHTS = (5, 2, 1)
@@ -207,11 +207,6 @@ def sizes_of(
     ), "sizes")
 
 
-def _matched(rows: DataFrame, found: DataFrame, id_col: str) -> Column:
-    a, b = rows, found
-    return a[id_col].eqNullSafe(b[id_col]) & a["source"].eqNullSafe(b["source"]) & (a["_size"] == b["size"])
-
-
 def mixed_documents(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED,
@@ -221,16 +216,18 @@ def mixed_documents(
     See `copies` for ties, nulls and repeated rows. All columns stay, whatever their names. An empty table stays
     empty.
     """
+    unit, times = free_name(docs, "_unit"), free_name(docs, "_times")
     found = copies(spark, sizes_of(spark, docs, id_col, text_col, source_col), id_col, weights, most, seed)
     taken = found.filter("copies > 0").select(
-        F.struct(F.col(id_col).alias("i"), F.col("source").alias("s"), F.col("size").alias("n")).alias("_mix_k"),
-        F.col("copies").alias("_mix_copies"),
+        F.struct(F.col(id_col).alias("i"), F.col("source").alias("s"), F.col("size").alias("n")).alias(unit),
+        F.col("copies").alias(times),
     )
     key = F.struct(
         F.col(id_col).alias("i"), F.col(source_col).alias("s"), word_count(F.col(text_col)).alias("n")
     )
-    rows = docs.withColumn("_mix_k", key).join(taken, "_mix_k")
-    return rows.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), "_mix_copies"))).select(*docs.columns)
+    # Structs of nulls are equal to each other, so one key joins them all.
+    rows = docs.withColumn(unit, key).join(taken, unit)
+    return rows.withColumn(unit, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from aduana.llm.common import text_of, written
+from aduana.llm.common import free_name, text_of, written
 from aduana.llm.components import components
 
 SHINGLE = 3
@@ -52,22 +53,25 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def with_fingerprint(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED
+    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, name: str = "fp",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(id, fp) of every row; fp is the signed long with the fingerprint's bits. A null text is empty: zero."""
-    kind = docs.schema[id_col].dataType
+    """The columns `keep` (all by default) and the fingerprint, as the signed long with its bits. A null text is
+    empty: zero."""
+    rows, keep = docs, docs.columns if keep is None else keep
+    if keep != docs.columns:
+        rows = docs.select(*dict.fromkeys([*keep, text_col]))
+    text_at, places = rows.columns.index(text_col), [rows.columns.index(c) for c in keep]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            prints = [fingerprint(text_of(texts[i].as_py()), shingle, seed) for i in range(batch.num_rows)]
+            prints = [fingerprint(text_of(x.as_py()), shingle, seed) for x in batch.column(text_at)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], names=[id_col, "fp"]
+                [*[batch.column(i) for i in places], pa.array(np.array(prints, np.uint64).view(np.int64))],
+                names=[*keep, name],
             )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        hashed, f"{id_col} {kind.simpleString()}, fp long"
-    )
+    return rows.mapInArrow(hashed, StructType([docs.schema[c] for c in keep] + [StructField(name, LongType())]))
 
 
 def reference_fingerprints(pivots: int = PIVOTS, seed: int = SEED) -> np.ndarray:
@@ -183,17 +187,37 @@ def near_duplicates(
     came; an empty table gives no row; other columns are not read. Equal texts meet as one fingerprint with its
     smallest id, so the size of a group of copies matters to no task.
     """
-    prints = written(spark, with_fingerprint(docs, id_col, text_col, shingle, seed), "fingerprints")
-    classes = written(spark, prints.groupBy("fp").agg(F.min(id_col).alias("first")), "classes")
-    linked = components(spark, fingerprint_links(classes.select("fp"), bits))
-    named = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+    prints = written(spark, with_fingerprint(docs, text_col, shingle, seed, keep=[id_col]), "fingerprints")
+    named = rooted(spark, prints.groupBy("fp").agg(F.min(id_col).alias("first")), bits)
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = named.join(smallest, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(id_col, "fp", "component_id")
 
 
+def rooted(spark: SparkSession, classes: DataFrame, bits: int) -> DataFrame:
+    """(fp, first, root) of distinct fingerprints: root is the smallest fingerprint of the component."""
+    classes = written(spark, classes, "classes")
+    linked = components(spark, fingerprint_links(classes.select("fp"), bits)).withColumnRenamed("node", "fp")
+    return classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def deduplicated(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED,
+) -> DataFrame:
+    """One row of `docs` for each component of `near_duplicates`, with all its columns: the one with the smallest
+    id, or any one if none has an id."""
+    mark, kept_fp, kept_id = (free_name(docs, c) for c in ("_simhash", "_kept_fp", "_kept_id"))
+    rows = written(spark, with_fingerprint(docs, text_col, shingle, seed, mark), "fingerprints")
+    named = rooted(spark, rows.groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("first")), bits)
+    kept = named.groupBy("root").agg(
+        F.min_by(F.struct("fp", "first"), F.struct(F.col("first").isNull(), "first", "fp")).alias("k")
+    ).select(F.col("k.fp").alias(kept_fp), F.col("k.first").alias(kept_id))
+    chosen = (F.col(mark) == F.col(kept_fp)) & F.col(id_col).eqNullSafe(F.col(kept_id))
+    # Rows that repeat the id and the fingerprint have met in the join already.
+    return rows.join(kept, chosen, "left_semi").dropDuplicates([mark, id_col]).select(*docs.columns)
+
+
 def op7_simhash(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(spark, docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
