@@ -33,6 +33,8 @@ host {ip|10.0.0.5} and gateway {ip|10.0.0.1} are up
 IPv6 address {ip|2001:db8::8a2e:370:7334} is reserved
 ping {ip|fe80::1ff:fe23:4567:890a} from the console
 login from {ip|2001:db8:0:1::7} refused
+from {ip|2001:db8::12} over the night
+at {ip|2001:db8::5} and {ip|fe80::3} in the list
 aux {ip|55.63.178.142} un de
 Mr. {name|John Carter} signed the letter
 Mrs. {name|Ada Moreno} will attend
@@ -45,6 +47,13 @@ Señora {name|Marta Gil} vive allí
 Madame {name|Claire Dubois} est arrivée
 Monsieur {name|Jean Petit} habite ici
 my name is {name|Peter Olsen} and I agree
+we met Mr. {name|Samuel Brook}, who was there
+ask Dr. {name|Lena Fuchs}, please
+and Frau {name|Helga Stein}, die dort war
+the report of Mrs. {name|Olivia Grant}. It was long
+Herr {name|Karl Braun}, bitte
+und Frau {name|Anna Lange}, wie gesagt
+and Mr. {name|Henry Wood}, as said
 Name: {name|Rosa Klein} of this town
 The answer of the day was to be given in the house
 Then it was over and the people went on with it
@@ -76,6 +85,6 @@ card games are played at the table
 the name of the rose and the name of the wind
 mobile homes and mail boxes at the dot of noon
 he was at home and at work at ten
-Tel aviv and Frau Holle are words in it
+Tel aviv is a town by the sea
 address unknown, phone dead, fax broken
 """.strip().split("\n")

@@ -174,7 +174,7 @@ def fitted(
     # An id that several rows carry counts once.
     rows = sample.mapInArrow(sparse, schema).orderBy(id_col, "columns", "shares").collect()
     rows = [r for i, r in enumerate(rows) if i == 0 or r[0] != rows[i - 1][0]]
-    low = np.array([1 - r["label"] for r in rows])
+    low = np.array([1 - r["label"] for r in rows], np.int64)
     held = np.arange(len(rows)) % 3 == 2
     if min(np.bincount(low, minlength=2)) == 0:
         return None

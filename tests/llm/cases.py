@@ -1,0 +1,42 @@
+"""Rows that every operator must stand: nulls, empty and very long texts, ties, repeated rows, clashing columns."""
+
+from __future__ import annotations
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+LONG = " ".join(f"word{i % 977} of{i % 13}" for i in range(60_000))
+ODD = [
+    (1, "plain words of a text that is neither long nor short " * 3, "en", "a", 1),
+    (2, None, "en", "a", None),
+    (3, "", None, "b", 0),
+    (4, "   \n\t ", "en", None, 6),
+    (5, LONG, "en", "a", len(LONG)),
+    (5, LONG, "en", "a", len(LONG)),  # a repeated row
+    (None, "a text without an id " * 9, "en", None, 7),
+    (None, None, None, None, None),
+    (8, "x" * 200_000, "xx", "b", 200_000),  # a single long word
+    (9, "é𝒳 ü " * 30, "fr", "b", 150),
+    (10, "plain words of a text that is neither long nor short " * 3, "en", "c", 1),
+    (-4, "mail a@b.co\x0b and +1 (212) 555-0147 under the MIT License", "en", "c", 9),
+]
+
+
+def docs(spark, rows=ODD):
+    return spark.createDataFrame(rows, DOCS)
+
+
+def crowded(df):
+    """The same rows with columns whose names operators use inside."""
+    names = [
+        "fp", "first", "root", "size", "copies", "mass", "part", "draw", "done", "base", "added", "label", "labels",
+        "kept", "row", "segment", "turn_", "ids", "id", "offset", "block", "file", "value", "n", "key", "_unit",
+        "_times", "_simhash", "_kept_fp", "_kept_id", "target", "source_size", "probability", "words",
+    ]
+    from pyspark.sql import functions as F
+
+    return df.select("*", *[F.lit("clash").alias(n) for n in names if n not in df.columns])
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
