@@ -94,13 +94,18 @@ class Shapes:
         self.starts, self.ends = block.spans(~_WHITE[data])
         n = len(self.starts)
         kinds = _CLASS[data]
-        size = self.ends - self.starts
+        # Marks at the end of a word are a feature of their own.
+        trimmed = self.ends.copy()
+        for _ in range(2):
+            trimmed -= (trimmed > self.starts + 1) & np.isin(data[trimmed - 1] if n else data[:0], list(b".,:;"))
+        marked = (trimmed < self.ends).astype(np.int64)
+        size = trimmed - self.starts
         counts = {}
         for i, name in enumerate(_CLASSES, 1):
             where = np.flatnonzero(kinds == i)
-            counts[name] = np.searchsorted(where, self.ends) - np.searchsorted(where, self.starts)
+            counts[name] = np.searchsorted(where, trimmed) - np.searchsorted(where, self.starts)
         first = kinds[self.starts].astype(np.int64) if n else np.zeros(0, np.int64)
-        last = kinds[self.ends - 1].astype(np.int64) if n else np.zeros(0, np.int64)
+        last = kinds[trimmed - 1].astype(np.int64) if n else np.zeros(0, np.int64)
         digits = np.searchsorted(_COUNT_STEPS, counts["digit"], "right") - 1
         some = {k: (v > 0).astype(np.int64) for k, v in counts.items()}
         dots = np.minimum(counts["dot"], 4)
@@ -108,11 +113,7 @@ class Shapes:
         capital = (first == 1).astype(np.int64) + ((counts["upper"] == size) & (size > 1))
         pure = (counts["digit"] == size).astype(np.int64)
         colons = np.minimum(counts["colon"], 3)
-        # Words that the table has are known by name, without case and end marks; any other is number 0.
-        trimmed = self.ends.copy()
-        for _ in range(2):
-            shorter = (trimmed > self.starts + 1) & np.isin(data[trimmed - 1] if n else data[:0], list(b".,:;"))
-            trimmed -= shorter
+        # Words that the table has are known by name, without case; any other is number 0.
         hashes = SpanHash(_LOWER[data]).of(self.starts, trimmed)
         place = np.searchsorted(lexicon, hashes)
         place[place == len(lexicon)] = 0
@@ -139,10 +140,11 @@ class Shapes:
             (shape, 55), (digits * 4 + 2 * some["plus"] + some["hyphen"], 44),
             (some["at"] * 5 + dots, 10), (colons * 11 + digits, 44), (capital * 8 + length, 24),
             (first * 10 + last, 100), (pure * 8 + length, 16),
-            (some["bracket"] * 2 + some["other"], 4),
+            (some["bracket"] * 4 + some["other"] * 2 + marked, 8), (before(marked, 2), 3),
             (before(shape, 55), 56), (after(shape, 55), 56), (before(capital, 3), 4), (after(capital, 3), 4),
             (known, len(lexicon) + 1), (before(known, len(lexicon) + 1), len(lexicon) + 2),
             (after(known, len(lexicon) + 1), len(lexicon) + 2),
+            (before(before(known, len(lexicon) + 1), len(lexicon) + 1), len(lexicon) + 2),
         ]
         base, made = 0, []
         for values, width in columns:
@@ -277,7 +279,7 @@ def _plausible(kind: str, text: str) -> bool:
     if kind == "phone":
         return 6 <= len(digits) <= 15 and not re.search(r"[^0-9 ()./+-]", text)
     words = text.split()
-    return 2 <= len(words) <= 4 and all(w[0].isupper() and w[1:].islower() for w in words)
+    return 2 <= len(words) <= 4 and all(w.isalpha() and w[0].isupper() and w[1:].islower() for w in words)
 
 
 _TRIM = {"name": " .,;:!?\"'()", "phone": " .,;:!?\"'/-"}
