@@ -36,6 +36,11 @@ def code(c: str | Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
 
+def moved(key: Column, of, to) -> Column:
+    """The key of a lookup row that no fact is to match: the row stays, under a key of its own."""
+    return F.when(key == of, to).otherwise(key)
+
+
 def state_code(nation: Column) -> Column:
     return F.concat(F.lit("U"), code(nation, 2))
 
@@ -142,8 +147,8 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def isic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").filter("p_size <> 50").select("p_size").distinct().select(
-        code("p_size", 4).alias("co_isic_classe"),
+    return read(spark, sf_dir, "part").select("p_size").distinct().select(
+        code(moved(F.col("p_size"), 50, 9950), 4).alias("co_isic_classe"),
         F.concat(F.lit("Classe "), F.col("p_size").cast("string")).alias("no_isic_classe"),
         F.concat(F.lit("Seção "), (F.col("p_size") % 5).cast("string")).alias("no_isic_secao"),
     )
@@ -156,28 +161,28 @@ def cuci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation 13 is left out: a fact country without a name."""
-    return read(spark, sf_dir, "nation").filter("n_nationkey <> 13").select(
-        code("n_nationkey", 3).alias("co_pais"), F.col("n_name").alias("no_pais")
+    """Nation 13 has another key: a fact country without a name."""
+    return read(spark, sf_dir, "nation").select(
+        code(moved(F.col("n_nationkey"), 13, 913), 3).alias("co_pais"), F.col("n_name").alias("no_pais")
     )
 
 
 def blocs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region as bloc, a second bloc for even nations, none for nation 13."""
-    nation = read(spark, sf_dir, "nation").filter("n_nationkey <> 13")
+    """Region as bloc, a second bloc for even nations; nation 13 has another key."""
+    nation = read(spark, sf_dir, "nation")
     region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    key = code("n_nationkey", 3).alias("co_pais")
+    key = code(moved(F.col("n_nationkey"), 13, 913), 3).alias("co_pais")
     first = nation.join(region, "n_regionkey").select(key, F.col("r_name").alias("no_bloco"))
     second = nation.filter("n_nationkey % 2 = 0").select(key, F.lit("BLOCO PAR").alias("no_bloco"))
     return first.unionByName(second)
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation 24 is left out: a fact state without a name. One region counts as undeclared."""
+    """Nation 24 has another key: a fact state without a name. One region counts as undeclared."""
     region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     label = F.when(F.col("n_regionkey") == 4, "REGIÃO NÃO DECLARADA").otherwise(F.col("r_name"))
-    return read(spark, sf_dir, "nation").filter("n_nationkey <> 24").join(region, "n_regionkey").select(
-        state_code(F.col("n_nationkey")).alias("sg_uf"),
+    return read(spark, sf_dir, "nation").join(region, "n_regionkey").select(
+        state_code(moved(F.col("n_nationkey"), 24, 99)).alias("sg_uf"),
         F.col("n_name").alias("no_uf"),
         label.alias("no_regiao"),
         F.col("n_nationkey").cast("string").alias("co_uf"),
@@ -185,9 +190,10 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = read(spark, sf_dir, "orders").filter("o_orderpriority <> '5-LOW'")
+    """One priority has another key: a fact route without a name."""
+    names = read(spark, sf_dir, "orders")
     return names.select("o_orderpriority").distinct().select(
-        F.col("o_orderpriority").alias("co_via"), F.expr("substring(o_orderpriority, 3)").alias("no_via")
+        moved(F.col("o_orderpriority"), "5-LOW", "9-LOW").alias("co_via"), F.expr("substring(o_orderpriority, 3)").alias("no_via")
     )
 
 
@@ -280,7 +286,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "nation").filter("n_nationkey <> 13").select(
-        code("n_nationkey", 4).alias("codigo_municipio"),
+    return read(spark, sf_dir, "nation").select(
+        code(moved(F.col("n_nationkey"), 13, 9913), 4).alias("codigo_municipio"),
         F.concat(F.lit("Cidade "), "n_name").alias("descricao_municipio"),
     )

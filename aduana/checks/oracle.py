@@ -76,10 +76,10 @@ ROLES = {
         SELECT {_COUNTRY.format('n_nationkey')}, 'BLOCO PAR' FROM nation
         WHERE n_nationkey <> 13 AND n_nationkey % 2 = 0""",
     "uf": f"""
-        SELECT {_STATE.format('n_nationkey')} AS sg_uf, n_name AS no_uf,
+        SELECT {_STATE.format('CASE WHEN n_nationkey = 24 THEN 99 ELSE n_nationkey END')} AS sg_uf, n_name AS no_uf,
                CASE WHEN n_regionkey = 4 THEN 'REGIÃO NÃO DECLARADA' ELSE r_name END AS no_regiao,
                CAST(n_nationkey AS VARCHAR) AS co_uf
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24""",
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "via": """
         SELECT DISTINCT o_orderpriority AS co_via, substr(o_orderpriority, 3) AS no_via
         FROM orders WHERE o_orderpriority <> '5-LOW'""",
@@ -439,6 +439,26 @@ def oracle_sql() -> dict[str, str]:
         "delimited_headerless": _PARTS,
         "positional_names": _PARTS,
         "archive_expand": _PARTS,
+        "binary_scan": "SELECT CAST(p_partkey AS VARCHAR) AS chave, true AS completo FROM part",
+        "dimension_load": """
+            SELECT CAST(n_nationkey AS VARCHAR) AS N_NATIONKEY, n_name AS N_NAME,
+                   CASE WHEN n_nationkey % 2 = 1 THEN CAST(n_regionkey AS VARCHAR) END AS N_REGIONKEY, 'loaded' AS status
+            FROM nation""",
+        "register_load": """
+            SELECT CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS VARCHAR) END AS codigo_motivo,
+                   CASE WHEN p_partkey % 2 = 0 THEN p_name || '; "ação" ' || p_type END AS descricao_motivo,
+                   CASE WHEN p_partkey % 2 = 1 THEN CAST(p_partkey AS VARCHAR) END AS _c0,
+                   CASE WHEN p_partkey % 2 = 1 THEN p_name || '; "ação" ' || p_type END AS _c1,
+                   CASE WHEN p_partkey % 2 = 1 THEN p_brand END AS _c2,
+                   'failed, loaded' AS status
+            FROM part""",
+        "stream_csv_facts": """
+            SELECT CAST(year(l_shipdate) AS VARCHAR) AS CO_ANO, lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS CO_MES,
+                   lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS CO_NCM, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS KG_LIQUIDO,
+                   CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS VARCHAR) AS VL_FOB,
+                   CASE WHEN l_returnflag = 'N' THEN l_linestatus END AS SITUACAO
+            FROM lineitem""",
+        "table_place": "SELECT r_regionkey, true AS na_pasta FROM region",
         "lineage_columns": "SELECT o_orderkey, true AS mesma_data, true AS origem FROM orders",
         "changed_files": f"""
             WITH files AS ({_event_files("event_type <> 'error'")}),
@@ -456,17 +476,17 @@ def oracle_sql() -> dict[str, str]:
                    substr(lpad(CAST(c_custkey * 97 AS VARCHAR), 7, '0'), 1, 5) AS classe,
                    substr(lpad(CAST(c_nationkey AS VARCHAR), 5, '0'), 1, 2) AS divisao,
                    '123' || c_custkey || 'x' AS sem_pontuacao, '123' || c_custkey AS digitos,
-                   CAST(NULL AS VARCHAR) AS sem_digitos,
+                   CASE WHEN c_custkey % 5 = 0 THEN '7' END AS sem_digitos,
                    c_mktsegment || CASE WHEN c_nationkey > 5 THEN c_name ELSE '' END || c_nationkey AS identificador,
                    c_mktsegment || '-' || c_nationkey AS unido, c_mktsegment LIKE 'AUTO%' AS prefixo,
                    lower(c_mktsegment) || c_custkey AS arquivo, lower(c_mktsegment) AS tabela,
-                   c_custkey % 3 <> 2 AS ativa, CAST(len(string_split(c_name, '0')) AS INTEGER) AS partes,
+                   c_custkey % 5 IN (0, 1, 3) AS ativa, CAST(len(string_split(c_name, '0')) AS INTEGER) AS partes,
                    CASE WHEN c_mktsegment = 'BUILDING' THEN 'nenhum' ELSE c_mktsegment END AS preenchido
             FROM customer""",
         "scalar_numbers": f"""
             SELECT o_orderkey, make_date(year(o_orderdate)::INT, month(o_orderdate)::INT, 1) AS mes,
                    CAST(o_orderdate AS DATE) AS data, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS valor,
-                   CAST(o_orderkey AS INTEGER) AS inteiro, CAST(NULL AS BIGINT) AS longo,
+                   CAST(o_orderkey AS INTEGER) AS inteiro, CAST(o_orderkey AS BIGINT) AS longo,
                    CAST({_DAYS} AS INTEGER) AS dias, {years(_DAYS, '1')} AS anos,
                    CASE WHEN {years(_DAYS, '1', 4)} * 4 >= 20 THEN 'Setor Maduro (20+ anos)'
                         WHEN {years(_DAYS, '1', 4)} * 4 >= 10 THEN 'Setor Estabelecido (10-20 anos)'

@@ -138,9 +138,17 @@ def watermark_advance(s: SparkSession, d: str) -> DataFrame:
     return batch_progress(fresh, ["event_type"], "ts").withColumnRenamed("event_type", "table_name")
 
 
+def _table_stream(s: SparkSession, d: str, name: str) -> DataFrame:
+    """A table as a stream, be it a file or a folder of part files."""
+    path = f"{d}/{name}.parquet"
+    place = s._jvm.org.apache.hadoop.fs.Path(path)
+    folder = place.getFileSystem(s._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+    where, glob = (path, "*.parquet") if folder else (d, f"{name}.parquet")
+    return file_stream(s, where, glob, b.read(s, d, name).schema, "parquet")
+
+
 def stream_upsert(s: SparkSession, d: str) -> DataFrame:
-    schema = b.read(s, d, "lineitem").schema
-    stream = file_stream(s, d, "lineitem.parquet", schema, "parquet").withColumn(
+    stream = _table_stream(s, d, "lineitem").withColumn(
         "l_shipdate", F.col("l_shipdate").cast("date")
     )
     order = [
@@ -155,11 +163,10 @@ def stream_upsert(s: SparkSession, d: str) -> DataFrame:
 
 
 def stream_once(s: SparkSession, d: str) -> DataFrame:
-    schema = b.read(s, d, "events").schema
     path, checkpoint = fresh_path(s, "events"), fresh_path(s, "events-checkpoint")
     for _ in range(2):  # the second run finds nothing new
-        append_once(file_stream(s, d, "events.parquet", schema, "parquet"), path, checkpoint)
-    return s.read.schema(schema).parquet(path)
+        append_once(_table_stream(s, d, "events"), path, checkpoint)
+    return s.read.schema(b.read(s, d, "events").schema).parquet(path)
 
 
 def queries() -> dict[str, Query]:

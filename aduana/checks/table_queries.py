@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import urllib.parse
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aduana.checks import binding as b
 from aduana.functions import codes, measures
@@ -20,15 +22,17 @@ from aduana.functions.typing import parsed
 from aduana.operators import sinks
 from aduana.operators.lineage import LOADED_AT, SOURCE, with_lineage
 from aduana.operators.mapping import all_text, apply_spec, name_columns
-from aduana.operators.skew import hot_keys
 from aduana.operators.spec import TableSpec, renamed, same_name
 from aduana.operators.watermark import moment
+from aduana.plans import bronze
+from aduana.plans.audit import frequent_keys
 from aduana.plans.silver import run_silver
 from aduana.session import fresh_path
-from aduana.sources.archives import archive_lines, filesystem_of
+from aduana.sources.archives import archive_lines
 from aduana.sources.bridge import bridge_file, bridge_pairs
 from aduana.sources.delimited import HEADERED, HEADERLESS, headered, headerless, parsed_lines
-from aduana.sources.inventory import changed_files, excluding_prefixes, file_inventory, with_target
+from aduana.sources.inventory import binary_files, changed_files, excluding_prefixes, with_target
+from aduana.streaming.ingest import ingest_facts
 
 LOAD_CUT = dt.datetime(2024, 1, 28)
 
@@ -100,32 +104,145 @@ def bridge_from_file(s: SparkSession, d: str) -> DataFrame:
     return bridge_pairs(bridge_file(s, path).drop("origem"))
 
 
-def _write_archives(lines: DataFrame, folder: str) -> None:
-    """One archive per partition; a repeated task writes the same file again."""
+def _opener(folder: str):
+    """Writes a file of the shared folder from a task. Spark itself writes no archives."""
+    from pyarrow import fs
+
+    scheme, _, rest = folder.partition(":")
+    if scheme == "file":
+        folder = "/" + rest.lstrip("/")
+    if folder.startswith("/"):
+        filesystem, inner = fs.LocalFileSystem(), folder
+    else:
+        filesystem, inner = fs.FileSystem.from_uri(urllib.parse.quote(folder, safe=":/"))
+    filesystem.create_dir(inner)
+    return lambda name: filesystem.open_output_stream(f"{inner}/{name}")
+
+
+def _write_archives(lines: DataFrame, folder: str, names: dict[int, str], broken: str | None = None) -> None:
+    """An archive per partition and kind, of rows (kind, value); a repeated task writes the same files again.
+
+    `names` are file names by kind, with a place for the number of the partition.
+    """
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, inner = filesystem_of(folder)
-        filesystem.create_dir(inner)
-        number, count = TaskContext.get().partitionId(), 0
-        with filesystem.open_output_stream(f"{inner}/Partes{number}.zip") as raw:
-            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
-                with archive.open("partes.csv", "w") as member:
-                    for batch in batches:
-                        for line in batch["value"]:
-                            member.write((line + "\n").encode("ISO-8859-1"))
-                            count += 1
+        opened, number, count = _opener(folder), TaskContext.get().partitionId(), 0
+        files = {k: opened(name.format(number)) for k, name in names.items()}
+        archives = {k: zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) for k, f in files.items()}
+        members = {k: a.open("partes.csv", "w", force_zip64=True) for k, a in archives.items()}
+        for batch in batches:
+            for kind, line in zip(batch["kind"], batch["value"], strict=True):
+                members[kind].write((line + "\n").encode("ISO-8859-1"))
+                count += 1
+        for part in (members, archives, files):
+            for x in part.values():
+                x.close()
+        if broken and number == 0:
+            with opened(broken) as f:
+                f.write(b"broken")
         yield pd.DataFrame({"n": [count]})
 
-    lines.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    lines.select("kind", "value").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def _quoted(*columns: Column) -> Column:
+    row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    return F.to_csv(row, {"sep": ";", "quote": '"', "escape": '"'})
 
 
 def archive_expand(s: SparkSession, d: str) -> DataFrame:
-    folder = fresh_path(s, "archives")
-    row = F.struct(*[c.alias(n) for c, n in zip(map(F.col, _part_lines(s, d).columns), PART_NAMES)])
-    text = F.to_csv(row, {"sep": ";", "quote": '"', "escape": '"'}).alias("value")
-    _write_archives(_part_lines(s, d).select(text), folder)
-    files = file_inventory(s, folder, "CNPJ")
-    lines = archive_lines(files, s.sparkContext.defaultParallelism)
-    return parsed_lines(lines, PART_NAMES, keep=[])
+    """Archives whose names hold a blank and an accent."""
+    folder, parts = fresh_path(s, "archives"), _part_lines(s, d)
+    text = _quoted(*[F.col(c) for c in parts.columns])
+    _write_archives(parts.select(F.lit(0).alias("kind"), text.alias("value")), folder, {0: "Peças {}.zip"})
+    return parsed_lines(archive_lines(binary_files(s, folder)), PART_NAMES, keep=[])
+
+
+def binary_scan(s: SparkSession, d: str) -> DataFrame:
+    """Whole files as rows: their keys, and whether all of a file is there."""
+    path = fresh_path(s, "binary")
+    b.read(s, d, "part").select(F.col("p_partkey").cast("string").alias("value")).write.text(path)
+    files = binary_files(s, path, "*.txt")
+    content = F.col("content").cast("string")
+    return files.select(
+        F.explode(F.split(F.rtrim(content), "\n")).alias("chave"),
+        (F.col("length") == F.octet_length(content)).alias("completo"),
+    ).filter("chave <> ''")
+
+
+def _landing(s: SparkSession) -> tuple[str, str, tuple[str, str]]:
+    """A database for raw tables, the folder for them, and the name and path of the control table."""
+    tag, root = uuid.uuid4().hex[:12], fresh_path(s, "landing")
+    sinks.ensure_database(s, f"raw_{tag}", f"{root}/db")
+    return f"raw_{tag}", root, (f"raw_{tag}.controle", f"{root}/controle")
+
+
+def _statuses(report: DataFrame) -> str:
+    return ", ".join(sorted({r["status"] for r in report.collect()}))
+
+
+def dimension_load(s: SparkSession, d: str) -> DataFrame:
+    """Nations from two files of one table with different headers."""
+    database, root, control = _landing(s)
+    nation = all_text(b.read(s, d, "nation"))
+    odd = F.col("n_nationkey").cast("int") % 2 == 1
+    for name, rows in (
+        ("NACAO", nation.filter(~odd).select("n_nationkey", "n_name")),
+        ("NACAO.2", nation.filter(odd).select("n_name", "n_regionkey", "n_nationkey")),
+    ):
+        text = [rows.columns, *[list(r) for r in rows.collect()]]  # 25 nations
+        with _opener(f"{root}/files")(f"{name}.csv") as f:
+            f.write("\n".join(";".join(x) for x in [[c.upper() for c in text[0]], *text[1:]]).encode("ISO-8859-1"))
+    report = bronze.load_dimensions(s, f"{root}/files", database, f"{root}/raw", *control)
+    return s.table(f"{database}.nacao").select(
+        "N_NATIONKEY", "N_NAME", "N_REGIONKEY", F.lit(_statuses(report)).alias("status")
+    )
+
+
+def register_load(s: SparkSession, d: str) -> DataFrame:
+    """Parts as archives of two widths, and one archive that cannot be read."""
+    database, root, control = _landing(s)
+    rows, key = _part_lines(s, d), F.col("p_partkey")
+    key, name, brand = (F.col(c) for c in rows.columns)
+    even = key.cast("bigint") % 2 == 0
+    lines = rows.select(
+        F.when(even, 0).otherwise(1).alias("kind"),
+        F.when(even, _quoted(key, name)).otherwise(_quoted(key, name, brand)).alias("value"),
+    )
+    _write_archives(lines, f"{root}/files", {0: "Motivos{}0.zip", 1: "Motivos {}1.zip"}, "Motivos2.zip")
+    report = bronze.load_register(s, f"{root}/files", database, f"{root}/raw", *control)
+    return s.table(f"{database}.motivos").select(
+        "codigo_motivo", "descricao_motivo", "_c0", "_c1", "_c2", F.lit(_statuses(report)).alias("status")
+    )
+
+
+def stream_csv_facts(s: SparkSession, d: str) -> DataFrame:
+    """Line items as fact files: some with their columns in another order and a further one."""
+    database, root, _ = _landing(s)
+    lines = b.read(s, d, "lineitem")
+    facts = lines.select(
+        F.year("l_shipdate").cast("string").alias("CO_ANO"),
+        F.lpad(F.month("l_shipdate").cast("string"), 2, "0").alias("CO_MES"),
+        F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("CO_NCM"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("KG_LIQUIDO"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("string").alias("VL_FOB"),
+        F.col("l_linestatus").alias("SITUACAO"), "l_returnflag",
+    )
+    names = ["CO_ANO", "CO_MES", "CO_NCM", "KG_LIQUIDO", "VL_FOB"]
+    facts.filter("l_returnflag <> 'N'").select(*names).write.options(**HEADERED).csv(f"{root}/a")
+    facts.filter("l_returnflag = 'N'").select("SITUACAO", *names[::-1]).write.options(**HEADERED).csv(f"{root}/b")
+    schema = StructType([StructField(n, StringType()) for n in names])
+    for folder in ("a", "b", "b"):  # the last run finds nothing new
+        ingest_facts(s, f"{root}/{folder}", f"exp_{folder}", schema, database, f"{root}/raw", glob="*.csv")
+    return s.table(f"{database}.exp_a").select(*names).unionByName(
+        s.table(f"{database}.exp_b").select(*names, "SITUACAO"), allowMissingColumns=True
+    )
+
+
+def table_place(s: SparkSession, d: str) -> DataFrame:
+    """Whether a table lies below the folder it was made in."""
+    name, path = _name("placed"), fresh_path(s, "placed")
+    sinks.save_table(s, b.read(s, d, "region").select("r_regionkey"), name, path)
+    return s.table(name).select("r_regionkey", F.lit(path.split(":")[-1] in sinks.table_location(s, name)).alias("na_pasta"))
 
 
 def lineage_columns(s: SparkSession, d: str) -> DataFrame:
@@ -160,8 +277,8 @@ def changed_event_files(s: SparkSession, d: str) -> DataFrame:
     return with_target(changed_files(inventory, control, "CNPJ"), numbered=True)
 
 
-def hot_products(s: SparkSession, d: str) -> DataFrame:
-    return hot_keys(b.read(s, d, "events"), "user_id", 0.008)
+def frequent_users(s: SparkSession, d: str) -> DataFrame:
+    return frequent_keys(b.read(s, d, "events"), "user_id", 0.008)
 
 
 def append_partitioned(s: SparkSession, d: str) -> DataFrame:
@@ -255,7 +372,8 @@ def scalar_codes(s: SparkSession, d: str) -> DataFrame:
     name, segment = F.col("c_name"), F.col("c_mktsegment")
     listed = F.concat(F.lit(" 12.3-"), F.col("c_custkey").cast("string"), F.lit("x "))
     file = F.concat(segment, F.col("c_custkey").cast("string"), F.lit(".csv.zip"))
-    flag = F.when(F.col("c_custkey") % 3 == 0, " 2").when(F.col("c_custkey") % 3 == 1, "02").otherwise("x")
+    kind = F.col("c_custkey") % 5
+    flag = F.when(kind == 0, " 2").when(kind == 1, "02").when(kind == 2, "021").when(kind == 3, "002").otherwise("x")
     return b.read(s, d, "customer").select(
         "c_custkey",
         F.trim(listed).alias("aparado"),
@@ -264,7 +382,7 @@ def scalar_codes(s: SparkSession, d: str) -> DataFrame:
         codes.division_of_class(codes.class_key("c_nationkey")).alias("divisao"),
         codes.without_punctuation(F.trim(listed)).alias("sem_pontuacao"),
         codes.leading_digits(codes.without_punctuation(F.trim(listed))).alias("digitos"),
-        codes.leading_digits(name).alias("sem_digitos"),
+        codes.leading_digits(F.when(kind == 0, "7a").otherwise(name)).alias("sem_digitos"),
         codes.joined_id(segment, F.when(F.col("c_nationkey") > 5, name), "c_nationkey").alias("identificador"),
         F.concat_ws("-", segment, "c_nationkey").alias("unido"),
         segment.startswith("AUTO").alias("prefixo"),
@@ -287,7 +405,7 @@ def scalar_numbers(s: SparkSession, d: str) -> DataFrame:
         parsed(F.date_format(opened, "yyyyMMdd"), "date").alias("data"),
         parsed(text, "double").alias("valor"),
         parsed(key.cast("string"), "int").alias("inteiro"),
-        parsed(text, "bigint").alias("longo"),
+        parsed(F.concat(key.cast("string"), F.when(key % 2 == 0, ".9").otherwise("")), "bigint").alias("longo"),
         measures.days_since(opened, b.AS_OF).alias("dias"),
         measures.mean_years(measures.days_since(opened, b.AS_OF), F.lit(1), 365.25, 2).alias("anos"),
         measures.maturity_band(age * 4).alias("faixa"),
@@ -304,10 +422,15 @@ QUERIES = {
     "delimited_headerless": delimited_headerless,
     "positional_names": positional_names,
     "archive_expand": archive_expand,
+    "binary_scan": binary_scan,
+    "dimension_load": dimension_load,
+    "register_load": register_load,
+    "stream_csv_facts": stream_csv_facts,
+    "table_place": table_place,
     "bridge_from_file": bridge_from_file,
     "lineage_columns": lineage_columns,
     "changed_files": changed_event_files,
-    "hot_keys": hot_products,
+    "hot_keys": frequent_users,
     "append_partitioned": append_partitioned,
     "append_widened": append_widened,
     "create_or_append": create_or_append,

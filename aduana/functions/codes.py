@@ -37,8 +37,9 @@ def division_of_class(c: str | Column) -> Column:
 
 
 def flag_is(c: str | Column, value: int) -> Column:
-    """Compare a text flag with a number: '2', '02' and ' 02 ' are all 2, 'x' is simply not."""
-    return F.lpad(F.trim(_col(c).cast("string")), 2, "0") == F.lit(f"{value:02d}")
+    """Compare a text flag with a number: '2', '02' and ' 002 ' are all 2, '021' and 'x' are not."""
+    text = F.trim(_col(c).cast("string"))
+    return F.when(text.isNotNull(), F.coalesce(text.try_cast("int") == value, F.lit(False)))
 
 
 def leading_digits(c: str | Column) -> Column:
@@ -61,5 +62,14 @@ def file_stem(c: str | Column) -> Column:
 
 
 def table_of_file(c: str | Column) -> Column:
-    """Table a numbered file belongs to: `Empresas3.zip` -> `empresas`."""
-    return F.regexp_replace(file_stem(c), r"\d+$", "")
+    """Table a numbered file belongs to: `Empresas3.zip` and `Empresas 3.zip` -> `empresas`."""
+    return table_name(F.regexp_replace(file_stem(c), r"[ _-]*\d+$", ""))
+
+
+# Accented letters and their plain forms.
+ACCENTED, PLAIN = "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn"
+
+
+def table_name(c: str | Column) -> Column:
+    """A name the catalog takes without quotes: plain letters, digits and underscores."""
+    return F.regexp_replace(F.translate(F.lower(F.trim(_col(c))), ACCENTED, PLAIN), "[^a-z0-9_]+", "_")

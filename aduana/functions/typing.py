@@ -10,7 +10,8 @@ DATE_PATTERN = "yyyyMMdd"
 def parsed(c: Column, type_name: str) -> Column:
     """Convert text `c`; what cannot be read becomes null, as it does without ANSI mode.
 
-    Dates arrive as yyyyMMdd. Fractional numbers may carry a decimal comma.
+    Dates arrive as yyyyMMdd. Fractional numbers may carry a decimal comma; whole numbers lose what
+    stands after a decimal point.
     """
     kind = type_name.strip().lower()
     if kind == "string":
@@ -19,4 +20,8 @@ def parsed(c: Column, type_name: str) -> Column:
         return F.try_to_date(c, DATE_PATTERN)
     if kind == "double" or kind.startswith("decimal"):
         return F.replace(c, F.lit(","), F.lit(".")).try_cast(kind)
+    if kind in ("tinyint", "smallint", "int", "integer", "bigint", "long"):
+        # The cast to a whole number alone would refuse a decimal point.
+        whole = F.regexp_replace(F.trim(c), r"^([+-]?\d+)\.\d*$", "$1")
+        return F.coalesce(whole.try_cast(kind), c.try_cast("decimal(38,9)").try_cast(kind))
     return c.try_cast(kind)

@@ -12,8 +12,6 @@ ORIGIN = {
     "imp_extra": "IMPORTAÇÃO_EXTRA",
 }
 
-BROADCAST_ROWS = 10_000
-
 
 def refilled_top(
     values: DataFrame,
@@ -48,14 +46,12 @@ def refilled_top(
         .otherwise(3)
     )
     labels = F.array(*[F.lit(ORIGIN[o]) for o in ("exp", "imp", "exp_extra", "imp_extra")])
-    chosen = (
+    return (
         ranks.withColumn("stage", stage)
         .orderBy("stage", F.when(F.col("stage").isin(0, 2), r1).otherwise(r2))
         .limit(total)
         .select(key, F.get(labels, F.col("stage")).alias("origem"))
     )
-    # The limit proves the size; a list of more than this many rows is left to Spark's own check.
-    return F.broadcast(chosen) if total <= BROADCAST_ROWS else chosen
 
 
 def explicit_top(spark, codes: list[str], key: str = "CO_NCM") -> DataFrame:

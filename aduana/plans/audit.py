@@ -18,6 +18,13 @@ def _bridge_counts(pairs: DataFrame) -> DataFrame:
     return pairs.select(product_key("NCM").alias("chave"))
 
 
+def frequent_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys that hold at least `share` of the rows, at most 1 / share of them; reads the key column only."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.filter(F.col("n") >= total * F.lit(share)).select(key)
+
+
 def bridge_code_coverage(exports: DataFrame, pairs: DataFrame) -> DataFrame:
     """Percentage of exported product codes the bridge knows, and mean activities per code.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections import defaultdict
 from collections.abc import Callable
 
@@ -11,13 +10,14 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from aduana.operators.lineage import LINEAGE, LOAD_DATE, with_lineage
 from aduana.operators.mapping import all_text
 from aduana.operators.sinks import create_empty, create_or_append, ensure_database
-from aduana.operators.upsert import upsert_table
+from aduana.operators.upsert import staged, upsert_table
 from aduana.plans.register_tables import POSITIONS
-from aduana.sources.archives import archive_lines, is_archive
+from aduana.sources.archives import archive_blocks, is_archive, lines_of
 from aduana.sources.bridge import bridge_pairs, bridge_rows
-from aduana.sources.delimited import QUOTE, SEPARATOR, headered, parsed_lines
+from aduana.sources.delimited import BAD, field_count, flagged_lines, headered, parsed_lines
 from aduana.sources.inventory import (
     CONTROL_SCHEMA,
+    binary_files,
     changed_files,
     control_rows,
     excluding_prefixes,
@@ -43,17 +43,22 @@ def _append(spark: SparkSession, rows: DataFrame, database: str, base_path: str,
     )
 
 
+Failures = list[tuple[Row, str]]
+
+
 def _per_table(
     spark: SparkSession,
     changed: DataFrame,
     control: str,
     control_path: str,
-    load: Callable[[str, DataFrame, list[Row]], None],
+    load: Callable[[str, list[Row]], tuple[list[Row], Failures, str | None]],
 ) -> DataFrame:
-    """Load the changed files table by table; one table's failure does not stop the others.
+    """Load the changed files table by table; neither a table nor a file that fails stops the others.
 
-    The list of files is metadata the driver needs to name the scans. A table's control rows are
-    written only after all of its files are in.
+    `load` returns the files that are in, those that are not with their error, and a remark. The list of
+    files is metadata the driver needs to name the scans. Control rows are written only for files that are
+    in, so that the others are tried again. The report has a row for what was loaded of a table, and one for
+    each file that was not.
     """
     by_table = defaultdict(list)
     for file in changed.collect():
@@ -61,12 +66,14 @@ def _per_table(
     report = []
     for table, files in sorted(by_table.items()):
         try:
-            rows = spark.createDataFrame(files, changed.schema)
-            load(table, rows, files)
-            upsert_table(spark, control, control_rows(rows), CONTROL_KEYS, control_path)
-            report.append((table, "loaded", len(files), None))
+            done, failures, remark = load(table, files)
+            if done:
+                rows = spark.createDataFrame(done, changed.schema)
+                upsert_table(spark, control, control_rows(rows), CONTROL_KEYS, control_path)
+                report.append((table, "loaded", len(done), remark))
+            report += [(table, "failed", 1, f"{file['path']}: {error}") for file, error in failures]
         except Exception as error:  # noqa: BLE001 - recorded per table
-            report.append((table, "failed", len(files), str(error)[:500]))
+            report.append((table, "failed", len(files), str(error)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -81,14 +88,31 @@ def load_dimensions(
         changed_files(inventory, spark.table(control), TRADE), numbered=False
     ).filter(F.lower("table_name").endswith(".csv"))
 
-    def load(table: str, _: DataFrame, files: list[Row]) -> None:
-        # One scan per file: each file brings its own header.
-        scans = [with_lineage(all_text_scan(spark, f["path"])) for f in files]
-        rows = scans[0]
-        for scan in scans[1:]:
-            rows = rows.unionByName(scan, allowMissingColumns=True)
+    def append(table: str, files: list[Row]) -> None:
+        # Files with one header are one scan.
+        by_header = defaultdict(list)
+        for f in files:
+            by_header[tuple(headered(spark, f["path"]).columns)].append(f["path"])
+        rows = None
+        for header, paths in by_header.items():
+            scan = with_lineage(headered(spark, paths, list(header)))
+            rows = scan if rows is None else rows.unionByName(scan, allowMissingColumns=True)
         _append(spark, rows, database, base_path, table)
 
+    def load(table: str, files: list[Row]) -> tuple[list[Row], Failures, str | None]:
+        try:
+            append(table, files)
+            return files, [], None
+        except Exception:  # noqa: BLE001 - found out file by file
+            done, failures = [], []
+            for file in files:
+                try:
+                    append(table, [file])
+                    done.append(file)
+                except Exception as error:  # noqa: BLE001 - recorded per file
+                    failures.append((file, str(error)))
+            return done, failures, None
+
     return _per_table(spark, changed, control, control_path, load)
 
 
@@ -98,14 +122,37 @@ def all_text_scan(spark: SparkSession, path: str) -> DataFrame:
     return scan if all(t == "string" for _, t in scan.dtypes) else all_text(scan)
 
 
-def _names_for(table: str, lines: DataFrame) -> list[str]:
-    """Positional names if the first line has as many fields as the table, else _c0, _c1, ..."""
-    first = lines.select("line").first()
-    count = len(next(csv.reader([first["line"]], delimiter=SEPARATOR, quotechar=QUOTE))) if first else 0
-    names = POSITIONS.get(table)
-    if names and (first is None or len(names) == count):
-        return names
-    return [f"_c{i}" for i in range(count)]
+def register_rows(lines: DataFrame, names: list[str] | None) -> tuple[DataFrame, str | None]:
+    """(path, member, line) to columns, and a remark on members of another width.
+
+    A member gets the positional names if every line of it has as many fields as there are names; another
+    one keeps all its fields as _c0, _c1, ... The widths are found in the executors; a member is a file of
+    its own, so their list is metadata.
+    """
+    listed, some_fit = None, False
+    if names:
+        fits = flagged_lines(lines, names).groupBy("path", "member").agg(F.every(F.col(BAD).isNull()).alias("fits"))
+        members = [tuple(r) for r in fits.collect()]
+        odd = [m[:2] for m in members if not m[2]]
+        if not odd:
+            return parsed_lines(lines, names, keep=["path", "member"]), None
+        some_fit = len(odd) < len(members)
+        listed = lines.sparkSession.createDataFrame(sorted(odd), "path string, member string")
+    key = F.struct("path", "member")
+    others = lines.join(F.broadcast(listed), ["path", "member"], "left_semi") if some_fit else lines
+    widths = others.groupBy("path", "member").agg(F.max(field_count(F.col("line"))).alias("n")).collect()
+    parts = []
+    if some_fit:
+        fitting = lines.join(F.broadcast(listed), ["path", "member"], "left_anti")
+        parts.append(parsed_lines(fitting, names, keep=["path", "member"]))
+    for n in sorted({r["n"] for r in widths}):
+        of_width = [F.struct(F.lit(r["path"]).alias("path"), F.lit(r["member"]).alias("member")) for r in widths if r["n"] == n]
+        parts.append(parsed_lines(others.filter(key.isin(*of_width)), [f"_c{i}" for i in range(n)], keep=["path", "member"]))
+    rows = parts[0] if parts else parsed_lines(lines, names or ["_c0"], keep=["path", "member"])
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    told = [f"{r['path']}/{r['member']} has {r['n']} columns" for r in sorted(widths)] if names else []
+    return rows, "; ".join(told) or None
 
 
 def load_register(
@@ -118,13 +165,21 @@ def load_register(
         changed_files(file_inventory(spark, landing, REGISTER), spark.table(control), REGISTER), numbered=True
     ).filter(is_archive())
 
-    def load(table: str, rows: DataFrame, files: list[Row]) -> None:
-        lines = archive_lines(rows, len(files))
-        parsed = parsed_lines(lines, _names_for(table, lines), keep=["path", "member"])
-        source = F.concat_ws("/", F.col("path"), F.element_at(F.split("member", "/"), -1))
-        data = [c for c in parsed.columns if c not in ("path", "member")]
-        loaded = with_lineage(parsed, source).select(*data, *LINEAGE)
-        _append(spark, loaded, database, base_path, table)
+    def load(table: str, files: list[Row]) -> tuple[list[Row], Failures, str | None]:
+        # Unpacked once; the errors, the widths and the rows all start from these blocks.
+        blocks = staged(spark, archive_blocks(binary_files(spark, [f["path"] for f in files])), table)
+        errors = {r["path"]: r["error"] for r in blocks.filter("error is not null").collect()}
+        done = [f for f in files if f["path"] not in errors]
+        if done:
+            good = blocks.filter(F.col("path").isin(*[f["path"] for f in done])) if errors else blocks
+            parsed, remark = register_rows(lines_of(good), POSITIONS.get(table))
+            source = F.concat_ws("/", F.col("path"), F.element_at(F.split("member", "/"), -1))
+            data = [c for c in parsed.columns if c not in ("path", "member")]
+            loaded = with_lineage(parsed, source).select(*data, *LINEAGE)
+            _append(spark, loaded, database, base_path, table)
+        else:
+            remark = None
+        return done, [(f, errors[f["path"]]) for f in files if f["path"] in errors], remark
 
     return _per_table(spark, changed, control, control_path, load)
 

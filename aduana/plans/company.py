@@ -23,7 +23,6 @@ from aduana.functions.codes import (
 from aduana.functions.measures import days_since, maturity_band, mean_years, rounded, weighted_mean
 from aduana.functions.typing import parsed
 from aduana.operators.flows import EXPORT, IMPORT, flow_rows, flow_sum
-from aduana.operators.skew import salted_left_join
 from aduana.plans.geo import only_top
 
 ACTIVE = 2
@@ -79,6 +78,12 @@ def _top_pairs(bridge: DataFrame, top: DataFrame) -> DataFrame:
     return only_top(bridge, _padded(top, "CO_NCM"))
 
 
+def _in_classes(sites: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Sites of the classes in `pairs`, whose keys are five digits (`keyed_pairs`): at most 100,000 of
+    them are broadcast, and the sites, which crowd in a few classes, are not shuffled by them."""
+    return sites.join(F.broadcast(pairs.select("classe").distinct()), "classe", "left_semi")
+
+
 def _class_state_trade(trade: DataFrame, top: DataFrame, pairs: DataFrame) -> DataFrame:
     """Trade of the top products per class and state; value counts once per class of a product."""
     measures = [
@@ -112,12 +117,10 @@ def company_fact(
     size, so they must not be added up over sizes.
     """
     pairs = _top_pairs(bridge, top)
-    classes = pairs.select("classe").distinct()
     days = days_since("data_inicio_atividade", as_of)
+    located = F.col("uf").isNotNull() & F.col("cnae_fiscal_principal").isNotNull()
     per_company = (
-        _active_sites(sites)
-        .filter(F.col("uf").isNotNull() & F.col("cnae_fiscal_principal").isNotNull())
-        .join(classes, "classe", "left_semi")
+        _in_classes(_active_sites(sites).filter(located), pairs)
         .groupBy("cnpj_basico", "classe", "uf")
         .agg(
             F.sum(days).alias("dias"),
@@ -243,8 +246,8 @@ def class_age(fact: DataFrame, classes: DataFrame, digits: int = 2) -> DataFrame
 
 
 def company_dim(sites: DataFrame, companies: DataFrame, cities: DataFrame) -> DataFrame:
-    """Every site with its company and city. Row by row, so nothing can be summed beforehand:
-    the company lookup spreads companies that hold very many sites."""
+    """Every site with its company and city. Row by row, so nothing can be summed beforehand; a
+    company that holds very many sites is split by adaptive execution."""
     company = companies.select("cnpj_basico", "razao_social", "porte_empresa", "capital_social")
     city = cities.select(
         F.col("codigo_municipio").alias("_municipio"), F.col("descricao_municipio").alias("_cidade")
@@ -253,7 +256,7 @@ def company_dim(sites: DataFrame, companies: DataFrame, cities: DataFrame) -> Da
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "cnae_fiscal_principal", "uf",
         "municipio", "situacao_cadastral", "data_inicio_atividade",
     )
-    rows = salted_left_join(site, company, "cnpj_basico")
+    rows = site.join(company, "cnpj_basico", "left")
     return rows.join(city, F.col("municipio") == F.col("_municipio"), "left").select(
         "cnpj_basico",
         "cnpj_ordem",
@@ -302,8 +305,7 @@ def opportunities(
     pairs = _top_pairs(bridge, top)
     days = days_since("data_inicio_atividade", as_of)
     per_company = (
-        _active_sites(sites)
-        .join(pairs.select("classe").distinct(), "classe", "left_semi")
+        _in_classes(_active_sites(sites), pairs)
         .groupBy("classe", "cnpj_basico")
         .agg(F.sum(days).alias("dias"), F.count(days).alias("n"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +15,8 @@ from aduana.operators.spec import TableSpec
 from aduana.operators.upsert import replace_rows, staged, upsert_table
 from aduana.operators.watermark import CONTROL_SCHEMA, advance_watermark, batch_progress, last_watermark, new_rows
 
+# How late a load may commit rows under an earlier load time.
+LATE = dt.timedelta(hours=1)
 REPORT_SCHEMA = "table_name string, status string, records bigint, missing_columns string, message string"
 
 
@@ -34,20 +37,31 @@ def _load_one(
     target = f"{silver}.{spec.name}"
     raw = spark.table(source)
     absent = ", ".join(missing_columns(raw, spec)) or None
-    fresh = new_rows(raw, last_watermark(spark.table(control), spec.name), overlap=overlap, date_col=LOAD_DATE)
-    if fresh.isEmpty():
-        return (spec.name, "unchanged", 0, absent, None)
+    watermark = last_watermark(spark.table(control), spec.name)
+    fresh = new_rows(raw, watermark, overlap=overlap, date_col=LOAD_DATE)
     latest = latest_by_key(apply_spec(fresh, spec), spec.keys, [LOADED_AT])
     first_load = not table_exists(spark, target)
-    if not first_load:
+    if first_load:
+        if fresh.isEmpty():
+            return (spec.name, "unchanged", 0, absent, None)
+    else:
+        # What the overlap reads again is in the typed table, with the load time it came with.
+        same = [*spec.keys, LOADED_AT]
+        seen = new_rows(spark.table(target), watermark, overlap=overlap).select(*same)
+        match = reduce(lambda x, y: x & y, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in same])
+        latest = latest.alias("n").join(seen.alias("o"), match, "left_anti")
         # Written once: the count, the touched partitions and the merge all start from these files.
         latest = staged(spark, latest, spec.name)
+    progress = batch_progress(latest, [], LOADED_AT)
+    if not first_load and not progress.first()["records_processed"]:
+        return (spec.name, "unchanged", 0, absent, None)
     status = upsert_table(spark, target, latest, spec.keys, f"{base_path}/{spec.name}", spec.partition_by)
-    progress = batch_progress(spark.table(target) if first_load else latest, [], LOADED_AT)
+    if first_load:
+        progress = batch_progress(spark.table(target), [], LOADED_AT)
     records = progress.first()["records_processed"]
     update = progress.select(
         F.lit(spec.name).alias("table_name"),
-        "last_ingestion_timestamp",
+        F.greatest("last_ingestion_timestamp", F.lit(watermark).cast("timestamp")).alias("last_ingestion_timestamp"),
         F.current_timestamp().alias("last_update"),
         "records_processed",
         F.lit(execution_id).alias("execution_id"),
@@ -65,12 +79,13 @@ def run_silver(
     control: str,
     control_path: str,
     execution_id: str,
-    overlap: dt.timedelta = dt.timedelta(0),
+    overlap: dt.timedelta = LATE,
 ) -> DataFrame:
     """Bring every table of `specs` up to date; returns one report row per table.
 
-    A table that is missing or fails is reported and the run goes on. With an `overlap` a run
-    reads rows again that were committed late; counts in the control table then include them.
+    A table that is missing or fails is reported and the run goes on. A run reads the last `overlap`
+    before the watermark again, for rows that were committed late under an earlier load time; only
+    those that the typed table has not seen count as new.
     """
     ensure_database(spark, silver)
     ensure_database(spark, control.split(".")[0])
@@ -82,7 +97,7 @@ def run_silver(
                 _load_one(spark, spec, bronze, silver, base_path, control, control_path, execution_id, overlap)
             )
         except Exception as error:  # noqa: BLE001 - recorded per table
-            report.append((spec.name, "failed", 0, None, str(error)[:500]))
+            report.append((spec.name, "failed", 0, None, str(error)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

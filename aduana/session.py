@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,17 +32,20 @@ def build_session(app: str = "aduana", master: str | None = None, **conf: str) -
 
 
 _fallback_root: str | None = None
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in `spark.checkpoint.dir`.
 
-    Only where the cluster names none (a local test session) a temporary folder is made.
+    A local session, whose executors are the driver, may do without: a temporary folder is made.
     """
     global _fallback_root
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="aduana-")
     return _fallback_root
@@ -49,4 +53,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/aduana/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_folder(spark)}/aduana/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def clean_up(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the working copies this process made, but for those below a path in `keep`; returns
+    how many. Call it when no DataFrame or table that reads them is needed any more."""
+    gone = [p for p in _made if not any(p.startswith(k) for k in keep)]
+    for path in gone:
+        delete_path(spark, path)
+        _made.remove(path)
+    return len(gone)

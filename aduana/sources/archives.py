@@ -1,8 +1,9 @@
-"""ZIP archives expanded inside the executors, one task per archive.
+"""ZIP archives expanded inside the executors.
 
-An archive cannot be split, so the unit of work is a file; its members are streamed out in
-batches of lines, never held as a whole. The lines go straight into Spark's own CSV parser
-(`delimited.parsed_lines`), so nothing is unpacked to a disk.
+Spark reads the archives itself, so any file system it knows will do, whatever the names. Members come
+out as blocks of whole lines; blocks are spread again before Spark's own CSV parser sees them, so one
+large archive does not keep a single task busy with parsing and writing. An archive that cannot be read
+gives a row with its error, and the others stay.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import sys
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,67 +22,68 @@ from aduana.sources.delimited import ENCODING
 # The functions below travel with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LINE_SCHEMA = "container_name string, table_name string, path string, member string, line string"
-BATCH_LINES = 20_000
+BLOCK_SCHEMA = "path string, member string, block string, error string"
+BLOCK_CHARS = 1 << 20
 
 
-def filesystem_of(path: str):
-    """Arrow file system and inner path of a Spark path; works on local, HDFS, S3 and GCS paths."""
-    from pyarrow import fs
+def _line_blocks(stream, encoding: str) -> Iterator[str]:
+    """Text up to a line end, about `BLOCK_CHARS` at a time; only \\r and \\n end a line."""
+    rest = ""
+    reader = io.TextIOWrapper(stream, encoding=encoding, newline=None)
+    while chunk := reader.read(BLOCK_CHARS):
+        end = chunk.rfind("\n")
+        if end < 0:
+            rest += chunk
+            continue
+        yield rest + chunk[:end]
+        rest = chunk[end + 1:]
+    if rest:
+        yield rest
 
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        path = "file://" + "/" + rest.lstrip("/")
-    elif scheme == "s3a":
-        path = "s3:" + rest
-    return fs.FileSystem.from_uri(path)
 
+def archive_blocks(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
+    """Blocks of lines of every member of the archives in `files` (path, content).
 
-def _open(path: str):
-    """Seekable stream of a file; an archive is read piece by piece, never as a whole."""
-    filesystem, inner = filesystem_of(path)
-    return filesystem.open_input_file(inner)
-
-
-def _member_lines(stream, encoding: str) -> Iterator[list[str]]:
-    """Batches of non-empty lines; only \\r and \\n end a line, as in Spark's own scan."""
-    batch = []
-    for line in io.TextIOWrapper(stream, encoding=encoding, newline=None):
-        line = line.rstrip("\n")
-        if line:
-            batch.append(line)
-        if len(batch) >= BATCH_LINES:
-            yield batch
-            batch = []
-    if batch:
-        yield batch
-
-
-def archive_lines(inventory: DataFrame, archives: int, encoding: str = ENCODING) -> DataFrame:
-    """Lines of every member of the archives in `inventory`; other files are passed over.
-
-    `archives` is the number of files, so that each gets a task of its own.
+    Rows of an archive with an error may stand beside blocks that were read before it.
     """
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for files in batches:
-            for file in files.itertuples(index=False):
-                with _open(file.path) as raw, zipfile.ZipFile(raw) as archive:
-                    for member in archive.namelist():
-                        if member.endswith("/"):
-                            continue
-                        with archive.open(member) as stream:
-                            for lines in _member_lines(stream, encoding):
-                                yield pd.DataFrame({
-                                    "container_name": file.container_name,
-                                    "table_name": file.table_name,
-                                    "path": file.path,
-                                    "member": member,
-                                    "line": lines,
-                                })
-
-    wanted = inventory.filter(is_archive()).select("container_name", "table_name", "path")
-    # Ranges of distinct paths: as many tasks as archives, none of them with two.
-    return wanted.repartitionByRange(max(archives, 1), "path").mapInPandas(expand, LINE_SCHEMA)
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(*values: str | None) -> pa.RecordBatch:
+            names = ["path", "member", "block", "error"]
+            return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in values], names=names)
+
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                try:
+                    with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
+                        for member in archive.namelist():
+                            if member.endswith("/"):
+                                continue
+                            with archive.open(member) as stream:
+                                for block in _line_blocks(stream, encoding):
+                                    yield row(path.as_py(), member, block, None)
+                except Exception as error:  # noqa: BLE001 - told per archive
+                    yield row(path.as_py(), None, None, f"{type(error).__name__}: {error}")
+
+    return files.select("path", "content").mapInArrow(expand, BLOCK_SCHEMA)
+
+
+def lines_of(blocks: DataFrame) -> DataFrame:
+    """(path, member, line) of the non-empty lines of blocks."""
+    lines = blocks.filter(F.col("block").isNotNull()).select(
+        "path", "member", F.explode(F.split("block", "\n")).alias("line")
+    )
+    return lines.filter("line <> ''")
+
+
+def archive_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
+    """Lines of all archives in `files`; the first archive that cannot be read fails the query."""
+    blocks = archive_blocks(files, encoding)
+    checked = blocks.withColumn(
+        "block", F.when(F.col("error").isNull(), F.col("block")).otherwise(
+            F.raise_error(F.concat_ws(": ", "path", "error")).cast("string")
+        ),
+    )
+    return lines_of(checked)
 
 
 def is_archive():

@@ -15,18 +15,23 @@ ACTIVITY_SEPARATOR = ";"
 def bridge_file(spark: SparkSession, path: str) -> DataFrame:
     """Bridge rows of delimited files, with their file in `origem`.
 
-    The title and the heading above the rows are told by their first field, which is no code.
+    Above the rows stand a title, whose other fields are empty, and the heading: the row that names the
+    activity column. Any other row is kept, whatever its code looks like.
     """
     rows = headerless(spark, path, BRIDGE_COLUMNS).select("*", F.col("_metadata.file_path").alias("origem"))
-    return rows.filter(F.col("NCM").rlike(r"^\d"))
+    heading = F.upper(F.trim("NCM")).eqNullSafe("NCM") & F.upper(F.trim("CNAE")).eqNullSafe("CNAE")
+    title = F.col("NCM").rlike(r"^\D*$") & F.col("NCM_DESC").isNull() & F.col("CNAE").isNull()
+    return rows.filter(~heading & ~F.coalesce(title, F.lit(False)))
 
 
 def bridge_rows(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Impose the three names: columns without a name go, the first three others are taken in
-    order. Columns in `keep` stay as they are."""
+    """Impose the three names in order; columns without a name go. Columns in `keep` stay as they are.
+    Raises ValueError unless three columns have a name."""
     keep = keep or []
     named = [c for c in df.columns if c.strip() and "Unnamed" not in c and not c.startswith("_c")]
-    three = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(named, BRIDGE_COLUMNS, strict=False)]
+    if len(named) != len(BRIDGE_COLUMNS):
+        raise ValueError(f"the bridge needs {len(BRIDGE_COLUMNS)} named columns, not {named}")
+    three = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(named, BRIDGE_COLUMNS, strict=True)]
     return df.select(*three, *keep)
 
 

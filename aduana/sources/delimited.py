@@ -9,6 +9,10 @@ SEPARATOR = ";"
 QUOTE = '"'
 ENCODING = "ISO-8859-1"
 
+def text_schema(names: list[str]) -> str:
+    return ", ".join(f"`{n}` string" for n in names)
+
+
 HEADERED = {"header": "true", "sep": SEPARATOR, "encoding": ENCODING}
 HEADERLESS = {
     "header": "false",
@@ -19,13 +23,11 @@ HEADERLESS = {
 }
 
 
-def text_schema(names: list[str]) -> str:
-    return ", ".join(f"`{n}` string" for n in names)
-
-
-def headered(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Scan with a header line; files read together must share that header."""
-    return spark.read.options(**HEADERED).csv(paths)
+def headered(spark: SparkSession, paths: str | list[str], names: list[str] | None = None) -> DataFrame:
+    """Scan with a header line; files read together must share that header. With `names` the header is
+    not looked up first, but a file whose header differs fails the scan."""
+    reader = spark.read.options(**HEADERED)
+    return (reader.schema(text_schema(names)).option("enforceSchema", "false") if names else reader).csv(paths)
 
 
 def headerless(spark: SparkSession, paths: str | list[str], names: list[str] | None = None) -> DataFrame:
@@ -41,3 +43,20 @@ def parsed_lines(lines: DataFrame, names: list[str], line: str = "line", keep: l
     row: Column = F.from_csv(line, text_schema(names), options)
     kept = keep if keep is not None else [c for c in lines.columns if c != line]
     return lines.select(*kept, row.alias("_row")).select(*kept, "_row.*")
+
+
+BAD = "_bad_line"
+
+
+def flagged_lines(lines: DataFrame, names: list[str], line: str = "line") -> DataFrame:
+    """`parsed_lines` with all other columns kept, and `_bad_line`: the line if it does not have as many fields
+    as there are names, else null."""
+    options = {"sep": SEPARATOR, "quote": QUOTE, "escape": QUOTE, "columnNameOfCorruptRecord": BAD}
+    row = F.from_csv(line, f"{text_schema(names)}, {BAD} string", options)
+    return lines.select("*", row.alias("_row")).select(*lines.columns, "_row.*")
+
+
+def field_count(line: Column) -> Column:
+    """Fields of a line: separators outside quotes, and one."""
+    plain = F.regexp_replace(line, f'{QUOTE}[^{QUOTE}]*{QUOTE}', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(SEPARATOR), F.lit(""))) + 1

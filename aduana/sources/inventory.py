@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from aduana.functions.codes import file_stem, table_of_file
+from aduana.functions.codes import file_stem, table_name, table_of_file
 
 CONTROL_SCHEMA = (
     "originator string, table_name string, input_file_name string, "
@@ -23,7 +23,7 @@ def file_inventory(spark: SparkSession, path: str, source: str, glob: str | None
     )
 
 
-def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def binary_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Whole files as rows: path, modificationTime, length, content."""
     reader = spark.read.format("binaryFile")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
@@ -31,7 +31,7 @@ def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 
 def with_target(inventory: DataFrame, numbered: bool) -> DataFrame:
     """Name of the raw table a file belongs to; `numbered` files (`socios3.zip`) share one."""
-    name = table_of_file("table_name") if numbered else file_stem("table_name")
+    name = table_of_file("table_name") if numbered else table_name(file_stem("table_name"))
     return inventory.withColumn("target_table", name)
 
 

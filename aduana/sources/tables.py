@@ -1,19 +1,10 @@
-"""Tables by name and small inline relations."""
+"""Small inline relations."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.table(name)
-    return df.select(*columns) if columns else df
-
-
-def has_rows(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and not spark.table(name).isEmpty()
-
-
 def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

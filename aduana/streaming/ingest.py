@@ -7,14 +7,15 @@ continues where it stopped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from aduana.operators.lineage import LOAD_DATE, with_lineage
-from aduana.operators.sinks import ensure_database, path_exists
-from aduana.sources.delimited import HEADERED
+from aduana.operators.lineage import LINEAGE, LOAD_DATE, with_lineage
+from aduana.operators.sinks import add_new_columns, ensure_database, register, table_exists, write_files
+from aduana.sources.delimited import HEADERED, headered
 
 # File name pattern of each fact table.
 FACT_FILES = {
@@ -24,6 +25,11 @@ FACT_FILES = {
     "imp_mun": "IMP_[0-9][0-9][0-9][0-9]_MUN.csv",
 }
 
+#: Files of a micro-batch, whose headers are looked up one by one.
+FILES_PER_BATCH = 200
+#: Partition column of the raw fact tables: the micro-batch that brought the rows.
+BATCH = "_batch"
+
 
 def file_stream(
     spark: SparkSession,
@@ -54,19 +60,81 @@ def append_once(
     return query
 
 
+def file_paths(spark: SparkSession, folder: str, glob: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """Unbounded list of the files in `folder` that match `glob`; their content is not read."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return file_stream(spark, folder, glob, schema, "binaryFile", max_files).select("path")
+
+
+def by_header(
+    spark: SparkSession, paths: list[str], expected: list[str]
+) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """Scans of headered files with the expected columns first, by name, and the refused files with reasons.
+
+    Columns may stand in any order. Further ones are kept under their names. A file that lacks an expected
+    column, or names one twice, is refused. Files with one header are one scan.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    refused = []
+    for path in paths:
+        try:
+            header = tuple(headered(spark, path).columns)
+            names = [c.strip().upper() for c in header]
+            absent = [c for c in expected if c.upper() not in names]
+            twice = sorted({c for c in names if names.count(c) > 1})
+            if absent or twice:
+                refused.append((path, f"columns absent: {absent}, named twice: {twice}"))
+            else:
+                groups.setdefault(header, []).append(path)
+        except Exception as error:  # noqa: BLE001 - recorded per file
+            refused.append((path, str(error)))
+    scans = []
+    for header, members in groups.items():
+        found = {c.strip().upper(): c for c in header}
+        more = [c for c in header if c.strip().upper() not in {e.upper() for e in expected}]
+        scan = with_lineage(headered(spark, members, list(header)))
+        columns = [F.col(f"`{found[c.upper()]}`").alias(c) for c in expected]
+        scans.append(scan.select(*columns, *[F.col(f"`{c}`").alias(c.strip()) for c in more], *LINEAGE))
+    return scans, refused
+
+
 def ingest_facts(
-    spark: SparkSession, folder: str, table: str, schema: StructType, database: str, base_path: str
+    spark: SparkSession, folder: str, table: str, schema: StructType, database: str, base_path: str,
+    glob: str | None = None, max_files: int = FILES_PER_BATCH,
 ) -> None:
-    """Load the new files of one fact table into the raw table `database.table`."""
-    path = f"{base_path}/{table}"
-    stream = with_lineage(file_stream(spark, folder, FACT_FILES[table], schema))
-    append_once(stream, path, f"{base_path}/_checkpoint/{table}", [LOAD_DATE])
-    ensure_database(spark, database)
-    if not path_exists(spark, path) or spark.read.schema("_ string").parquet(path).isEmpty():
-        return  # no rows have arrived yet, so there is no schema to register
-    # The sink's own log lists the committed files, so the entry needs no partition upkeep.
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{path}'")
-    spark.catalog.refreshTable(f"{database}.{table}")
+    """Load the new files of one fact table into the raw table `database.table`, by the names in their headers.
+
+    The stream hands on file names; its checkpoint remembers which were read. The rows of a batch are a
+    folder of their own, written again when a batch is repeated after a failure. Refused files are listed,
+    with the reason, in `database.table_refused`; a file that is put right under a new name is loaded.
+    """
+    name, path = f"{database}.{table}", f"{base_path}/{table}"
+    expected = [f.name for f in schema.fields]
+
+    def land(paths: DataFrame, batch_id: int) -> None:
+        # As many names as a batch may have files.
+        scans, refused = by_header(spark, sorted(r["path"] for r in paths.collect()), expected)
+        ensure_database(spark, database)
+        if refused:
+            rows = spark.createDataFrame([(batch_id, *r) for r in refused], "batch bigint, path string, reason string")
+            _put(spark, rows, f"{name}_refused", f"{path}_refused", batch_id, [])
+        if scans:
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+            _put(spark, rows, name, path, batch_id, [LOAD_DATE])
+
+    apply_batches(file_paths(spark, folder, glob or FACT_FILES[table], max_files), f"{base_path}/_checkpoint/{table}", land)
+
+
+def _put(spark: SparkSession, rows: DataFrame, name: str, path: str, batch_id: int, partition_by: list[str]) -> None:
+    """The rows as partition `_batch` of the table, replacing what an interrupted run left there."""
+    place = f"{path}/{BATCH}={batch_id}"
+    write_files(rows, place, partition_by, mode="overwrite", gather=False)
+    if table_exists(spark, name):
+        add_new_columns(spark, name, StructType([f for f in rows.schema.fields if f.name not in partition_by]))
+        spark.catalog.recoverPartitions(name)
+        spark.catalog.refreshTable(name)
+    else:
+        register(spark, name, StructType([*rows.schema.fields, StructField(BATCH, LongType())]), path, [BATCH, *partition_by])
 
 
 def apply_batches(

@@ -15,7 +15,7 @@ from aduana.operators import sinks
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.flows import tag_flows
 from aduana.operators.mapping import apply_spec, missing_columns, name_columns
-from aduana.operators.skew import hot_keys, salted_left_join
+from aduana.plans.audit import frequent_keys
 from aduana.operators.spec import ColumnRule, TableSpec
 from aduana.operators.topk import explicit_top, refilled_top
 from aduana.operators.upsert import accumulated, merged, upsert_table
@@ -47,6 +47,8 @@ def one(spark, expression, **values):
 @pytest.mark.parametrize("text, kind, value", [
     ("12", "int", 12), ("x", "int", None), ("", "bigint", None), (" 7", "bigint", 7),
     ("20240229", "date", dt.date(2024, 2, 29)), ("00000000", "date", None), ("0", "date", None), ("", "date", None),
+    ("7.9", "int", 7), ("-7.9", "bigint", -7), ("9223372036854775807", "bigint", 9223372036854775807),
+    ("9223372036854775807.5", "bigint", 9223372036854775807), ("1e3", "int", 1000), ("7.x", "int", None),
     ("1000,50", "double", 1000.5), ("1000.50", "double", 1000.5), ("abc", "double", None), (" a ", "string", " a "),
 ])
 def test_parsed_never_fails(spark, text, kind, value):
@@ -90,7 +92,9 @@ def test_class_keeps_leading_zero(spark):
 
 
 def test_flags_compare_as_text(spark):
-    for text, expected in [("2", True), ("02", True), (" 2", True), ("x", False), ("20", False)]:
+    for text, expected in [
+        ("2", True), ("02", True), (" 2", True), ("002", True), ("x", False), ("20", False), ("021", False), ("", False),
+    ]:
         assert one(spark, codes.flag_is("f", 2), f=text) is expected
     assert one(spark, codes.flag_is("f", 2), f=None) is None
 
@@ -413,19 +417,13 @@ def test_tagged_flows(spark):
 
 # --- hot keys ---------------------------------------------------------------------------------------
 
-def test_salted_join_equals_plain_join(spark):
+def test_frequent_keys(spark):
+    from aduana.plans.audit import frequent_keys
+
     sites = spark.range(0, 9000, numPartitions=6).select(
-        F.col("id").alias("n"),
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 500).alias("k"),
-    )
-    lookup = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(
-        spark.createDataFrame([(7, -1)], "k bigint, v bigint")  # not unique
-    )
-    assert rows(hot_keys(sites, "k", 0.2)) == [(7,)]
-    salted = salted_left_join(sites, lookup, "k", salts=16, share=0.05)
-    assert Counter(map(tuple, salted.select("n", "k", "v").collect())) == Counter(
-        map(tuple, sites.join(lookup, "k", "left").select("n", "k", "v").collect())
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 500).alias("k")
     )
+    assert rows(frequent_keys(sites, "k", 0.2)) == [(7,)]
 
 
 def test_reports_agree_when_one_product_holds_most_rows(spark):
@@ -445,17 +443,23 @@ def test_reports_agree_when_one_product_holds_most_rows(spark):
     assert {r["no_pais"]: r["v"] for r in got.collect()} == dict(expected)
 
 
-def test_each_archive_gets_a_task(spark, tmp_path):
+def test_archives_of_any_name_and_broken_ones(spark, tmp_path):
     import zipfile
 
-    from aduana.sources.archives import archive_lines
-    from aduana.sources.inventory import file_inventory
-
-    for n in range(6):
-        with zipfile.ZipFile(tmp_path / f"T{n}.zip", "w") as archive:
-            archive.writestr("a.csv", f"{n};x\r\n\r\n{n};y\n")
-            archive.writestr("b.csv", f"{n};z")
-    lines = archive_lines(file_inventory(spark, str(tmp_path), "X"), 6)
-    tasks = lines.select("table_name", F.spark_partition_id().alias("task")).distinct().collect()
-    assert len({r["task"] for r in tasks}) == 6 and len(tasks) == 6
-    assert rows(lines.filter("table_name = 'T3.zip'"), "member", "line") == [("a.csv", "3;x"), ("a.csv", "3;y"), ("b.csv", "3;z")]
+    from aduana.sources.archives import archive_blocks, archive_lines, lines_of
+    from aduana.sources.inventory import binary_files
+
+    for name in ("T 1.zip", "Situação0.zip", "T%20[2].zip"):
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            archive.writestr("a.csv", "1;x\r\n\r\n1;ação\rz\n".encode("ISO-8859-1"))
+            archive.writestr("b.csv", "2;z" * 900_000)
+            archive.writestr("folder/", "")
+    expected = [("a.csv", "1;x"), ("a.csv", "1;ação"), ("a.csv", "z"), ("b.csv", "2;z" * 900_000)]
+    lines = archive_lines(binary_files(spark, str(tmp_path)))
+    assert rows(lines, "member", "line") == sorted(expected * 3, key=repr)
+    (tmp_path / "broken.zip").write_bytes(b"PK no")
+    blocks = archive_blocks(binary_files(spark, str(tmp_path)))
+    assert blocks.filter("error is not null").count() == 1
+    assert lines_of(blocks).count() == 12
+    with pytest.raises(Exception, match="broken.zip"):
+        archive_lines(binary_files(spark, str(tmp_path))).collect()

@@ -203,9 +203,17 @@ def test_inventory_and_binary_scan(spark, lake, loaded):
     assert bytes(content["content"][:2]) == b"PK" and content["length"] == len(content["content"])
 
 
+def test_bridge_keeps_codes_of_any_form(spark, tmp_path):
+    write(tmp_path / "corr.csv", "Correlação;;\nNCM;Descrição;CNAE\n 12019000;Soja;0111-3\n\"'9\";x;1\nA1;y;2\n;z;3\nB;;\n")
+    got = bridge_file(spark, str(tmp_path / "corr.csv"))
+    assert rows(got, "NCM", "CNAE") == sorted([(" 12019000", "0111-3"), ("'9", "1"), ("A1", "2"), (None, "3")], key=repr)
+
+
 def test_bridge_rows_take_three_named_columns(spark):
     df = spark.createDataFrame([("x", "1", "d", "0111-3")], "`Unnamed: 0` string, a string, `b c` string, d string")
     assert bridge_rows(df).columns == ["NCM", "NCM_DESC", "CNAE"] and rows(bridge_rows(df)) == [("1", "d", "0111-3")]
+    with pytest.raises(ValueError, match="three|3"):
+        bridge_rows(df.withColumn("e", F.lit("4")))
 
 
 def test_fact_table_without_files_is_reported(spark, tmp_path):
@@ -297,6 +305,67 @@ def test_failed_archive_is_retried(spark, tmp_path):
     assert again == {"socios": "failed"}
 
 
+def test_good_archives_load_beside_broken_and_odd_ones(spark, tmp_path):
+    lake = Lake(tmp_path, "isolated")
+    register = lake.landing / "register"
+    write_zip(register / "Motivos 0.zip", {"A": '"01";"X; ""y"""\n"02";"Z"\n'})
+    write_zip(register / "Motivos1.zip", {"B": '"03";"a;b";"extra"\n"04"\n', "C": '"05";"ok"\n'})
+    register.joinpath("Motivos2.zip").write_bytes(b"broken")
+    report = lake.load_register(spark).collect()
+    assert {(r["status"], r["files"]) for r in report} == {("loaded", 2), ("failed", 1)}
+    assert "Motivos1.zip/B has 3 columns" in next(r["message"] for r in report if r["status"] == "loaded")
+    assert "Motivos2.zip" in next(r["message"] for r in report if r["status"] == "failed")
+    assert rows(spark.table(f"{lake.bronze}.motivos"), "codigo_motivo", "descricao_motivo", "_c0", "_c1", "_c2") == sorted([
+        ("01", 'X; "y"', None, None, None), ("02", "Z", None, None, None), ("05", "ok", None, None, None),
+        (None, None, "03", "a;b", "extra"), (None, None, "04", None, None),
+    ], key=repr)
+    write_zip(register / "Motivos2.zip", {"D": '"06";"late"\n'})
+    again = lake.load_register(spark).collect()
+    assert [(r["status"], r["files"]) for r in again] == [("loaded", 1)]
+    assert spark.table(f"{lake.bronze}.motivos").count() == 6
+
+
+def test_fact_files_are_read_by_their_header(spark, tmp_path):
+    lake = Lake(tmp_path, "header")
+    trade = lake.landing / "trade"
+    names = NATIONAL.split(";")
+    write(trade / "EXP_2021.csv", ";".join(reversed(names)) + "\n" + ";".join(f"r{n}" for n in reversed(names)) + "\n")
+    write(trade / "EXP_2022.csv", f"CO_NOVO;{NATIONAL}\n" + ";".join(["novo", *[f"n{n}" for n in names]]) + "\n")
+    write(trade / "EXP_2023.csv", ";".join(names[:-1]) + "\n" + ";".join("x" * (len(names) - 1)) + "\n")
+    write(trade / "EXP_2024.csv", f"{NATIONAL};VL_FOB\n" + ";".join("y" * (len(names) + 1)) + "\n")
+    exp = [s for s in FACTS if s.name == "exp"][0]
+    for _ in range(2):
+        ingest_facts(spark, lake.folder("trade"), "exp", exp.raw_schema(), lake.bronze, lake.path("bronze"))
+    got = {r["_source_path"][-8:-4]: r.asDict() for r in spark.table(f"{lake.bronze}.exp").collect()}
+    assert set(got) == {"2021", "2022"}
+    assert all(got["2021"][n] == f"r{n}" and got["2022"][n] == f"n{n}" for n in names)
+    assert got["2022"]["CO_NOVO"] == "novo" and got["2021"]["CO_NOVO"] is None
+    refused = {r["path"][-8:-4]: r["reason"] for r in spark.table(f"{lake.bronze}.exp_refused").collect()}
+    assert set(refused) == {"2023", "2024"} and "VL_FOB" in refused["2023"] and "VL_FOB" in refused["2024"]
+
+
+def test_rows_committed_late_are_read(spark, tmp_path):
+    lake = Lake(tmp_path, "late")
+    spec = [s for s in TRADE_TABLES if s.name == "via"][0]
+
+    def load(minute, *lines):
+        from aduana.operators.sinks import create_or_append
+
+        rows_ = spark.createDataFrame(lines, "CO_VIA string, NO_VIA string").select(
+            "*", F.lit(dt.date(2024, 1, 1)).alias("_ingestion_date"),
+            F.lit(dt.datetime(2024, 1, 1, 12, minute)).alias("_ingestion_timestamp"), F.lit("f").alias("_source_path"),
+        )
+        create_or_append(spark, rows_, f"{lake.bronze}.via", lake.path("bronze/via"), ["_ingestion_date"])
+        return rows(lake.run_silver(spark, [spec], f"run-{minute}"), "status", "records")
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.bronze} LOCATION '{lake.path('db')}'")
+    assert load(30, ("01", "MAR"), ("02", "RIO")) == [("created", 2)]
+    assert load(20, ("03", "AR"), ("01", "OLD")) == [("updated", 1)]  # late, and older than what is there
+    assert rows(spark.table(f"{lake.silver}.via"), "co_via", "no_via") == [("01", "MAR"), ("02", "RIO"), ("03", "AR")]
+    assert rows(lake.run_silver(spark, [spec], "again"), "status") == [("unchanged",)]
+    assert spark.table(lake.control).first()["last_ingestion_timestamp"] == dt.datetime(2024, 1, 1, 12, 30)
+
+
 def test_new_fact_file_adds_only_its_rows(spark, tmp_path):
     lake = Lake(tmp_path, "facts")
     trade = lake.landing / "trade"
