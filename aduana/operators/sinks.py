@@ -7,11 +7,17 @@ afterwards, so a failed write never takes an existing table with it.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def quoted(text: str) -> str:
+    """A text as a literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
@@ -104,13 +110,39 @@ def create_table(
 def save_table(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
 ) -> None:
-    """Replace a whole table, schema included. Earlier snapshots stay on disk."""
+    """Replace a whole table, schema included. Earlier snapshots stay until `remove_old_snapshots`, as
+    others may still read them. The name is missing for the moment between the two catalog calls; a
+    reader that needs it all the time goes by `replace_rows`, which keeps the schema.
+    """
     location = snapshot_path(path)
     write_files(df, location, partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     register(spark, name, df.schema, location, partition_by)
 
 
+def remove_old_snapshots(spark: SparkSession, name: str, path: str) -> list[str]:
+    """Delete the snapshot folders below `path` that neither the table nor one of its partitions uses;
+    returns them. Call it when no reader of an earlier state is left."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    used = {table_location(spark, name)}
+    if any(r["col_name"] == "# Partition Information" for r in spark.sql(f"DESCRIBE TABLE {name}").collect()):
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            pairs = [p.split("=", 1) for p in row["partition"].split("/")]
+            none = "__HIVE_DEFAULT_PARTITION__"
+            values = [f"`{k}` = " + ("NULL" if v == none else quoted(unquote(v))) for k, v in pairs]
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({', '.join(values)})")
+            used.add(place.filter("col_name = 'Location'").first()["data_type"])
+    gone = []
+    for status in files.listStatus(root):
+        folder = status.getPath()
+        mark = f"/{folder.getName()}"
+        if folder.getName().startswith("snapshot-") and not any(mark + "/" in u + "/" for u in used):
+            files.delete(folder, True)
+            gone.append(folder.getName())
+    return gone
+
+
 def move_table(spark: SparkSession, name: str, location: str) -> None:
     """Point an unpartitioned table at other files of the same schema."""
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")

@@ -3,14 +3,15 @@
 The pure forms (`merged`, `accumulated`) take and return DataFrames. `upsert_table` applies the
 same merge to a catalog table and never overwrites files its own plan reads: an unpartitioned
 table gets a new snapshot folder and the catalog entry is pointed at it; a partitioned table has
-only the touched partitions rebuilt, first into a staging folder and then swapped in.
+only the touched partitions rebuilt, into a folder of their own, and their entries pointed there.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import urllib.parse
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
@@ -20,11 +21,12 @@ from aduana.operators.sinks import (
     columns_of,
     create_table,
     move_table,
+    quoted,
     snapshot_path,
     table_exists,
     write_files,
 )
-from aduana.session import fresh_path
+from aduana.session import delete_path, fresh_path
 
 
 def _matches(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
@@ -55,6 +57,11 @@ def merged(
             .select("s.*", *[F.col(f"t.{c}").alias(c) for c in extra])
         )
     if newer_by is not None:
+        if not null_safe:
+            # Rows with a null in the key equal no other row; they pass the choice by.
+            whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+            both = merged(target.filter(whole), source.filter(whole), keys, True, newer_by)
+            return both.unionByName(target.filter(~whole)).unionByName(source.filter(~whole), allowMissingColumns=True)
         both = target.withColumn("_from_source", F.lit(0)).unionByName(
             source.withColumn("_from_source", F.lit(1)), allowMissingColumns=True
         )
@@ -79,19 +86,6 @@ def accumulated(
     )
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def staged(spark: SparkSession, df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back: later uses start from the files."""
     path = fresh_path(spark, label)
@@ -112,20 +106,57 @@ def replace_rows(spark: SparkSession, name: str, rows: DataFrame, path: str) ->
     move_table(spark, name, location)
 
 
-def replace_partitions(spark: SparkSession, name: str, rows: DataFrame) -> None:
-    """Swap in whole partitions from `rows`, which must not read from the table itself.
+def replace_partitions(
+    spark: SparkSession, name: str, rows: DataFrame, path: str, partition_by: list[str], touched: set[tuple]
+) -> None:
+    """Whole partitions of a table from `rows`, which may read from the table itself.
 
-    The swap may be repeated from the same staged rows until it succeeds.
+    They are written to a new folder first. Then the entries of the touched partitions are pointed there, or
+    dropped where no row is left, and only then are the old folders deleted. No data is moved, and readers see
+    either files or the others of a partition. After an interruption the same upsert brings the table to the
+    same rows: what was swapped is merged with itself.
     """
+    location = snapshot_path(path)
     ordered = rows.select(*columns_of(spark, name))
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        ordered.write.mode("overwrite").insertInto(name)
+    write_files(ordered, location, partition_by)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("folder")
+    written = spark.read.schema(ordered.schema).parquet(location).select(*partition_by, folder).distinct().collect()
+    new = {tuple(r[c] for c in partition_by): urllib.parse.unquote(r["folder"]) for r in written}
+    old = partition_folders(spark, name, partition_by, touched | set(new))
+    for values in sorted(touched | set(new), key=repr):
+        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, values, strict=True))
+        if values not in new:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        elif values in old:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {quoted(new[values])}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION {quoted(new[values])}")
+    spark.catalog.refreshTable(name)
+    for values, place in old.items():
+        if values in touched and place != new.get(values):
+            delete_path(spark, place)
+
+
+def partition_folders(
+    spark: SparkSession, name: str, partition_by: list[str], wanted: set[tuple]
+) -> dict[tuple, str]:
+    """Folders of those of the wanted partitions that the table has."""
+    found = {}
+    for values in wanted:
+        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, values, strict=True))
+        try:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").filter("col_name = 'Location'")
+            found[values] = rows.first()["data_type"]
+        except AnalysisException as error:
+            if "PARTITION" not in str(error.getCondition()):
+                raise
+    return found
 
 
 def _literal(value) -> str:
     if value is None:
         return "NULL"
-    return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+    return str(value) if isinstance(value, int) else quoted(str(value))
 
 
 def _partition_values(df: DataFrame) -> set[tuple]:
@@ -160,7 +191,7 @@ def upsert_table(
 
     `source` holds one row per key and should be cheap to read again (see `staged`): the
     partitioned path uses it to find the partitions as well as the rows. A partition that loses
-    its last row leaves the catalog; its files stay until the partition is written again.
+    its last row leaves the catalog, and its files go.
     """
     partition_by = partition_by or []
     source = _as_stored(source, partition_by)
@@ -183,10 +214,6 @@ def upsert_table(
         partitions = partitions.unionByName(moved.select(*partition_by))
     touched = _partition_values(partitions)
     old = _of_partitions(target, touched, partition_by)
-    rebuilt = staged(spark, merged(old, source, keys, null_safe, newer_by), "partitions", partition_by)
-    for gone in touched - _partition_values(rebuilt.select(*partition_by)):
-        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, gone))
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-    replace_partitions(spark, name, rebuilt)
-    spark.catalog.refreshTable(name)
+    rebuilt = merged(old, source, keys, null_safe, newer_by)
+    replace_partitions(spark, name, rebuilt, path, partition_by, touched)
     return "updated"

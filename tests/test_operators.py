@@ -463,3 +463,106 @@ def test_archives_of_any_name_and_broken_ones(spark, tmp_path):
     assert lines_of(blocks).count() == 12
     with pytest.raises(Exception, match="broken.zip"):
         archive_lines(binary_files(spark, str(tmp_path))).collect()
+
+
+# --- partitions by location -----------------------------------------------------------------------
+
+def _moved_table(spark, tmp_path, name):
+    from aduana.operators.upsert import staged, upsert_table
+
+    first = spark.createDataFrame([(1, "a b", 1), (2, "a b", 1), (3, "c'ç", 1), (4, None, 1)], "k int, p string, v int")
+    second = spark.createDataFrame([(1, "c'ç", 2), (2, "c'ç", 2), (4, "x=y", 2), (5, "", 2)], "k int, p string, v int")
+    path = str(tmp_path / "table")
+    upsert_table(spark, name, staged(spark, first, "first"), ["k"], path, ["p"])
+    return lambda: upsert_table(spark, name, staged(spark, second, "second"), ["k"], path, ["p"]), path
+
+
+MOVED = [(1, "c'ç", 2), (2, "c'ç", 2), (3, "c'ç", 1), (4, "x=y", 2), (5, None, 2)]
+
+
+def test_moved_rows_are_there_once_after_a_repair(spark, tmp_path):
+    upsert, path = _moved_table(spark, tmp_path, "moved_rows")
+    for _ in range(2):
+        upsert()
+        assert rows(spark.table("moved_rows"), "k", "p", "v") == sorted(MOVED, key=repr)
+        spark.catalog.recoverPartitions("moved_rows")
+        assert rows(spark.table("moved_rows"), "k", "p", "v") == sorted(MOVED, key=repr)
+    from aduana.operators.sinks import remove_old_snapshots
+
+    remove_old_snapshots(spark, "moved_rows", path)
+    spark.catalog.refreshTable("moved_rows")
+    assert rows(spark.table("moved_rows"), "k", "p", "v") == sorted(MOVED, key=repr)
+
+
+@pytest.mark.parametrize("calls", range(6))
+def test_interrupted_swap_is_repeated(spark, tmp_path, monkeypatch, calls):
+    """The swap breaks off after some catalog calls; the same upsert then brings the table right."""
+    name = f"interrupted_{calls}"
+    upsert, _ = _moved_table(spark, tmp_path, name)
+    session, left = type(spark), [calls]
+    plain = session.sql
+
+    def failing(self, text, *args, **kwargs):
+        if text.startswith("ALTER TABLE"):
+            if not left[0]:
+                raise RuntimeError("lost")
+            left[0] -= 1
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(session, "sql", failing)
+    try:
+        upsert()
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    spark.catalog.refreshTable(name)
+    upsert()
+    assert rows(spark.table(name), "k", "p", "v") == sorted(MOVED, key=repr)
+
+
+def test_null_keys_with_newer_by(spark):
+    target = spark.createDataFrame([(None, 1), (1, 5)], "k int, t int")
+    source = spark.createDataFrame([(None, 2), (1, 4), (2, 1)], "k int, t int")
+    assert rows(merged(target, source, ["k"], newer_by="t")) == sorted([(None, 2), (1, 5), (2, 1)], key=repr)
+    assert rows(merged(target, source, ["k"], null_safe=False, newer_by="t")) == sorted(
+        [(None, 1), (None, 2), (1, 5), (2, 1)], key=repr
+    )
+
+
+def test_old_snapshots_go(spark, tmp_path):
+    from aduana.operators.sinks import remove_old_snapshots, save_table
+
+    path = str(tmp_path / "snapshots")
+    for n in (1, 2, 3):
+        save_table(spark, spark.range(n), "snapshots_of", path)
+    assert len(remove_old_snapshots(spark, "snapshots_of", path)) == 2
+    assert spark.table("snapshots_of").count() == 3
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from aduana import session
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master, local in (("local[4]", True), ("local", True), ("yarn", False), ("local-cluster[2,1,512]", False)):
+        fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+        if local:
+            assert session.shared_folder(fake)
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                session.shared_folder(fake)
+
+
+def test_working_copies_are_deleted(spark):
+    import os
+
+    from aduana.operators.upsert import staged
+    from aduana.session import _made, clean_up
+
+    staged(spark, spark.range(1), "gone")
+    staged(spark, spark.range(1), "kept")
+    gone, kept = (p.removeprefix("file:") for p in _made[-2:])
+    assert os.path.exists(gone)
+    clean_up(spark, keep=tuple(_made[:-2]) + (_made[-1],))
+    assert not os.path.exists(gone) and os.path.exists(kept)
