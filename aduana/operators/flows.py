@@ -32,5 +32,19 @@ def flow_sum(column: str, flow: str) -> Column:
     return F.sum(F.when(F.col(FLOW) == flow, F.col(column)))
 
 
-def flow_rows(flow: str) -> Column:
-    return F.count_if(F.col(FLOW) == flow)
+def flow_rows(flow: str, rows: str | None = None) -> Column:
+    """Facts of a flow; `rows` is the column that counts them where they come summed already."""
+    if rows is None:
+        return F.count_if(F.col(FLOW) == flow)
+    return F.coalesce(flow_sum(rows, flow), F.lit(0)).cast("bigint")
+
+
+#: Facts behind a row of `summed`.
+FACTS = "_facts"
+
+
+def summed(trade: DataFrame, by: list[str]) -> DataFrame:
+    """Facts summed by flow and `by`: reports over fewer keys give the same from these rows."""
+    return trade.groupBy(FLOW, *by).agg(
+        F.sum("kg_liquido").alias("kg_liquido"), F.sum("vl_fob").alias("vl_fob"), F.count(F.lit(1)).alias(FACTS)
+    )

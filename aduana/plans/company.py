@@ -22,7 +22,7 @@ from aduana.functions.codes import (
 )
 from aduana.functions.measures import days_since, maturity_band, mean_years, rounded, weighted_mean
 from aduana.functions.typing import parsed
-from aduana.operators.flows import EXPORT, IMPORT, flow_rows, flow_sum
+from aduana.operators.flows import EXPORT, FACTS, IMPORT, flow_rows, flow_sum
 from aduana.plans.geo import only_top
 
 ACTIVE = 2
@@ -86,10 +86,11 @@ def _in_classes(sites: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _class_state_trade(trade: DataFrame, top: DataFrame, pairs: DataFrame) -> DataFrame:
     """Trade of the top products per class and state; value counts once per class of a product."""
+    counted = FACTS if FACTS in trade.columns else None
     measures = [
         measure
         for flow in (EXPORT, IMPORT)
-        for measure in (flow_sum("vl_fob", flow), flow_sum("kg_liquido", flow), flow_rows(flow))
+        for measure in (flow_sum("vl_fob", flow), flow_sum("kg_liquido", flow), flow_rows(flow, counted))
     ]
     per_product = (
         only_top(trade, top)

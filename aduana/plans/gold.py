@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aduana.operators.flows import EXPORT, IMPORT, of_flow, tag_flows
+from aduana.operators.flows import EXPORT, IMPORT, of_flow, summed, tag_flows
 from aduana.operators.sinks import ensure_database, save_table
 from aduana.operators.topk import refilled_top
 from aduana.operators.upsert import staged
@@ -52,43 +52,49 @@ def dashboards(
 ) -> dict[str, DataFrame]:
     """The dashboard tables by name. `top` replaces the computed list of products.
 
-    What several tables share is written once to the shared folder: the product prices, the top
-    products and the company fact.
+    The facts are read twice: summed by month and product, which gives the top products among other
+    things, and then those of the top products by country, state and route. What several tables share
+    is written once to the shared folder.
     """
     def table(name: str) -> DataFrame:
         return spark.table(f"{silver}.{name}")
 
     trade = tag_flows(table("exp"), table("imp"), FACT_COLUMNS)
-    exports, imports = of_flow(trade, EXPORT), of_flow(trade, IMPORT)
+    months = staged(spark, summed(trade, ["ano", "mes", "co_ncm"]), "months")
+    exports = of_flow(months, EXPORT)
     ncm, uf, via, pais = table("ncm"), table("uf"), table("via"), table("pais")
     sites = table("estabelecimentos")
     pairs = distinct_pairs(table("corr_ncm_cnae"))
     bridge = keyed_pairs(pairs)
     classes = company.class_dim(table("cnaes"))
 
-    prices = staged(spark, t.product_price(trade), "prices")
+    prices = staged(spark, t.product_price(months), "prices")
     top = staged(spark, refilled_top(prices) if top is None else top, "top")
+    located = staged(
+        spark, summed(geo.only_top(trade, top), ["co_ncm", "co_pais", "sigla_uf_ncm", "co_via"]), "located"
+    )
+    sent, received = of_flow(located, EXPORT), of_flow(located, IMPORT)
     fact = staged(
         spark,
-        company.company_fact(sites, table("empresas"), bridge, top, trade, as_of).withColumn(
+        company.company_fact(sites, table("empresas"), bridge, top, located, as_of).withColumn(
             WRITTEN_AT, F.current_timestamp()
         ),
         "company-fact",
     )
     built = [
         t.product_dim(ncm),
-        t.date_dim(trade),
-        t.monthly_balance(trade),
-        t.yearly_totals(trade),
-        t.factor_share(trade, ncm, table("ncm_fat_agreg")),
+        t.date_dim(months),
+        t.monthly_balance(months),
+        t.yearly_totals(months),
+        t.factor_share(months, ncm, table("ncm_fat_agreg")),
         prices,
-        t.product_mom(trade),
-        geo.country_trade(exports, top, pais, "valor_exportado"),
-        geo.country_trade(imports, top, pais, "valor_importado"),
-        geo.bloc_trade(trade, top, table("pais_bloco")),
-        geo.state_balance(trade, top, uf),
-        geo.route_volume(exports, top, via, "exp"),
-        geo.route_volume(imports, top, via, "imp"),
+        t.product_mom(months),
+        geo.country_trade(sent, top, pais, "valor_exportado"),
+        geo.country_trade(received, top, pais, "valor_importado"),
+        geo.bloc_trade(located, top, table("pais_bloco")),
+        geo.state_balance(located, top, uf),
+        geo.route_volume(sent, top, via, "exp"),
+        geo.route_volume(received, top, via, "imp"),
         company.top_product_dim(top, ncm),
         company.top_bridge(bridge, top),
         company.companies_by_state(fact, uf),

@@ -11,16 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aduana.functions.measures import month_start, percent, percent_change, ratio
-from aduana.operators.flows import EXPORT, IMPORT, flow_rows, flow_sum
+from aduana.operators.flows import EXPORT, IMPORT, flow_rows, flow_sum, of_flow
 
 
 def product_dim(ncm: DataFrame) -> DataFrame:
     return ncm.select(F.col("co_ncm").alias("CO_NCM"), F.col("no_ncm_por").alias("NO_NCM_POR")).distinct()
 
 
-def date_dim(trade: DataFrame) -> DataFrame:
-    """Months with trade in either flow."""
-    months = trade.select(F.col("ano").alias("ANO"), F.col("mes").alias("MES")).distinct()
+def date_dim(trade: DataFrame, flow: str | None = None) -> DataFrame:
+    """Months with trade in either flow, or in the one named."""
+    months = (of_flow(trade, flow) if flow else trade).select(F.col("ano").alias("ANO"), F.col("mes").alias("MES")).distinct()
     return months.withColumn("DATA", month_start("ANO", "MES"))
 
 

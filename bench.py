@@ -23,6 +23,7 @@ HEADLINE = [
     "country_exports", "country_imports", "bloc_trade", "state_balance", "route_exports", "route_imports",
     "class_dim", "company_fact", "companies_by_state", "size_profile", "top_classes_by_region", "class_age",
     "company_dim", "opportunities", "bridge_code_coverage", "bridge_value_coverage", "dedup_latest", "upsert_scd1",
+    "archive_expand", "silver_incremental", "upsert_table_scd1", "stream_csv_facts",
 ]
 
 

@@ -103,8 +103,8 @@ def main() -> None:
         ("monthly_balance", "outer join", monthly_by_outer_join, "tagged union", queries["monthly_balance"]),
         ("bloc_trade", "filter after aggregate", blocs_filtered_last, "filter before", queries["bloc_trade"]),
         ("factor_share", "window", share_by_window, "scalar subquery", queries["factor_share"]),
-        ("company_fact", "two count distinct", companies_by_count_distinct, "two-level", companies_by_two_levels),
-        ("upsert_scd1", "full rewrite", upsert.full_rewrite, "touched partitions", upsert.touched_partitions),
+        ("companies per class, state and size", "two count distinct", companies_by_count_distinct, "two-level", companies_by_two_levels),
+        ("upsert of one month", "full rewrite", upsert.full_rewrite, "touched partitions", upsert.touched_partitions),
     ]
 
     def median(query) -> float:

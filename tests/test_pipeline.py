@@ -239,6 +239,13 @@ def test_second_run_adds_nothing(spark, lake, loaded):
     assert spark.table(f"{lake.bronze}.exp").count() == 3
 
 
+def test_dashboards_read_the_facts_twice(spark, lake, loaded):
+    """Only the two shared sums read them, and no dashboard table does."""
+    for name, df in gold.dashboards(spark, lake.silver, dt.date(2024, 1, 1)).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert f"{lake.silver}.exp" not in plan and "/silver/exp/" not in plan and "/silver/imp/" not in plan, name
+
+
 def test_gold(spark, lake, loaded):
     for name in ("ncm_isic", "ncm_cuci"):
         assert not spark.catalog.tableExists(f"{lake.silver}.{name}")

@@ -62,6 +62,34 @@ def test_latest_row_is_chosen_before_the_shuffle(spark):
     assert "Final" in text[partial:final] and "Exchange" in text[partial:final] and "Partial" in text[final:]
 
 
+@pytest.mark.parametrize("name", ["company_fact", "opportunities"])
+def test_sites_are_not_shuffled_by_class(spark, name):
+    """Even where Spark thinks nothing small enough to broadcast: classes are few and crowded."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+    try:
+        plan = plan_of(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    semi = re.findall(r"(\w+Join) \[classe#\d+\], \[classe#\d+\], LeftSemi", plan)
+    assert semi and set(semi) == {"BroadcastHashJoin"}
+
+
+def test_month_dimension_of_one_flow(spark):
+    from aduana.plans import trade
+
+    both = trade.date_dim(b.trade(spark, SF)).count()
+    assert 0 < trade.date_dim(b.trade(spark, SF), "EXP").count() <= both
+
+
+def test_stream_queries_read_folders_of_part_files(spark, tmp_path):
+    for name in ("events", "lineitem"):
+        b.read(spark, SF, name).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_once", "stream_upsert"):
+        whole, parts = queries()[name](spark, SF), queries()[name](spark, str(tmp_path))
+        assert whole.count() == parts.count() > 0 and whole.exceptAll(parts).isEmpty()
+
+
 def test_region_ranking_is_limited_per_group(spark):
     assert "WindowGroupLimit" in plan_of(spark, "top_classes_by_region")
 
