@@ -13,7 +13,7 @@ from aduana.operators.dedup import latest_by_key
 from aduana.operators.flows import EXPORT, IMPORT
 from aduana.operators.topk import refilled_top
 from aduana.operators.upsert import accumulated, merged, staged, upsert_table
-from aduana.operators.watermark import batch_progress, moment, new_rows
+from aduana.operators.watermark import batch_progress, latest_entries, moment, new_rows
 from aduana.plans import audit, company, geo, trade as t
 from aduana.session import fresh_path
 from aduana.sources.bridge import bridge_pairs
@@ -104,9 +104,10 @@ def upsert_newer_only(s: SparkSession, d: str) -> DataFrame:
 
 def latest_control(s: SparkSession, d: str) -> DataFrame:
     """Events as control rows: the latest one of every table."""
-    return b.read(s, d, "events").groupBy(F.col("event_type").alias("table_name")).agg(
-        F.max_by("event_id", F.struct("ts", "event_id")).alias("execucao"), F.max("ts").alias("last_update")
+    control = b.read(s, d, "events").select(
+        F.col("event_type").alias("table_name"), F.col("event_id").alias("execucao"), F.col("ts").alias("last_update")
     )
+    return latest_entries(control, "execucao", "execucao")
 
 
 def _event_control(events: DataFrame, run: str) -> DataFrame:

@@ -19,14 +19,17 @@ CONTROL_SCHEMA = (
 )
 
 
+def latest_entries(control: DataFrame, value: str, *tiebreak: str) -> DataFrame:
+    """(table_name, value, last_update) of the row of each table that was written last."""
+    newest = F.max_by(value, F.struct("last_update", *tiebreak)).alias(value)
+    return control.groupBy("table_name").agg(newest, F.max("last_update").alias("last_update"))
+
+
 def last_watermark(control: DataFrame, table: str) -> dt.datetime | None:
     """Latest processed load time of one table, None before the first run (not a DataFrame)."""
-    row = (
-        control.filter(F.col("table_name") == table)
-        .agg(F.max_by("last_ingestion_timestamp", "last_update").alias("last"))
-        .first()
-    )
-    return row["last"]
+    own = control.filter(F.col("table_name") == table)
+    row = latest_entries(own, "last_ingestion_timestamp", "last_ingestion_timestamp").first()
+    return row["last_ingestion_timestamp"] if row else None
 
 
 def moment(value: dt.datetime, as_type: DataType) -> Column:
