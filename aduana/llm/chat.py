@@ -14,8 +14,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from aduana.llm.common import written
 from aduana.llm.packing import default_tokenizer, token_ids
 
 BUDGET = 2048
@@ -140,12 +142,13 @@ def windows(
     conversations: DataFrame, budget: int = BUDGET, history_tokens: int = HISTORY_TOKENS,
     history_turns: int = HISTORY_TURNS, segment_turns: int = SEGMENT_TURNS, tokenizer: str | None = None,
 ) -> DataFrame:
-    """One row per window: conv_id, segment, window, n_tokens, n_repeated, first_turn, text, loss.
+    """One row per window: conv_id, segment, window, n_tokens, n_repeated, first_turn, text, loss, alone.
 
     Rows are (conv_id, turn, role, text); other columns are not read. Turns come by number, null first; equal
     numbers by role and text, and repeated rows are turns of their own. A null text or role is empty. Rows with a
     null conv_id are one conversation. loss are the spans of `text` that are learned, in code points. No window
-    exceeds the budget unless its only new turn does with the system turn. An empty table gives no window.
+    exceeds the budget unless its only new turn does with the system turn. alone says that all of the conversation
+    is in this segment. An empty table gives no window.
     """
     path = tokenizer or default_tokenizer()
     number = F.col("turn").cast("long")
@@ -161,31 +164,34 @@ def windows(
     head = rows.filter("role = 'system'").groupBy("conv_id").agg(
         F.min(F.struct(F.col("turn").isNotNull(), "turn", "text", "segment")).alias("s")
     )
-    later = rows.filter(F.col("turn") >= segment_turns).select("conv_id", "segment").distinct()
+    # Conversations beyond the first segment. As a table their number is known when the joins are planned.
+    later = rows.filter("segment <> 0").select("conv_id", "segment").distinct()
+    later = written(conversations.sparkSession, later, "segments")
     sent = later.alias("l").join(
         head.alias("h"), F.expr("l.conv_id <=> h.conv_id and l.segment > h.s.segment")
     ).select(
         "l.conv_id", "l.segment", F.lit(SYSTEM_ROW).alias("row"), F.col("h.s.turn").alias("turn"),
         F.lit("system").alias("role"), F.col("h.s.text").alias("text"),
     )
+    several = later.select(F.col("conv_id").alias("c"), F.lit(False).alias("alone")).distinct()
     kind = conversations.schema["conv_id"].dataType
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        names = ["conv_id", "segment", "window", "n_tokens", "n_repeated", "first_turn", "text", "loss"]
+        names = ["conv_id", "segment", "window", "n_tokens", "n_repeated", "first_turn", "text", "loss", "alone"]
         types = [
             to_arrow_type(kind), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(),
-            pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
+            pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.bool_(),
         ]
-        key, segment, count = None, None, 0
+        key, segment, count, single = None, None, 0, True
         out: list[tuple] = []
 
         def emit(found: Iterator[Window]) -> None:
             nonlocal count
             for w in found:
                 spans = [{"start": a, "end": b} for a, b in w.loss]
-                out.append((*key, count, w.tokens, w.repeated, w.turns[w.repeated].number, w.text, spans))
+                out.append((*key, count, w.tokens, w.repeated, w.turns[w.repeated].number, w.text, spans, single))
                 count += 1
 
         def batch_of() -> pa.RecordBatch:
@@ -194,11 +200,11 @@ def windows(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in batches:
-            for conv, part, row, turn, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, part, row, turn, role, text, alone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if segment is None or (conv, part) != key:
                     if segment is not None:
                         emit(segment.windows())
-                    key, count = (conv, part), 0
+                    key, count, single = (conv, part), 0, alone
                     segment = Segment(budget, history_tokens, history_turns)
                 tokens = len(token_ids(text, path)) + MARK_TOKENS
                 emit(segment.add(row, Turn(turn, role, text, tokens)))
@@ -211,11 +217,13 @@ def windows(
     order = ["conv_id", "segment", "row", F.asc_nulls_first("turn"), "role", "text"]
     return (
         rows.unionByName(tail).unionByName(sent)
+        .join(several, F.expr("conv_id <=> c"), "left").drop("c")
+        .withColumn("alone", F.coalesce("alone", F.lit(True)))
         .repartition("conv_id", "segment").sortWithinPartitions(*order)
         .mapInArrow(
             formatted,
             f"conv_id {kind.simpleString()}, segment long, window long, n_tokens long, n_repeated long, "
-            "first_turn long, text string, loss array<struct<start: long, end: long>>",
+            "first_turn long, text string, loss array<struct<start: long, end: long>>, alone boolean",
         )
     )
 
@@ -232,55 +240,87 @@ def turns_of(text: str) -> list[tuple[str, str]]:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of every conversation as its windows have it: of each turn once, and of what is learned.
 
-    Windows are read as a stream in their order, so a long conversation is never held as a whole.
+    Windows are read as a stream in their order, so a long conversation is never held as a whole. One that is
+    alone in its segment is digested where it was formatted; only the windows of the others are dealt out again.
     """
     kind = formatted.schema["conv_id"].dataType
+    digests = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "segment", "window", "n_repeated", "text", "loss", *digests]
+    schema = (
+        f"conv_id {kind.simpleString()}, segment long, window long, n_repeated long, text string, "
+        "loss array<struct<start: long, end: long>>, n_turns long, turns_sha256 string, loss_chars long, "
+        "loss_sha256 string, formatted_chars long"
+    )
 
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        types = [to_arrow_type(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        out: list[tuple] = []
-        state: list | None = None
-
-        def close() -> None:
-            conv, turns, every, chars, learned, size = state
-            out.append((conv, turns, every.hexdigest(), chars, learned.hexdigest(), size))
-
-        def batch_of() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [[]] * len(names)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-        for batch in batches:
-            for conv, _, _, repeated, text, loss in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if state is None or state[0] != conv:
-                    if state is not None:
-                        close()
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, body in turns_of(text)[repeated:]:
-                    state[1] += 1
-                    state[2].update(f"{role}\n{body}\n".encode())
-                for span in loss:
-                    body = unescaped(text[span["start"]:span["end"]])
-                    state[3] += len(body)
-                    state[4].update(body.encode())
-                state[5] += len(text)
+    def digester(last: bool):
+        def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark.sql.pandas.types import to_arrow_type
+
+            types = [
+                to_arrow_type(kind), *[pa.int64()] * 3, pa.string(),
+                pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
+                pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(),
+            ]
+            out: list[tuple] = []
+            state: list | None = None
+
+            def close() -> None:
+                conv, turns, every, chars, learned, size = state
+                done = (turns, every.hexdigest(), chars, learned.hexdigest(), size)
+                out.append((conv, None, None, None, None, None, *done))
+
+            def batch_of() -> pa.RecordBatch:
+                columns = list(zip(*out, strict=True)) or [[]] * len(names)
+                out.clear()
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                )
+
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    conv, _, _, repeated, text, loss, flag = row
+                    if not flag:
+                        out.append((*row[:6], None, None, None, None, None))
+                        continue
+                    if state is None or state[0] != conv:
+                        if state is not None:
+                            close()
+                        state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    for role, body in turns_of(text)[repeated:]:
+                        state[1] += 1
+                        state[2].update(f"{role}\n{body}\n".encode())
+                    for span in loss:
+                        body = unescaped(text[span["start"]:span["end"]])
+                        state[3] += len(body)
+                        state[4].update(body.encode())
+                    state[5] += len(text)
+                yield batch_of()
+            if state is not None:
+                close()
             yield batch_of()
-        if state is not None:
-            close()
-        yield batch_of()
 
-    return (
-        formatted.select("conv_id", "segment", "window", "n_repeated", "text", "loss")
-        .repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
-        .mapInArrow(
-            digested,
-            f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-            "formatted_chars long",
-        )
-    )
+        def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """What is digested already stays; the windows that are left are digested."""
+            def windows_of() -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    done = pc.is_valid(batch.column("n_turns"))
+                    kept.append(batch.filter(done))
+                    left = batch.filter(pc.invert(done))
+                    flags = pa.array([True] * left.num_rows, pa.bool_())
+                    yield pa.RecordBatch.from_arrays([*left.columns[:6], flags], names=[*names[:6], "alone"])
+
+            kept: list[pa.RecordBatch] = []
+            for found in digested(windows_of()):
+                yield from kept
+                kept.clear()
+                yield found
+            yield from kept
+
+        return passed if last else digested
+
+    first = formatted.select(*names[:6], "alone").mapInArrow(digester(False), schema)
+    dealt = first.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window")
+    return dealt.mapInArrow(digester(True), schema).select("conv_id", *digests)
 
 
 # Fixed value: a text that is nothing but control strings.
