@@ -207,15 +207,16 @@ def deduplicated(
 ) -> DataFrame:
     """One row of `docs` for each component of `near_duplicates`, with all its columns: the one with the smallest
     id, or any one if none has an id."""
-    mark, kept_fp, kept_id = (free_name(docs, c) for c in ("_simhash", "_kept_fp", "_kept_id"))
+    mark, key = free_name(docs, "_simhash"), free_name(docs, "_simhash_key")
     rows = written(spark, with_fingerprint(docs, text_col, shingle, seed, mark), "fingerprints")
     named = rooted(spark, rows.groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("first")), bits)
     kept = named.groupBy("root").agg(
         F.min_by(F.struct("fp", "first"), F.struct(F.col("first").isNull(), "first", "fp")).alias("k")
-    ).select(F.col("k.fp").alias(kept_fp), F.col("k.first").alias(kept_id))
-    chosen = (F.col(mark) == F.col(kept_fp)) & F.col(id_col).eqNullSafe(F.col(kept_id))
-    # Rows that repeat the id and the fingerprint have met in the join already.
-    return rows.join(kept, chosen, "left_semi").dropDuplicates([mark, id_col]).select(*docs.columns)
+    ).select(F.struct(F.col("k.fp").alias("f"), F.col("k.first").alias("i")).alias(key))
+    # One key, in which nulls are equal: rows that repeat the id and the fingerprint have met in the join
+    # already, and a fingerprint that very many rows share is dealt out by their ids.
+    keyed = rows.withColumn(key, F.struct(F.col(mark).alias("f"), F.col(id_col).alias("i")))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def op7_simhash(spark: SparkSession, docs: DataFrame) -> DataFrame:
