@@ -7,7 +7,6 @@ time. Nothing is shuffled, a task holds one group, and a task that is repeated g
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -216,7 +215,3 @@ def op10_packing(docs: DataFrame) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
-
-
-def checksum(ids: list[int]) -> int:
-    return zlib.crc32(np.array(ids, "<u4").tobytes())

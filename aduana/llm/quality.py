@@ -171,9 +171,11 @@ def fitted(
                 ], names=[id_col, "label", "columns", "shares"])
 
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, label int, columns binary, shares binary"
-    # An id that several rows carry counts once.
-    rows = sample.mapInArrow(sparse, schema).orderBy(id_col, "columns", "shares").collect()
-    rows = [r for i, r in enumerate(rows) if i == 0 or r[0] != rows[i - 1][0]]
+    # An id that several rows carry counts once, so no more rows than labels come to the driver.
+    once = sample.mapInArrow(sparse, schema).groupBy(id_col, "label").agg(
+        F.min(F.struct("columns", "shares")).alias("f")
+    )
+    rows = once.select(id_col, "label", "f.*").orderBy(id_col).collect()
     low = np.array([1 - r["label"] for r in rows], np.int64)
     held = np.arange(len(rows)) % 3 == 2
     if min(np.bincount(low, minlength=2)) == 0:
