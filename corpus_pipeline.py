@@ -1,12 +1,12 @@
 """A corpus from raw documents to packed sequences: each stage calls one operator of `aduana.llm`.
 
 A stage takes (spark, docs, sf_dir) and returns what it keeps of all of its predecessor's rows, with the columns of
-`documents`; the last returns the packed pieces. Between stages the rows are a Parquet table.
+`documents`; the last returns the packed pieces with their token ids. After each stage the rows are a Parquet table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aduana.llm import mixing, packing, pii, quality, simhash
 from aduana.llm.common import shipped, table, written
@@ -39,8 +39,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences."""
-    return packing.op10_packing(docs)
+    """Pieces of the documents in sequences: their token ids, and the checksum of these."""
+    pieces = packing.pack(docs)
+    at = pieces.columns.index("ids") + 1
+    return pieces.select(*pieces.columns[:at], F.crc32("ids").alias("ids_crc32"), *pieces.columns[at:])
 
 
 STAGES = [
@@ -55,8 +57,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of the last stage: every piece with its token ids (little-endian unsigned 32-bit)."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of `sequences`, whose table it writes, with the checksums in place of the ids."""
+    return sequences(spark, sf_dir).drop("ids")

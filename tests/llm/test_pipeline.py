@@ -4,6 +4,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline
 from aduana.llm import packing, pii
 from aduana.llm.common import written
@@ -50,6 +52,23 @@ def test_run_is_the_stages_in_turn(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
 
+def test_the_packed_table_holds_the_tokens(spark):
+    """Whole sequences and whole documents can be rebuilt from the table that is written."""
+    pieces = corpus_pipeline.sequences(spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in pii.redact(table(spark, "documents")).collect()}
+    path, windows, documents = packing.default_tokenizer(), {}, {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        window = windows.setdefault(r["sequence_id"], [])
+        assert r["offset"] == len(window) and zlib.crc32(r["ids"]) == r["ids_crc32"]
+        window += np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(window) == r["offset"] + r["length"] <= packing.CAPACITY
+        documents.setdefault(r["doc_id"], {})[r["start"]] = r["ids"]
+    assert documents
+    for doc_id, parts in documents.items():
+        ids = np.frombuffer(b"".join(parts[k] for k in sorted(parts)), "<u4").tolist()
+        assert ids == [*packing.token_ids(texts[doc_id], path), packing.END_ID]
+
+
 def test_empty_documents(spark):
     docs = table(spark, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
