@@ -18,7 +18,7 @@ from aduana.llm.common import mixed, text_of
 
 KMER = 5  # code points
 TUPLE = 2  # k-mers of a tuple
-FUNCTIONS = 20
+FUNCTIONS = 50  # tuples of a fingerprint; with 20 many texts that share half with another have none in common
 SEED = 7
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -66,7 +66,7 @@ class OrderMinHash:
         values ^= values >> np.uint32(15)
         values *= np.uint32(0x2C1B3C6D)
         # Nearly always the smallest lie below this limit; a function with too few there looks at all.
-        limit = min(1.0, (self.size + 14) / n)
+        limit = min(1.0, (self.size + 8) / n)
         at = np.flatnonzero((values <= np.uint32(int(limit * 0xFFFFFFFF))).ravel())
         rows = at // n
         order = np.argsort((rows.astype(np.uint64) << np.uint64(32)) | values.ravel()[at], kind="stable")

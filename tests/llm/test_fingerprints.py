@@ -108,3 +108,12 @@ def test_odd_rows(spark):
 def test_fingerprints_of_rows(spark):
     got = fingerprints(docs(spark)).collect()
     assert sorted(r["fingerprint"] for r in got) == sorted(HASHER.fingerprint(r[1] or "") for r in ODD)
+
+
+def test_texts_that_share_half_are_seen(spark):
+    """Too few tuples read 0 for many of them, as for unrelated texts."""
+    texts = [r["text"] for r in table(spark, "documents").orderBy("doc_id").collect() if len(r["text"] or "") >= 400]
+    near = np.array([
+        likeness(HASHER.fingerprint(a), HASHER.fingerprint(edited(a, b))) for a, b in zip(texts, texts[1:], strict=False)
+    ])
+    assert len(near) >= 50 and np.mean(near == 0) <= 0.01 and np.mean(near <= 0.05) <= 0.1
