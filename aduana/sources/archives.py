@@ -1,7 +1,8 @@
 """ZIP archives expanded inside the executors.
 
-Spark reads the archives itself, so any file system it knows will do, whatever the names. Members come
-out as blocks of whole lines; blocks are spread again before Spark's own CSV parser sees them, so one
+An archive in a local or shared folder is opened in its task and unpacked piece by piece, whatever its size and
+name. On any other file system Spark reads it as a whole, up to its limit for the content of a file; a larger one
+is opened by Arrow, or is an error if Arrow does not know its file system. Members come out as blocks of whole lines; blocks are spread again before Spark's own CSV parser sees them, so one
 large archive does not keep a single task busy with parsing and writing. An archive that cannot be read
 gives a row with its error, and the others stay.
 """
@@ -41,30 +42,61 @@ def _line_blocks(stream, encoding: str) -> Iterator[str]:
         yield rest
 
 
+def _opened(path: str):
+    """Seekable stream of a file of the listing; its name is taken as it stands."""
+    import urllib.parse
+
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    if scheme == "s3a":
+        path = "s3:" + rest
+    filesystem, inner = fs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/@"))
+    return filesystem.open_input_file(inner)
+
+
+def _unpacked(path: str, stream, encoding: str) -> Iterator[pa.RecordBatch]:
+    try:
+        with stream() as raw, zipfile.ZipFile(raw) as archive:
+            for member in archive.namelist():
+                if member.endswith("/"):
+                    continue
+                with archive.open(member) as opened:
+                    for block in _line_blocks(opened, encoding):
+                        yield _row(path, member, block, None)
+    except Exception as error:  # noqa: BLE001 - told per archive
+        yield _row(path, None, None, f"{type(error).__name__}: {error}")
+
+
+def _row(*values: str | None) -> pa.RecordBatch:
+    names = ["path", "member", "block", "error"]
+    return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in values], names=names)
+
+
 def archive_blocks(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
-    """Blocks of lines of every member of the archives in `files` (path, content).
+    """Blocks of lines of every member of the archives in `files`, a scan by `binary_files`.
 
     Rows of an archive with an error may stand beside blocks that were read before it.
     """
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(*values: str | None) -> pa.RecordBatch:
-            names = ["path", "member", "block", "error"]
-            return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in values], names=names)
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield from _unpacked(path, lambda: _opened(path), encoding)
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
-                try:
-                    with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                        for member in archive.namelist():
-                            if member.endswith("/"):
-                                continue
-                            with archive.open(member) as stream:
-                                for block in _line_blocks(stream, encoding):
-                                    yield row(path.as_py(), member, block, None)
-                except Exception as error:  # noqa: BLE001 - told per archive
-                    yield row(path.as_py(), None, None, f"{type(error).__name__}: {error}")
-
-    return files.select("path", "content").mapInArrow(expand, BLOCK_SCHEMA)
+                yield from _unpacked(path.as_py(), lambda: pa.BufferReader(content.as_buffer()), encoding)
+
+    if all(f.startswith("file:") for f in files.inputFiles()):
+        return files.select("path").mapInArrow(streamed, BLOCK_SCHEMA)
+    # The scan takes the condition on the length, so it does not touch the content of larger files.
+    limit = int(files.sparkSession.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+    small = files.filter(F.col("length") <= limit).select("path", "content")
+    large = files.filter(F.col("length") > limit).select("path")
+    return small.mapInArrow(whole, BLOCK_SCHEMA).union(large.mapInArrow(streamed, BLOCK_SCHEMA))
 
 
 def lines_of(blocks: DataFrame) -> DataFrame:

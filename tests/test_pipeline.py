@@ -17,6 +17,7 @@ from aduana.plans import bronze, gold, silver
 from aduana.plans.register_tables import POSITIONS, REGISTER_TABLES
 from aduana.plans.trade_tables import FACTS, TRADE_TABLES
 from aduana.sources.bridge import bridge_file, bridge_rows
+from aduana.sources.archives import archive_blocks
 from aduana.sources.inventory import binary_files, file_inventory
 from aduana.streaming.ingest import FACT_FILES, ingest_facts
 from tests.conftest import rows
@@ -332,6 +333,28 @@ def test_good_archives_load_beside_broken_and_odd_ones(spark, tmp_path):
     assert spark.table(f"{lake.bronze}.motivos").count() == 6
 
 
+def test_archives_above_the_limit_of_a_scan(spark, tmp_path):
+    """A local one is streamed whatever its size; on a file system that only Spark knows it fails alone."""
+    lake = Lake(tmp_path, "large")
+    register = lake.landing / "register"
+    text = "".join(f'"{i:05}";"{i * 7919 % 100003} {i * 104729 % 1299709}"\n' for i in range(2000))
+    write_zip(register / "Motivos 0.zip", {"A": text})
+    write_zip(register / "Motivos1.zip", {"B": '"01";"X"\n'})
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.large.link./in", f"file://{register}")
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "2000")
+    try:
+        assert (register / "Motivos 0.zip").stat().st_size > 2000
+        report = lake.load_register(spark).collect()
+        assert [(r["status"], r["files"]) for r in report] == [("loaded", 2)]
+        assert spark.table(f"{lake.bronze}.motivos").count() == 2001
+        blocks = archive_blocks(binary_files(spark, "viewfs://large/in")).collect()
+    finally:
+        spark.conf.unset(limit)
+    assert [b["block"] for b in blocks if b["error"] is None] == ['"01";"X"']
+    assert [b["path"].endswith("Motivos 0.zip") for b in blocks if b["error"]] == [True]
+
+
 def test_fact_files_are_read_by_their_header(spark, tmp_path):
     lake = Lake(tmp_path, "header")
     trade = lake.landing / "trade"
