@@ -56,7 +56,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         for i in range(0, len(numbers) - 3, 4):
             four = numbers[i:i + 4]
             size = sum(map(len, four)) + 3
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in four):
+            if all(len(y := x.lstrip("0")) <= 3 and int(y or "0") <= 255 for x in four):
                 found.append(("ip", place, place + size))
             place += size + 1
     for m in _CARD.finditer(text):

@@ -141,3 +141,9 @@ def test_redaction(spark):
         assert not brute(r["text"] or "")
         assert r["text"] is None or r["n_chars"] == len(r["text"])
     assert sum(r["text"] is None for r in rows) == sum(r[1] is None for r in ODD)
+
+
+def test_numbers_of_thousands_of_zeros():
+    """Python refuses to read more than 4300 digits as a number, leading zeros included."""
+    text = "0" * 4301 + ".0.0.0 and " + "0" * 5000 + "256.1.1.1"
+    assert base_spans(text) == [("ip", 0, 4307)]
