@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aduana.llm.chat import op1_chat
 from aduana.llm.common import shipped, table
+from aduana.llm.exact import OP13_SQL, op13_exact
 from aduana.llm.fingerprints import op6_fingerprints
 from aduana.llm.licenses import op2_licenses
 from aduana.llm.mixing import op3_mixing
@@ -33,9 +34,10 @@ def queries() -> dict[str, Query]:
         "op8_urls": lambda s, d: op8_urls(s, table(s, d, "pages")),
         "op9_pii": lambda s, d: op9_pii(s, table(s, d, "documents")),
         "op10_packing": lambda s, d: op10_packing(table(s, d, "documents")),
+        "op13_exact": op13_exact,
     }
     return {name: shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL}
+    return {"op4_warc": OP4_SQL, "op13_exact": OP13_SQL}
