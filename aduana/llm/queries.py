@@ -17,6 +17,7 @@ from aduana.llm.pii import op9_pii
 from aduana.llm.quality import op5_quality
 from aduana.llm.runs import op12_runs
 from aduana.llm.simhash import op7_simhash
+from aduana.llm.trie import op11_query
 from aduana.llm.urls import op8_urls
 from aduana.llm.warc import OP4_SQL, op4_warc
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_urls": lambda s, d: op8_urls(s, table(s, d, "pages")),
         "op9_pii": lambda s, d: op9_pii(s, table(s, d, "documents")),
         "op10_packing": lambda s, d: op10_packing(table(s, d, "documents")),
+        "op11_trie": op11_query,
         "op12_runs": op12_runs,
         "op13_exact": op13_exact,
     }
