@@ -7,6 +7,7 @@ time. Nothing is shuffled, a task holds one group, and a task that is repeated g
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ GROUP_WINDOWS = 192
 #: that a window holds enough pieces to be balanced.
 PIECE_SHARE = 4
 END_ID = 1
+#: Characters of white space in a run from which on it is encoded apart.
+LONG_RUN = 1000
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 _encoders: dict[str, object] = {}
@@ -55,12 +58,37 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(BYTE_BPE)
 
 
+# The white space of the pattern, and its runs that are too long for the pattern's backtracking.
+_BLANK = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_RUN = re.compile(f"{_BLANK}{{{LONG_RUN}}}{_BLANK}*")
+_SPECIAL = re.compile("|".join(map(re.escape, SPECIAL)))
+
+
+def _ordinary(coder, text: str) -> list[int]:
+    """Ids of a text without special tokens. The pattern takes a run of white space as one piece, but for its last
+    character if something follows; so it is cut out there and encoded by itself, with the same ids."""
+    found = _LONG_RUN.search(text)
+    if found is None:
+        return coder.encode_ordinary(text)
+    ids, at = [], 0
+    while found is not None:
+        end = found.end() if found.end() == len(text) else found.end() - 1
+        ids += coder.encode_ordinary(text[at:found.start()])
+        ids += coder._encode_single_piece(text[found.start():end])
+        at, found = end, _LONG_RUN.search(text, found.end())
+    return ids + coder.encode_ordinary(text[at:])
+
+
 def token_ids(text: str, tokenizer: str) -> list[int]:
-    """Ids of a text; the string of a special token is that token, as in the tokenizer file."""
+    """Ids of a text of any length; the string of a special token is that token, as in the tokenizer file."""
     coder = encoder(tokenizer)
-    if any(x in text for x in SPECIAL):
-        return coder.encode(text, allowed_special="all")
-    return coder.encode_ordinary(text)
+    if not any(x in text for x in SPECIAL):
+        return _ordinary(coder, text)
+    ids, at = [], 0
+    for special in _SPECIAL.finditer(text):
+        ids += [*_ordinary(coder, text[at:special.start()]), SPECIAL[special[0]]]
+        at = special.end()
+    return ids + _ordinary(coder, text[at:])
 
 
 class _Partial:
@@ -152,9 +180,9 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
-    A document is its token ids and `end_id`. A null text is empty, so such a document is `end_id` alone. A null
-    id stays null; repeated rows are packed as often as they come; an empty table gives no piece; other columns
-    are not read. Equal sums are broken by the order of the rows. Sequences are numbered by task and count.
+    A document is its token ids and `end_id`. A null text is empty, so such a document is `end_id` alone. A text of
+    any length is encoded whole by one task, which holds its ids. A null id stays null; repeated rows are packed as
+    often as they come; an empty table gives no piece; other columns are not read, whatever their names. Equal sums are broken by the order of the rows. Sequences are numbered by task and count.
     """
     path, piece = tokenizer or default_tokenizer(), max(1, capacity // PIECE_SHARE)
     schema = (

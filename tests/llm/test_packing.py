@@ -25,6 +25,19 @@ def test_ids_are_those_of_the_tokenizer_file(spark):
     assert [token_ids(t, path) for t in texts] == [e.ids for e in expected]
 
 
+def test_runs_of_white_space_of_any_length():
+    """They are cut out of the text; the ids are those of the tokenizer file all the same."""
+    coder, path = _reference(), default_tokenizer()
+    blanks = [" ", "\n", "\t", " \n", "\r\n", " \u3000\x85", "\xa0"]
+    texts = [a + (b * 1003)[:n] + z for b in blanks for n in (999, 1000, 1001, 1500)
+             for a, z in (("", ""), ("word", "word"), ("x.", "'s"), ("9 ", "\x1c"), ("a", "<|endoftext|>b"), ("é", "\x1fé"))]
+    texts.append(("a" + " " * 2000 + "\n") * 3 + "b" + "\n" * 1200 + " c")
+    expected = coder.encode_batch(texts, add_special_tokens=False)
+    assert [token_ids(t, path) for t in texts] == [e.ids for e in expected]
+    for run in (" " * 2_000_000, "\n" * 2_000_000, "\t" * 2_000_000, " \n\t\u3000" * 500_000):
+        assert token_ids(f"a{run}b", path) == coder.encode(f"a{run}b", add_special_tokens=False).ids
+
+
 def _whole(rows, texts):
     """Every document's pieces join to its ids; every sequence is gapless and not too long."""
     path = default_tokenizer()
