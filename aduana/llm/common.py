@@ -67,6 +67,12 @@ class Block:
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i]:self.offsets[i + 1]].tobytes()
 
+    def word_numbers(self) -> np.ndarray:
+        """A number for every word (run without ASCII white space) of the block; equal words have equal numbers."""
+        buffers = [None, pa.py_buffer(np.ascontiguousarray(self.offsets, np.int64)), pa.py_buffer(self.data)]
+        texts = pa.Array.from_buffers(pa.large_string(), self.rows, buffers)
+        return np.asarray(words_of(texts)[0].dictionary_encode().indices).astype(np.int64)
+
     def row_of(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, positions, "right") - 1
 
@@ -101,6 +107,18 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
         first = last
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, between ASCII white space, and where those of each text begin."""
+    lists = pc.ascii_split_whitespace(texts)
+    flat = lists.flatten()
+    real = np.asarray(pc.greater(pc.binary_length(flat), 0))
+    sums = np.zeros(len(flat) + 1, np.int64)
+    np.cumsum(real, out=sums[1:])
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(np.asarray(pc.list_value_length(lists)), out=bounds[1:])
+    return flat.filter(pa.array(real)), sums[bounds]
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Well-spread 64-bit values of 64-bit values."""
     h = h ^ (h >> np.uint64(30))

@@ -1,7 +1,8 @@
 """Quality rules: countable rules, and hashed word and character n-gram logistic regression on labelled rows.
 
 Training sees a bounded sample of the labelled rows; rules and scores cover all rows and whole texts. Scoring
-works on Arrow batches as byte arrays: words, lines, windows and n-grams are hashed by prefix sums.
+works on Arrow batches as byte arrays; n-grams are hashed by prefix sums. What the rules count as equal is compared
+itself: lines as bytes, windows by the numbers of their words.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ class _Words:
         self.counts = np.diff(self.first)
 
 
-def rules(block: Block, words: _Words, spans: SpanHash) -> dict[str, np.ndarray]:
+def rules(block: Block, words: _Words) -> dict[str, np.ndarray]:
     """Counts of every row of a block; see `judged`."""
     data, rows = block.data, block.rows
     lead = (data & 0xC0) != 0x80
@@ -64,37 +65,47 @@ def rules(block: Block, words: _Words, spans: SpanHash) -> dict[str, np.ndarray]
         "word_chars": block.per_row(words.inside & lead),
         "n_symbols": block.per_row(_SYMBOL[data]),
     }
-    starts, ends = block.spans(data != 0x0A)  # a line without a character has no word
-    with_word = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
-    starts, ends = starts[with_word], ends[with_word]
-    of = block.row_of(starts)
-    _, repeats = _repeated(spans.of(starts, ends), of)
-    counts["n_dup_lines"] = np.bincount(of[repeats], minlength=rows)
+    counts["n_dup_lines"] = np.array([_repeated_lines(block.text(i)) for i in range(rows)], np.int64)
 
     # Windows of words, and the words below any window that its row has twice.
-    hashes = spans.of(words.starts, words.ends)
-    n = len(hashes) - WINDOW + 1
-    covered = np.zeros(len(hashes) + 1, np.int64)
+    numbers = block.word_numbers()
+    n = len(numbers) - WINDOW + 1
+    covered = np.zeros(len(numbers) + 1, np.int64)
     if n > 0:
         at = np.flatnonzero(words.rows[:n] == words.rows[WINDOW - 1:])
-        keys = SpanHash(hashes).of(at, at + WINDOW)
-        twice, _ = _repeated(keys, words.rows[at])
-        np.add.at(covered, at[twice], 1)
-        np.add.at(covered, at[twice] + WINDOW, -1)
+        twice = at[_repeated_windows(numbers, at, words.rows[at])]
+        np.add.at(covered, twice, 1)
+        np.add.at(covered, twice + WINDOW, -1)
     counts["n_repeat_words"] = np.bincount(words.rows[np.cumsum(covered[:-1]) > 0], minlength=rows)
     return counts
 
 
-def _repeated(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries another entry of the row equals, and which an earlier one does."""
+def _repeated_lines(text: bytes) -> int:
+    """Lines with a word that equal an earlier one."""
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    return len(lines) - len(set(lines))
+
+
+def _repeated_windows(numbers: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which of the windows that start `at` another window of the row equals. Hashes bring windows together, the
+    numbers of their words decide."""
+    keys = SpanHash(mixed(numbers.astype(np.uint64))).of(at, at + WINDOW)
     keys = mixed(keys + rows.astype(np.uint64) * np.uint64(SpanHash.BASE))
     order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    twice, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    later[order[1:][same]] = True
-    return twice, later
+    same = np.flatnonzero(keys[order][1:] == keys[order][:-1])
+    a, b = order[same], order[same + 1]
+    inside = np.arange(WINDOW)
+    equal = (rows[a] == rows[b]) & (numbers[at[a, None] + inside] == numbers[at[b, None] + inside]).all(1)
+    if not equal.all():  # different windows with one hash: those that have company are named by their words
+        some = np.union1d(a, b)
+        windows = np.column_stack([rows[some], numbers[at[some, None] + inside]])
+        _, name, size = np.unique(windows, axis=0, return_inverse=True, return_counts=True)
+        a = b = some[size[name.ravel()] > 1]
+        equal = np.ones(len(a), bool)
+    twice = np.zeros(len(at), bool)
+    twice[a[equal]] = True
+    twice[b[equal]] = True
+    return twice
 
 
 def grams(block: Block, words: _Words, spans: SpanHash) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -209,7 +220,8 @@ def judged(
     n_words words (runs without ASCII white space); word_chars code points in them; n_symbols; n_dup_lines lines
     with a word that equal an earlier one; n_repeat_words words in windows of eight words that the text has twice
     or more; base_failed too few words or too many repeated; low_quality the model's calibrated probability
-    (null without a model); kept. A null text is empty and fails for want of words. Null ids stay, repeated rows
+    (null without a model); kept. A null text is empty and fails for want of words. A text of any length is judged whole by
+    one task, in some 60 bytes for each of its own. Null ids stay, repeated rows
     are judged alike, an empty table gives no row, other columns are not read.
     """
     weights = docs.sparkSession.sparkContext.broadcast(model.weights) if model else None  # 1 << WIDTH_BITS floats
@@ -219,7 +231,7 @@ def judged(
 
     def verdicts(block: Block) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray | None]:
         words, spans = _Words(block), SpanHash(block.data)
-        counts = rules(block, words, spans)
+        counts = rules(block, words)
         n = counts["n_words"]
         failed = (n < MIN_WORDS) | (100 * counts["n_repeat_words"] > REPEATED_PERCENT * n)
         if weights is None:

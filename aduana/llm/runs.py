@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aduana.llm.common import mixed, table, text_blocks
+from aduana.llm.common import mixed, table, text_blocks, words_of
 
 #: A run has at least so many periods, and so many words.
 PERIODS, LEAST = 4, 6
@@ -146,18 +146,6 @@ def _caught(
                 yield place[s + a:s + a + 1], np.array([b - a + q]), np.array([q])
 
 
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts, and where those of each text begin."""
-    lists = pc.ascii_split_whitespace(texts)
-    flat = lists.flatten()
-    real = np.asarray(pc.greater(pc.binary_length(flat), 0))
-    sums = np.zeros(len(flat) + 1, np.int64)
-    np.cumsum(real, out=sums[1:])
-    bounds = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum(np.asarray(pc.list_value_length(lists)), out=bounds[1:])
-    return flat.filter(pa.array(real)), sums[bounds]
-
-
 Edit = Callable[[object, int], "np.ndarray | None"]
 
 
@@ -187,7 +175,7 @@ def periodic_runs(
                 yield pa.RecordBatch.from_arrays([batch.column(0)[of], *one(batch.column(0)[of], texts[of])], names=names)
 
     def one(keys: pa.Array, texts: pa.Array) -> list[pa.Array]:
-        flat, offsets = _words(texts)
+        flat, offsets = words_of(texts)
         source = np.arange(len(flat))
         if edit is not None:
             for row, key in enumerate(keys.to_pylist()):

@@ -41,6 +41,38 @@ def test_counts_and_base_rule(spark):
     assert judged(docs(spark, []), None).count() == 0
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_equal_is_equal_not_hashed_alike(spark):
+    """A word of two letters and its complement, which every polynomial hash modulo 2^64 takes for equal."""
+    one, two = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    window = "{} c d e f g h i"
+    texts = [
+        f"{one}\n{two}", f"{one}\n{two}\n{one}", f"{window.format(one)} x {window.format(two)}",
+        f"{window.format(one)} x {window.format(two)} y {window.format(one)}", thue_morse(9000, "p ", "q "),
+        thue_morse(3000, "p ", "q ") + "\n" + thue_morse(3000, "q ", "p "),
+    ]
+    rows = judged(docs(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]), None).collect()
+    assert {r["doc_id"]: tuple(r[c] for c in NAMES) for r in rows} == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    from aduana.llm import quality
+
+    numbers = np.random.default_rng(3).integers(0, 2, 400)
+    rows = np.repeat([0, 1], 200)
+    at = np.flatnonzero(rows[:-7] == rows[7:])
+    wanted = quality._repeated_windows(numbers, at, rows[at])
+    seen = Counter((rows[i], *numbers[i:i + 8]) for i in at.tolist())
+    assert wanted.tolist() == [seen[(rows[i], *numbers[i:i + 8])] > 1 for i in at.tolist()]
+    sums = np.concatenate([[0], np.cumsum(numbers)])
+    monkeypatch.setattr(quality.SpanHash, "of", lambda self, a, b: (sums[b] - sums[a]).astype(np.uint64))
+    monkeypatch.setattr(quality, "mixed", lambda h: h)
+    assert quality._repeated_windows(numbers, at, rows[at]).tolist() == wanted.tolist()
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     df = spark.read.parquet(f"{folder}/documents.parquet")
