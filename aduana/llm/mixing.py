@@ -20,6 +20,8 @@ MOST = 3
 SEED = 20
 #: Documents of a bucket of the first level, and buckets that meet in one of the next.
 LEAF, FAN = 10_000, 32
+#: Equal rows that one task writes out.
+ROWS_AT_ONCE = 10_000
 #: Fractional documents of each power-of-two size class that a bucket leaves to the level above, so that the large
 #: ones are rounded against small ones until the end. The last one left is then small.
 RESERVE = 4
@@ -154,11 +156,12 @@ def copies(
     spark: SparkSession, sizes: DataFrame, id_col: str = "doc_id", weights: tuple[float, ...] = WEIGHTS,
     most: int = MOST, seed: int = SEED,
 ) -> DataFrame:
-    """(id, source, size, source_size, target, copies) of the distinct rows of (id, source, size).
+    """(id, source, size, source_size, target, copies, rows, more) of the distinct rows of (id, source, size).
 
-    Rows that are equal in these are one unit, and each of them is taken as often. A null id is an id and a null
-    source a source. Rows of no words are taken no time. Nothing depends on the order of rows or on partitions:
-    buckets and draws follow from hashes of the unit.
+    Rows that are equal in these are one unit of `rows` rows. Each of them is taken `copies` times, and `more` of them
+    once more: of the extra copies that the rows of a unit should get together, the whole ones are certain and only
+    what is left of one row is drawn. A null id is an id and a null source a source. Rows of no words are taken no
+    time. Nothing depends on the order of rows or on partitions: buckets and draws follow from hashes of the unit.
     """
     units = sizes.groupBy(id_col, "source", "size").agg(F.count(F.lit(1)).alias("_rows"))
     goal = targets(spark, sizes, weights, most)
@@ -166,9 +169,13 @@ def copies(
     base = F.when(F.col("size") > 0, F.floor(share + F.lit(_EPS))).otherwise(0).cast("int")
     fraction = F.when(F.col("size") > 0, F.greatest(share - base, F.lit(0.0))).otherwise(0.0)
     # Sources are joined null-safe; a source with a large part of the rows is split by Spark.
+    # Of the rows of a unit together, so many get one copy more for certain.
+    together = fraction * F.col("_rows")
+    certain = F.floor(together + F.lit(_EPS)).cast("long")
     rows = units.alias("u").join(goal.alias("g"), F.col("u.source").eqNullSafe(F.col("g.source"))).select(
-        f"u.{id_col}", "u.source", "size", "source_size", "target", base.alias("base"), fraction.alias("part"),
-        (F.col("size") * F.col("_rows")).alias("mass"),
+        f"u.{id_col}", "u.source", "size", "source_size", "target", base.alias("base"), "_rows",
+        certain.alias("certain"), F.greatest(together - certain, F.lit(0.0)).alias("part"),
+        F.col("size").cast("long").alias("mass"),
         F.xxhash64(F.col(f"u.{id_col}"), F.col("u.source"), F.col("size")).alias("draw"),
         F.lit(False).alias("done"),
     )
@@ -193,11 +200,23 @@ def copies(
     for more in finished[1:]:
         result = result.unionByName(more)
     return result.select(
-        id_col, "source", "size", "source_size", "target",
-        F.least(F.col("base") + F.round("part").cast("int"), F.lit(int(most))).alias("copies"),
+        id_col, "source", "size", "source_size", "target", "draw",
+        F.col("base").alias("copies"), F.col("_rows").alias("rows"),
+        F.when(F.col("base") < int(most), F.col("certain") + F.round("part").cast("long")).otherwise(0).alias("more"),
     )
 
 
+def each_row(units: DataFrame, most_at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """The rows of `copies`, one for each row of the table: with what each is taken. A unit of very many rows is
+    written out by several tasks."""
+    pieces = F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / most_at_once))
+    dealt = units.filter("rows > 1").withColumn("_piece", F.explode(pieces)).repartition("draw", "_piece")
+    first = F.col("_piece") * most_at_once
+    several = dealt.withColumn("_row", F.explode(F.sequence(first + 1, F.least(first + most_at_once, "rows"))))
+    both = units.filter("rows = 1").withColumn("_row", F.lit(1).cast("long")).unionByName(several.drop("_piece"))
+    return both.withColumn("copies", F.col("copies") + (F.col("_row") <= F.col("more")).cast("int")).drop("_row")
+
+
 def sizes_of(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
@@ -213,32 +232,31 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it: none, once, or up to `most` times.
 
-    See `copies` for ties, nulls and repeated rows. All columns stay, whatever their names. An empty table stays
-    empty.
+    See `copies` for ties and nulls. Which of several equal rows get one copy more is drawn for each of them by its
+    place in the table, so that their number is met on average. All columns stay, whatever their names; texts of any
+    length are counted and repeated whole. An empty table stays empty.
     """
-    unit, times = free_name(docs, "_unit"), free_name(docs, "_times")
+    unit, times, more = free_name(docs, "_unit"), free_name(docs, "_times"), free_name(docs, "_more")
     found = copies(spark, sizes_of(spark, docs, id_col, text_col, source_col), id_col, weights, most, seed)
-    taken = found.filter("copies > 0").select(
+    taken = found.filter("copies > 0 or more > 0").select(
         F.struct(F.col(id_col).alias("i"), F.col("source").alias("s"), F.col("size").alias("n")).alias(unit),
-        F.col("copies").alias(times),
+        F.col("copies").alias(times), (F.col("more") / F.col("rows")).alias(more),
     )
     key = F.struct(
         F.col(id_col).alias("i"), F.col(source_col).alias("s"), word_count(F.col(text_col)).alias("n")
     )
     # Structs of nulls are equal to each other, so one key joins them all.
-    rows = docs.withColumn(unit, key).join(taken, unit)
-    return rows.withColumn(unit, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    place = free_name(docs, "_place")
+    rows = docs.withColumn(place, F.monotonically_increasing_id()).withColumn(unit, key).join(taken, unit)
+    draw = F.pmod(F.xxhash64(F.lit(seed), unit, place), F.lit(1 << 30)) / float(1 << 30)
+    times_all = F.col(times) + (draw < F.col(more)).cast("int")
+    return rows.withColumn(times, times_all).filter(F.col(times) > 0).withColumn(
+        unit, F.explode(F.sequence(F.lit(1), times))
+    ).select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Words the mix takes of every document."""
-    sizes = sizes_of(spark, docs)
-    found = copies(spark, sizes)
-    # Equal rows were one unit; they come back as often as the table has them.
-    again = sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    key = [found[c].eqNullSafe(again[c]) for c in ("doc_id", "source", "size")]
-    return found.join(again, key[0] & key[1] & key[2], "left").select(
-        found["doc_id"], found["size"], "source_size", "target",
-        (found["size"] * F.col("copies")).alias("taken"),
-        F.explode(F.sequence(F.lit(1), F.coalesce("n", F.lit(1)))).alias("_n"),
-    ).drop("_n")
+    return each_row(copies(spark, sizes_of(spark, docs))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
