@@ -6,9 +6,11 @@ texts advance together, the longest first. Its spans are verified by kind and ad
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -153,8 +155,14 @@ class Shapes:
         self.features, self.width = made, base
 
 
+#: Labels: 0 is outside; every kind has one for the word that begins a span, and one for those that go on with it.
+LABELS = 1 + 2 * len(KINDS)
+#: Words of the longest span; no kind has a longer one.
+MOST_WORDS = 24
+
+
 class Field:
-    """Weights of features by label, of transitions and of first labels. Label 0 is outside."""
+    """Weights of features by label, of transitions and of first labels."""
 
     def __init__(self, emission: np.ndarray, transition: np.ndarray, first: np.ndarray, lexicon: np.ndarray):
         self.emission, self.transition, self.first, self.lexicon = emission, transition, first, lexicon
@@ -201,12 +209,12 @@ def _parsed(line: str) -> tuple[str, list[int]]:
     words: list[str] = []
     labels: list[int] = []
     for part in re.findall(r"\{[^}]*\}\S*|\S+", line):
-        kind, text = 0, part
+        begins, text = 0, part
         if m := re.match(r"\{(\w+)\|([^}]*)\}(\S*)$", part):
-            kind, text = KINDS.index(m[1]) + 1, m[2] + m[3]
-        for word in text.split():
+            begins, text = 2 * KINDS.index(m[1]) + 1, m[2] + m[3]
+        for i, word in enumerate(text.split()):
             words.append(word)
-            labels.append(kind)
+            labels.append(begins + (i > 0) if begins else 0)
     return " ".join(words), labels
 
 
@@ -217,14 +225,17 @@ def trained(table: list[str] = LABELLED, steps: int = 120, rate: float = 0.4, de
     joined = b"\n".join(texts)
     data = np.frombuffer(joined, np.uint8)
     block = Block(0, data, np.array([0, len(data)], np.int64))
-    words = {w.lower().rstrip(b".,:;") or w.lower() for t in texts for w in t.split() if not _DIGIT.search(w.decode())}
-    ordered = sorted(words)
+    # Words of a single line are unknown ones, as most words of a text will be.
+    lines = Counter(
+        w for t in texts for w in {w.lower().rstrip(b".,:;") or w.lower() for w in t.split()} if not _DIGIT.search(w.decode())
+    )
+    ordered = sorted(w for w, n in lines.items() if n > 1)
     sizes = np.array([len(w) for w in ordered], np.int64)
     ends = np.cumsum(sizes)
     lexicon = np.unique(SpanHash(np.frombuffer(b"".join(ordered), np.uint8)).of(ends - sizes, ends))
     shapes = Shapes(block, lexicon)
     gold = np.concatenate([p[1] for p in pairs])
-    n, k = len(gold), len(KINDS) + 1
+    n, k = len(gold), LABELS
     starts = shapes.line_starts
     lengths = np.diff(np.append(starts, n))
     longest = int(lengths.max())
@@ -279,42 +290,59 @@ def _plausible(kind: str, text: str) -> bool:
     if kind == "phone":
         return 6 <= len(digits) <= 15 and not re.search(r"[^0-9 ()./+-]", text)
     words = text.split()
-    return 2 <= len(words) <= 4 and all(w.isalpha() and w[0].isupper() and w[1:].islower() for w in words)
+    return 2 <= len(words) <= 4 and len(set(words)) == len(words) and all(w.isalpha() and w[0].isupper() and w[1:].islower() for w in words)
 
 
 _TRIM = {"name": " .,;:!?\"'()", "phone": " .,;:!?\"'/-"}
 
 
 def method_spans(block: Block, field: Field) -> list[list[tuple[str, int, int]]]:
-    """Verified spans of the field in each row, in code points; words of a line with one label are a span."""
+    """Verified spans of the field in each row, in code points; a span doesn't cross lines."""
     shapes = Shapes(block, field.lexicon)
     labels = field.decode(shapes)
     out: list[list[tuple[str, int, int]]] = [[] for _ in range(block.rows)]
     inside = np.flatnonzero(labels)
     if not len(inside):
         return out
-    edge = np.zeros(len(labels) + 1, bool)
+    edge = np.zeros(len(labels), bool)
     edge[shapes.line_starts] = True
-    opens = inside[(labels[inside - 1] != labels[inside]) | edge[inside] | (inside == 0)]
+    kinds = (labels + 1) // 2
+    # A span begins with its label, or where a word goes on with what the one before it isn't.
+    begins = (labels % 2 == 1) | edge
+    begins[1:] |= kinds[1:] != kinds[:-1]
+    opens = inside[begins[inside]]
+    stops = np.flatnonzero(begins | (labels == 0))
+    following = np.append(stops, len(labels))[np.searchsorted(stops, opens, "right")]
     rows = block.row_of(shapes.starts[opens])
-    for word, row in zip(opens.tolist(), rows.tolist(), strict=True):
-        last = word
-        while last + 1 < len(labels) and labels[last + 1] == labels[word] and not edge[last + 1]:
-            last += 1
-        kind = KINDS[labels[word] - 1]
-        begin, end = int(shapes.starts[word]), int(shapes.ends[last])
-        text = block.data[begin:end].tobytes().decode()
+    leads = np.zeros(len(block.data) + 1, np.int64)
+    np.cumsum((block.data & 0xC0) != 0x80, out=leads[1:])
+    starts = leads[shapes.starts[opens]] - leads[block.offsets[rows]]
+    for word, end, row, start in zip(opens.tolist(), following.tolist(), rows.tolist(), starts.tolist(), strict=True):
+        if end - word > MOST_WORDS:
+            continue
+        kind = KINDS[int(kinds[word]) - 1]
+        text = block.data[int(shapes.starts[word]):int(shapes.ends[end - 1])].tobytes().decode()
         marks = _TRIM.get(kind, " .,;!?\"'")
         cut = len(text) - len(text.lstrip(marks))
         text = text.strip(marks)
-        if not _plausible(kind, text):
-            continue
-        prefix = block.data[int(block.offsets[row]):begin]
-        start = int(np.count_nonzero((prefix & 0xC0) != 0x80)) + cut
-        out[row].append((kind, start, start + len(text)))
+        if _plausible(kind, text):
+            out[row].append((kind, start + cut, start + cut + len(text)))
     return out
 
 
+def _clear_of(spans: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans that overlap none of `base`."""
+    ordered = sorted((a, b) for _, a, b in base)
+    firsts = [a for a, _ in ordered]
+    reach = list(accumulate((b for _, b in ordered), max))
+    kept = []
+    for s in spans:
+        before = bisect_left(firsts, s[2])  # those that begin before the span ends
+        if not before or reach[before - 1] <= s[1]:
+            kept.append(s)
+    return kept
+
+
 def _listed(spans: list[tuple[str, int, int]]) -> str:
     ordered = sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
     return ",".join(f"{k}:{a}:{b}" for k, a, b in ordered)
@@ -328,15 +356,16 @@ def spans_of(block: Block, field: Field) -> Iterator[tuple[str, list, list]]:
     for row in range(block.rows):
         text = block.text(row).decode()
         base = base_spans(text) if digits[row] or signs[row] else []
-        more = [s for s in added[row] if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
-        yield text, base, more
+        yield text, base, _clear_of(added[row], base)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
     """(id, base, added) of every row: lists of kind:start:end in code points, end exclusive, by kind and start.
 
     A null text is empty and has none. Null ids stay, repeated rows are searched alike, an empty table gives no
-    row, other columns are not read. Two labels with the same score: the one listed first.
+    row, other columns are not read, whatever their names. Two labels with the same score: the one listed first. A
+    text of any length is searched whole by one task, in steps that grow with its length; a line is one chain, so a
+    single line of very many words costs a numpy step for each of them.
     """
     model = field or trained()
 
@@ -373,7 +402,11 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact(
     docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", field: Field | None = None
 ) -> DataFrame:
-    """The rows of `docs` with personal data replaced; `chars_col` is then the new length. Null texts stay null."""
+    """The rows of `docs` with personal data replaced; `chars_col` is then the new length.
+
+    A null text stays null and keeps its length. All columns stay, whatever their names; null ids, repeated rows and
+    texts of any length are like any others; an empty table stays empty. See `find` for what is replaced.
+    """
     model = field or trained()
     names = docs.columns
     text_at = names.index(text_col)

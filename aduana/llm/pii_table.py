@@ -87,4 +87,111 @@ mobile homes and mail boxes at the dot of noon
 he was at home and at work at ten
 Tel aviv is a town by the sea
 address unknown, phone dead, fax broken
+write to {email|office@example.net} or to {email|m.keller@post.example.com} soon
+{email|sara.lind@example.org} {email|ben.holt@mail.example.net} and others
+my mail is {email|j_doe77@example.com} since May
+e-mail {email|contact@firm.example.org}; we answer fast
+from {email|no-reply@news.example.com} to {email|luca@example.net}
+ask {email|support@help.example.org} for it
+mail: {email|tom (at) example (dot) com} please
+write {email|nina (at) post (dot) example (dot) net} to me
+or {email|olga [at] example [dot] com} for short
+it is {email|otto [at] firm [dot] example [dot] org} now
+send to {email|mia at example dot org} today
+she is {email|carl at mail dot example dot net} I think
+his mail {email|rosa at example dot net} is new
+Mail {email|jan.maas@example.com} {phone|+1 (305) 555-0121} here
+phone {phone|+44 20 7946 0812} {phone|+44 20 7946 0813} both
+Tel: {phone|040 765432} {phone|0221 987654} morgens
+call {phone|030 445566} {phone|030 445567} please
+tel. {phone|(089) 7654-32} oder {phone|(0221) 8765-43} abends
+Tel. {phone|0761 334455} am Abend
+call {phone|555-0187} or {phone|555-0164} today
+Call {phone|(212) 555-0172} after five
+call {phone|(650) 555-0110} {phone|(650) 555-0111} now
+Telefon {phone|0341 223344} bitte
+Telefon {phone|069 778899} {phone|069 778800} ab neun
+téléphone {phone|04 91 22 33 44} le soir
+téléphone {phone|03 88 45 67 89} {phone|03 88 45 67 90} ou plus tard
+teléfono {phone|93 765 43 21} por la tarde
+teléfono {phone|95 234 56 78} {phone|95 234 56 79} hoy
+mobile {phone|0160 5550188} at night
+mobile {phone|0172 5550144} {phone|0172 5550145} or mail
+fax {phone|030 901829} and phone {phone|030 901828} here
+her number is {phone|+1 (773) 555-2210} at work
+numbers {phone|+1 (415) 555-7788} {phone|+1 (415) 555-7799} and more
+is {phone|+49 170 5550 9876} {phone|+49 170 5550 9877} der
+reach {phone|+44 161 496 0123} or {phone|+33 1 42 68 53 00} then
+phone {phone|555-0133} today
+card {card|4222 2222 2222 2220} was lost
+paid with card {card|5105 1051 0510 5100} at noon
+card {card|4111-1111-1111-1111} {card|5500-0000-0000-0004} both
+Amex {card|371449635398431} {card|378734493671000} here
+Karte {card|4012 8888 8888 1881} ist da
+Karte {card|5555555555554444} {card|4111111111111111} gesperrt
+tarjeta {card|4000 1234 1234 1234} nueva
+number {card|6011 1111 1111 1117} {card|6011 0009 9013 9424} as well
+visa {card|4111111111111111} and {card|5105105105105100} on file
+from {ip|192.0.2.44} {ip|192.0.2.45} last night
+host {ip|10.1.2.3} {ip|10.1.2.4} {ip|10.1.2.5} are up
+the server {ip|172.16.4.9} and gateway {ip|172.16.4.1} did not answer
+login from {ip|203.0.113.200} at night
+ping {ip|198.51.100.7} and {ip|198.51.100.8} from here
+address {ip|2001:db8::a1} is reserved
+from {ip|2001:db8::21} {ip|2001:db8::22} in the night
+login from {ip|fe80::a00:27ff:fe4e:66a1} refused
+ping {ip|2001:db8:1::9} {ip|fe80::7} from home
+host {ip|2001:db8:a::42} and {ip|2001:db8:b::43} are up
+IPv6 address {ip|fe80::202:b3ff:fe1e:8329} here
+at {ip|2001:db8::beef} over the night
+Mr. {name|Peter Hall} and Mrs. {name|Susan Hall} came
+Mr. {name|Oscar Lind} signed
+Mrs. {name|Laura Bell} wrote the letter
+Mrs. {name|Nora Field} and Dr. {name|Ivan Rusk} met
+Ms. {name|Emma Stone} will attend
+Ms. {name|Kate Moss}, who was there
+Dr. {name|Paul Ernst}, please
+Dr. {name|Maria Costa} said it
+Herr {name|Franz Huber} und Frau {name|Greta Huber} kommen
+Herr {name|Max Lorenz} hat angerufen
+Frau {name|Eva Brandt} kommt morgen
+Frau {name|Lisa Krause}, bitte
+Señor {name|Pablo Ruiz} vive allí
+Señor {name|Diego Mora} y Señora {name|Elena Mora} llegaron
+Señora {name|Carmen Soto} llegó tarde
+Madame {name|Sophie Martin} habite ici
+Madame {name|Louise Bernard} et Monsieur {name|Paul Bernard} sont là
+Monsieur {name|Marc Durand} est arrivé
+my name is {name|Alice Young} and I live here
+my name is {name|Robert King}. It was long
+Name: {name|Walter Frost} of the house
+Name: {name|Irene Adler}, of this town
+we met {name|John Miles} {phone|555-0155} there
+the letter of Mr. {name|Edward Hale} to Mrs. {name|Julia Hale} was read
+Dear Mr. {name|George Lane}, please write
+Dear Ms. {name|Sarah Cole}, as said
+Call of the wild and Tel of the land, Mail of the day
+at the dot of the line, and at the end dot
+The House of Commons and The White House are old. New York is large.
+from 12:45 to 13:30 and from 9:05 to 9:55 it rains
+pages 30 40 50 60 and 70 80 90 100 of the book
+phone and fax and mail and card and name
+Frau und Herr und Mann und Haus. Das Haus ist alt.
+Señor, señora, la casa. El Señor de la casa.
+Mr. and Mrs. and Dr. and Ms. are titles
+write to {email|eric at example dot org} or call
+at {email|dora at post dot example dot com} now
+mail {email|ida (at) firm (dot) example (dot) com} please
+{email|hugo (at) example (dot) net} is his
+{email|lars [at] post [dot] example [dot] org} is hers
+to {email|emma [at] example [dot] org} and {email|paul@example.org} soon
+téléphone {phone|05 56 12 34 56} {phone|05 56 12 34 57} demain
+teléfono {phone|96 345 67 89} {phone|96 345 67 90} mañana
+Madame {name|Julie Robert} et Monsieur {name|Henri Robert} habite ici
+and {name|Ralph Berg} said: Herr {name|Nils Berg} und Frau {name|Ute Berg} kommen
+number {card|5105 1051 0510 5100} {card|4222 2222 2222 2220} as well
+Thes Thes Thes Thes and Enie Enie Enie Enie then
+Haer. Onth Haer, Onth Wher. Thei Lond and so on
+Un Grand Jour. La Grande Nuit, Le Petit Jour ici
+Der Gute Mann und Die Gute Frau. Das Alte Haus dort
 """.strip().split("\n")
