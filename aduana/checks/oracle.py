@@ -466,6 +466,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT '/landing/' || table_name AS path, table_name, size, modificationTime, 'CNPJ' AS container_name,
                    kind AS target_table
             FROM files WHERE table_name NOT IN (SELECT table_name FROM loaded WHERE loaded.modificationTime >= files.modificationTime)""",
+        "unseen_versions": f"""
+            WITH files AS ({_event_files("true")}),
+            earlier AS ({_event_files("user_id % 7 > 0 OR event_type <> 'click'")}),
+            known AS (SELECT *, CAST(regexp_extract(table_name, '([0-9]+)', 1) AS INTEGER) % 5 AS n FROM earlier)
+            SELECT '/landing/' || f.table_name AS path, f.size, f.kind AS target_table
+            FROM files f LEFT JOIN known k USING (table_name)
+            WHERE k.table_name IS NULL OR k.n IN (1, 2, 4) OR (k.n = 0 AND (k.modificationTime, k.size) <> (f.modificationTime, f.size))
+               OR (k.n = 3 AND f.modificationTime > TIMESTAMP '2024-01-28')""",
+        "stream_readmitted": """
+            SELECT lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS CO_NCM, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS KG_LIQUIDO,
+                   CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS VARCHAR) AS VL_FOB, 0::BIGINT AS recusados
+            FROM lineitem""",
         "hot_keys": "SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 0.008 * (SELECT count(*) FROM events)",
         "append_partitioned": f"SELECT {_EVENT_COLUMNS}, props FROM events",
         "append_widened": f"SELECT {_EVENT_COLUMNS}, CASE WHEN event_type = 'view' THEN props END AS props FROM events",

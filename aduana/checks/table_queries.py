@@ -31,8 +31,8 @@ from aduana.session import fresh_path
 from aduana.sources.archives import archive_lines
 from aduana.sources.bridge import bridge_file, bridge_pairs
 from aduana.sources.delimited import HEADERED, HEADERLESS, headered, headerless, parsed_lines
-from aduana.sources.inventory import binary_files, changed_files, excluding_prefixes, with_target
-from aduana.streaming.ingest import ingest_facts
+from aduana.sources.inventory import binary_files, changed_files, excluding_prefixes, unseen_versions, with_target
+from aduana.streaming.ingest import ingest_facts, refused_files
 
 LOAD_CUT = dt.datetime(2024, 1, 28)
 
@@ -238,6 +238,39 @@ def stream_csv_facts(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _write_files(lines: DataFrame, folder: str, header: list[str]) -> None:
+    """A headered file for each partition, under the same name each time."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = 0
+        with _opener(folder)(f"EXP_{TaskContext.get().partitionId():04}.csv") as f:
+            f.write((";".join(header) + "\n").encode("ISO-8859-1"))
+            for batch in batches:
+                f.write("".join(x + "\n" for x in batch["value"]).encode("ISO-8859-1"))
+                count += len(batch)
+        yield pd.DataFrame({"n": [count]})
+
+    lines.select("value").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def stream_readmitted(s: SparkSession, d: str) -> DataFrame:
+    """Line items as fact files that all lack a column at first; put right under their own names, they are loaded, and
+    once only."""
+    database, root, _ = _landing(s)
+    names = ["CO_NCM", "KG_LIQUIDO", "VL_FOB"]
+    facts = b.read(s, d, "lineitem").select(
+        F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("CO_NCM"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("KG_LIQUIDO"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("string").alias("VL_FOB"), "l_orderkey",
+    ).repartition(4, "l_orderkey")
+    schema = StructType([StructField(n, StringType()) for n in names])
+    for header in (names[:2], names, names):
+        _write_files(facts.select(F.concat_ws(";", *header).alias("value")), f"{root}/in", header)
+        for _ in range(2):
+            ingest_facts(s, f"{root}/in", "exp", schema, database, f"{root}/raw", glob="*.csv")
+    left = refused_files(s.table(f"{database}.exp_refused")).count()
+    return s.table(f"{database}.exp").select(*names, F.lit(left).cast("long").alias("recusados"))
+
+
 def table_place(s: SparkSession, d: str) -> DataFrame:
     """Whether a table lies below the folder it was made in."""
     name, path = _name("placed"), fresh_path(s, "placed")
@@ -277,6 +310,23 @@ def changed_event_files(s: SparkSession, d: str) -> DataFrame:
     return with_target(changed_files(inventory, control, "CNPJ"), numbered=True)
 
 
+def unseen_event_files(s: SparkSession, d: str) -> DataFrame:
+    """Events as the files of a landing folder, in the versions of two listings: some loaded in the version that is
+    there, some in a newer or smaller one, some by a control that kept no versions, some never."""
+    events = b.read(s, d, "events")
+    earlier = _event_files(events.filter((F.col("user_id") % 7 > 0) | (F.col("event_type") != "click")))
+    number = F.regexp_extract("table_name", "([0-9]+)", 1).cast("int") % 5
+    control = earlier.filter(number < 4).select(
+        F.col("container_name").alias("originator"), "table_name", F.col("path").alias("input_file_name"),
+        F.lit(LOAD_CUT).alias("last_ingestion_timestamp"),
+        F.when(number == 1, F.col("modificationTime") + F.expr("interval 1 day")).when(
+            number < 3, F.col("modificationTime")).cast("timestamp").alias("modified"),
+        F.when(number == 2, F.col("size") - 1).when(number < 3, F.col("size")).alias("size"),
+    )
+    inventory = _event_files(events).withColumn("modificationTime", F.col("modificationTime").cast("timestamp"))
+    return with_target(unseen_versions(inventory, control, "CNPJ"), numbered=True).select("path", "size", "target_table")
+
+
 def frequent_users(s: SparkSession, d: str) -> DataFrame:
     return frequent_keys(b.read(s, d, "events"), "user_id", 0.008)
 
@@ -430,6 +480,8 @@ QUERIES = {
     "bridge_from_file": bridge_from_file,
     "lineage_columns": lineage_columns,
     "changed_files": changed_event_files,
+    "unseen_versions": unseen_event_files,
+    "stream_readmitted": stream_readmitted,
     "hot_keys": frequent_users,
     "append_partitioned": append_partitioned,
     "append_widened": append_widened,

@@ -6,10 +6,11 @@ from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from aduana.operators.lineage import LINEAGE, LOAD_DATE, with_lineage
 from aduana.operators.mapping import all_text
-from aduana.operators.sinks import create_empty, create_or_append, ensure_database
+from aduana.operators.sinks import add_new_columns, create_empty, create_or_append, ensure_database
 from aduana.operators.upsert import staged, upsert_table
 from aduana.plans.register_tables import POSITIONS
 from aduana.sources.archives import archive_blocks, is_archive, lines_of
@@ -18,12 +19,13 @@ from aduana.sources.delimited import BAD, field_count, flagged_lines, headered,
 from aduana.sources.inventory import (
     CONTROL_SCHEMA,
     binary_files,
-    changed_files,
     control_rows,
     excluding_prefixes,
     file_inventory,
+    unseen_versions,
     with_target,
 )
+from aduana.sources.opening import files_by_header
 
 TRADE, REGISTER = "BALANCE", "CNPJ"
 CONTROL_KEYS = ["originator", "table_name"]
@@ -32,8 +34,10 @@ REPORT_SCHEMA = "target_table string, status string, files int, message string"
 
 
 def ensure_control(spark: SparkSession, name: str, path: str) -> None:
+    """The control table; one from before versions were kept gets their columns."""
     ensure_database(spark, name.split(".")[0])
     create_empty(spark, name, path, CONTROL_SCHEMA)
+    add_new_columns(spark, name, StructType.fromDDL(CONTROL_SCHEMA))
 
 
 def _append(spark: SparkSession, rows: DataFrame, database: str, base_path: str, table: str) -> str:
@@ -57,7 +61,8 @@ def _per_table(
 
     `load` returns the files that are in, those that are not with their error, and a remark. The list of
     files is metadata the driver needs to name the scans. Control rows are written only for files that are
-    in, so that the others are tried again. The report has a row for what was loaded of a table, and one for
+    in, in the version that was listed before the load, so that the others and those replaced meanwhile are loaded
+    the next time. The report has a row for what was loaded of a table, and one for
     each file that was not.
     """
     by_table = defaultdict(list)
@@ -85,14 +90,14 @@ def load_dimensions(
     ensure_control(spark, control, control_path)
     inventory = excluding_prefixes(file_inventory(spark, landing, TRADE), *FACT_PREFIXES)
     changed = with_target(
-        changed_files(inventory, spark.table(control), TRADE), numbered=False
+        unseen_versions(inventory, spark.table(control), TRADE), numbered=False
     ).filter(F.lower("table_name").endswith(".csv"))
 
     def append(table: str, files: list[Row]) -> None:
         # Files with one header are one scan.
-        by_header = defaultdict(list)
-        for f in files:
-            by_header[tuple(headered(spark, f["path"]).columns)].append(f["path"])
+        by_header, failed = files_by_header(spark, [f["path"] for f in files])
+        if failed:
+            raise ValueError(f"{failed[0][0]}: {failed[0][1]}")
         rows = None
         for header, paths in by_header.items():
             scan = with_lineage(headered(spark, paths, list(header)))
@@ -138,19 +143,13 @@ def register_rows(lines: DataFrame, names: list[str] | None) -> tuple[DataFrame,
             return parsed_lines(lines, names, keep=["path", "member"]), None
         some_fit = len(odd) < len(members)
         listed = lines.sparkSession.createDataFrame(sorted(odd), "path string, member string")
-    key = F.struct("path", "member")
-    others = lines.join(F.broadcast(listed), ["path", "member"], "left_semi") if some_fit else lines
+    others = lines.join(listed, ["path", "member"], "left_semi") if some_fit else lines
     widths = others.groupBy("path", "member").agg(F.max(field_count(F.col("line"))).alias("n")).collect()
-    parts = []
+    # Parsed as wide as the widest of them; what a member doesn't have stays null.
+    rows = parsed_lines(others, [f"_c{i}" for i in range(max((r["n"] for r in widths), default=1))], keep=["path", "member"])
     if some_fit:
-        fitting = lines.join(F.broadcast(listed), ["path", "member"], "left_anti")
-        parts.append(parsed_lines(fitting, names, keep=["path", "member"]))
-    for n in sorted({r["n"] for r in widths}):
-        of_width = [F.struct(F.lit(r["path"]).alias("path"), F.lit(r["member"]).alias("member")) for r in widths if r["n"] == n]
-        parts.append(parsed_lines(others.filter(key.isin(*of_width)), [f"_c{i}" for i in range(n)], keep=["path", "member"]))
-    rows = parts[0] if parts else parsed_lines(lines, names or ["_c0"], keep=["path", "member"])
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
+        fitting = lines.join(listed, ["path", "member"], "left_anti")
+        rows = parsed_lines(fitting, names, keep=["path", "member"]).unionByName(rows, allowMissingColumns=True)
     told = [f"{r['path']}/{r['member']} has {r['n']} columns" for r in sorted(widths)] if names else []
     return rows, "; ".join(told) or None
 
@@ -162,7 +161,7 @@ def load_register(
     ensure_database(spark, database)
     ensure_control(spark, control, control_path)
     changed = with_target(
-        changed_files(file_inventory(spark, landing, REGISTER), spark.table(control), REGISTER), numbered=True
+        unseen_versions(file_inventory(spark, landing, REGISTER), spark.table(control), REGISTER), numbered=True
     ).filter(is_archive())
 
     def load(table: str, files: list[Row]) -> tuple[list[Row], Failures, str | None]:

@@ -16,6 +16,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from aduana.operators.lineage import LINEAGE, LOAD_DATE, with_lineage
 from aduana.operators.sinks import add_new_columns, ensure_database, register, table_exists, write_files
 from aduana.sources.delimited import HEADERED, headered
+from aduana.sources.inventory import binary_files
+from aduana.sources.opening import files_by_header
 
 # File name pattern of each fact table.
 FACT_FILES = {
@@ -25,8 +27,9 @@ FACT_FILES = {
     "imp_mun": "IMP_[0-9][0-9][0-9][0-9]_MUN.csv",
 }
 
-#: Files of a micro-batch, whose headers are looked up one by one.
+#: Files of a micro-batch, whose names the driver gets.
 FILES_PER_BATCH = 200
+LEDGER_SCHEMA = "batch bigint, path string, modified timestamp, size bigint, reason string"
 #: Partition column of the raw fact tables: the micro-batch that brought the rows.
 BATCH = "_batch"
 
@@ -60,10 +63,14 @@ def append_once(
     return query
 
 
-def file_paths(spark: SparkSession, folder: str, glob: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
-    """Unbounded list of the files in `folder` that match `glob`; their content is not read."""
+def file_versions(spark: SparkSession, folder: str, glob: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """Unbounded list (path, modified, size) of the files in `folder` that match `glob`; their content is not read."""
     schema = "path string, modificationTime timestamp, length long, content binary"
-    return file_stream(spark, folder, glob, schema, "binaryFile", max_files).select("path")
+    return _versions(file_stream(spark, folder, glob, schema, "binaryFile", max_files))
+
+
+def _versions(files: DataFrame) -> DataFrame:
+    return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
 def by_header(
@@ -72,22 +79,14 @@ def by_header(
     """Scans of headered files with the expected columns first, by name, and the refused files with reasons.
 
     Columns may stand in any order. Further ones are kept under their names. A file that lacks an expected
-    column, or names one twice, is refused. Files with one header are one scan.
+    column, or names one twice, is refused. Files with one header are one scan. All headers are read by one job.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    refused = []
-    for path in paths:
-        try:
-            header = tuple(headered(spark, path).columns)
-            names = [c.strip().upper() for c in header]
-            absent = [c for c in expected if c.upper() not in names]
-            twice = sorted({c for c in names if names.count(c) > 1})
-            if absent or twice:
-                refused.append((path, f"columns absent: {absent}, named twice: {twice}"))
-            else:
-                groups.setdefault(header, []).append(path)
-        except Exception as error:  # noqa: BLE001 - recorded per file
-            refused.append((path, str(error)))
+    groups, refused = files_by_header(spark, paths) if paths else ({}, [])
+    for header, members in list(groups.items()):
+        names = [c.strip().upper() for c in header]
+        absent = [c for c in expected if c.upper() not in names]
+        if absent:
+            refused += [(p, f"columns absent or named twice: {absent}") for p in groups.pop(header)]
     scans = []
     for header, members in groups.items():
         found = {c.strip().upper(): c for c in header}
@@ -105,24 +104,61 @@ def ingest_facts(
     """Load the new files of one fact table into the raw table `database.table`, by the names in their headers.
 
     The stream hands on file names; its checkpoint remembers which were read. The rows of a batch are a
-    folder of their own, written again when a batch is repeated after a failure. Refused files are listed,
-    with the reason, in `database.table_refused`; a file that is put right under a new name is loaded.
+    folder of their own, written again when a batch is repeated after a failure. Refused files are entered, with
+    the version and the reason, into the ledger `database.table_refused`. One that is put right under its own name is
+    of another version then: it is taken in beside the stream, once, and its entry closed.
     """
     name, path = f"{database}.{table}", f"{base_path}/{table}"
     expected = [f.name for f in schema.fields]
+    glob = glob or FACT_FILES[table]
 
-    def land(paths: DataFrame, batch_id: int) -> None:
+    def land(files: DataFrame, batch_id: int) -> None:
         # As many names as a batch may have files.
-        scans, refused = by_header(spark, sorted(r["path"] for r in paths.collect()), expected)
+        listed = {r["path"]: r for r in files.collect()}
+        scans, refused = by_header(spark, sorted(listed), expected)
         ensure_database(spark, database)
-        if refused:
-            rows = spark.createDataFrame([(batch_id, *r) for r in refused], "batch bigint, path string, reason string")
-            _put(spark, rows, f"{name}_refused", f"{path}_refused", batch_id, [])
         if scans:
             rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
             _put(spark, rows, name, path, batch_id, [LOAD_DATE])
-
-    apply_batches(file_paths(spark, folder, glob or FACT_FILES[table], max_files), f"{base_path}/_checkpoint/{table}", land)
+        # Entered last: what is taken in again is closed only when its rows are there.
+        entries = [(batch_id, p, listed[p]["modified"], listed[p]["size"], reason) for p, reason in refused]
+        if batch_id < 0:
+            told = dict(refused)
+            entries += [(batch_id, p, r["modified"], r["size"], None) for p, r in listed.items() if p not in told]
+        if entries:
+            _put(spark, spark.createDataFrame(entries, LEDGER_SCHEMA), f"{name}_refused", f"{path}_refused", batch_id, [])
+
+    apply_batches(file_versions(spark, folder, glob, max_files), f"{base_path}/_checkpoint/{table}", land)
+    while table_exists(spark, f"{name}_refused"):
+        ledger = spark.table(f"{name}_refused")
+        mended = mended_files(ledger, _versions(binary_files(spark, folder, glob)))
+        chosen = mended.orderBy("path").limit(max_files).collect()
+        if not chosen:
+            break
+        # Below all batches so far, and the same again after an interruption.
+        batch_id = min(0, ledger.agg(F.min("batch")).first()[0]) - 1
+        land(spark.createDataFrame(chosen, mended.schema), batch_id)
+
+
+def latest_entries(ledger: DataFrame) -> DataFrame:
+    """(path, modified, size, reason) of the last entry of each file: a file is refused by the stream once, and looked
+    at again in batches that count down from -1. The reason is null if it was taken in."""
+    entry = F.struct("modified", "size", "reason")
+    return ledger.groupBy("path").agg(F.min_by(entry, "batch").alias("e")).select("path", "e.*")
+
+
+def refused_files(ledger: DataFrame) -> DataFrame:
+    """The files that are still refused."""
+    return latest_entries(ledger).filter("reason is not null")
+
+
+def mended_files(ledger: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, modified, size) of the files that are refused in another version than the one that is there now."""
+    refused = refused_files(ledger).select(
+        F.col("path").alias("_path"), F.col("modified").alias("_modified"), F.col("size").alias("_size")
+    )
+    same = F.col("modified").eqNullSafe(F.col("_modified")) & F.col("size").eqNullSafe(F.col("_size"))
+    return files.join(refused, F.col("path") == F.col("_path")).filter(~same).select("path", "modified", "size")
 
 
 def _put(spark: SparkSession, rows: DataFrame, name: str, path: str, batch_id: int, partition_by: list[str]) -> None:

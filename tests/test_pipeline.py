@@ -19,7 +19,7 @@ from aduana.plans.trade_tables import FACTS, TRADE_TABLES
 from aduana.sources.bridge import bridge_file, bridge_rows
 from aduana.sources.archives import archive_blocks
 from aduana.sources.inventory import binary_files, file_inventory
-from aduana.streaming.ingest import FACT_FILES, ingest_facts
+from aduana.streaming.ingest import FACT_FILES, ingest_facts, refused_files
 from tests.conftest import rows
 
 NATIONAL = "CO_ANO;CO_MES;CO_NCM;CO_UNID;CO_PAIS;SG_UF_NCM;CO_VIA;CO_URF;QT_ESTAT;KG_LIQUIDO;VL_FOB"
@@ -374,6 +374,79 @@ def test_fact_files_are_read_by_their_header(spark, tmp_path):
     assert set(refused) == {"2023", "2024"} and "VL_FOB" in refused["2023"] and "VL_FOB" in refused["2024"]
 
 
+def test_a_refused_file_that_is_put_right_is_loaded_once(spark, tmp_path):
+    lake = Lake(tmp_path, "mended")
+    trade, names = lake.landing / "trade", NATIONAL.split(";")
+    exp = [s for s in FACTS if s.name == "exp"][0]
+
+    def good(n):
+        return NATIONAL + "\n" + ";".join([str(n), *["x"] * (len(names) - 1)]) + "\n"
+
+    def ingest(max_files=200):
+        ingest_facts(spark, lake.folder("trade"), "exp", exp.raw_schema(), lake.bronze, lake.path("bronze"), max_files=max_files)
+        ledger = spark.table(f"{lake.bronze}.exp_refused")
+        loaded = spark.table(f"{lake.bronze}.exp") if spark.catalog.tableExists(f"{lake.bronze}.exp") else None
+        return [r[0] for r in rows(loaded, "CO_ANO")] if loaded else [], sorted(
+            r["path"][-8:-4] for r in refused_files(ledger).collect()
+        )
+
+    for year in (2020, 2021, 2022):
+        write(trade / f"EXP_{year}.csv", "CO_ANO;CO_MES\n1;2\n")
+    assert ingest() == ([], ["2020", "2021", "2022"])
+    write(trade / "EXP_2020.csv", good(2020))
+    write(trade / "EXP_2021.csv", "CO_ANO;CO_MES;CO_NCM\n1;2;3\n")  # another version, refused again
+    for _ in range(2):
+        assert ingest() == (["2020"], ["2021", "2022"])
+    before = spark.table(f"{lake.bronze}.exp_refused").count()
+    write(trade / "EXP_2021.csv", good(2021))
+    write(trade / "EXP_2022.csv", good(2022))
+    write(trade / "EXP_2023.csv", good(2023))  # new, by the stream
+    for _ in range(2):
+        assert ingest(max_files=1) == (["2020", "2021", "2022", "2023"], [])
+    assert spark.table(f"{lake.bronze}.exp_refused").count() == before + 2
+    # Interrupted after its rows were written: the same batch is written again, in place.
+    spark.sql(f"ALTER TABLE {lake.bronze}.exp_refused DROP PARTITION (_batch = -3)")
+    shutil.rmtree(lake.path("bronze") + "/exp_refused/_batch=-3")
+    assert ingest() == (["2020", "2021", "2022", "2023"], [])
+
+
+def test_a_file_replaced_while_its_table_loads_is_loaded_again(spark, tmp_path, monkeypatch):
+    lake = Lake(tmp_path, "race")
+    via = lake.landing / "trade" / "VIA.csv"
+    write(via, "CO_VIA;NO_VIA\n01;OLD\n")
+    write(lake.landing / "trade" / "URF.csv", "CO_URF;NO_URF\n1;A\n")
+    landed = bronze._append
+
+    def replaced_afterwards(*args):
+        status = landed(*args)
+        if args[-1] == "via" and "NEW" not in via.read_text():
+            write(via, "CO_VIA;NO_VIA\n01;NEW\n02;TWO\n")  # between the listing and the control row
+        return status
+
+    monkeypatch.setattr(bronze, "_append", replaced_afterwards)
+    assert rows(lake.load_dimensions(spark), "target_table") == [("urf",), ("via",)]
+    assert rows(lake.load_dimensions(spark), "target_table") == [("via",)]
+    assert lake.load_dimensions(spark).count() == 0
+    assert rows(spark.table(f"{lake.bronze}.via"), "NO_VIA") == [("NEW",), ("OLD",), ("TWO",)]
+    os.utime(via, (1_600_000_000, 1_600_000_000))  # an older file is another version as well
+    assert rows(lake.load_dimensions(spark), "target_table") == [("via",)]
+
+
+def test_control_from_before_versions_were_kept(spark, tmp_path):
+    from aduana.operators.sinks import create_table, ensure_database
+
+    lake = Lake(tmp_path, "before")
+    write(lake.landing / "trade" / "VIA.csv", "CO_VIA;NO_VIA\n01;A\n")
+    write(lake.landing / "trade" / "URF.csv", "CO_URF;NO_URF\n1;A\n")
+    ensure_database(spark, lake.raw_control.split(".")[0], lake.path("db"))
+    old = [("BALANCE", "VIA.csv", "x", dt.datetime(2100, 1, 1)), ("BALANCE", "URF.csv", "x", dt.datetime(2000, 1, 1))]
+    create_table(spark, spark.createDataFrame(
+        old, "originator string, table_name string, input_file_name string, last_ingestion_timestamp timestamp"
+    ), lake.raw_control, lake.path("raw_control"))
+    assert rows(lake.load_dimensions(spark), "target_table") == [("urf",)]
+    assert lake.load_dimensions(spark).count() == 0
+
+
 def test_rows_committed_late_are_read(spark, tmp_path):
     lake = Lake(tmp_path, "late")
     spec = [s for s in TRADE_TABLES if s.name == "via"][0]
