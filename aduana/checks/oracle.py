@@ -459,6 +459,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN l_returnflag = 'N' THEN l_linestatus END AS SITUACAO
             FROM lineitem""",
         "table_place": "SELECT r_regionkey, true AS na_pasta FROM region",
+        "ordered_files": "SELECT o_orderkey, o_custkey, o_totalprice, true AS varios, 0::BIGINT AS sobrepostos FROM orders",
         "lineage_columns": "SELECT o_orderkey, true AS mesma_data, true AS origem FROM orders",
         "changed_files": f"""
             WITH files AS ({_event_files("event_type <> 'error'")}),

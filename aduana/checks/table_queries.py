@@ -278,6 +278,16 @@ def table_place(s: SparkSession, d: str) -> DataFrame:
     return s.table(name).select("r_regionkey", F.lit(path.split(":")[-1] in sinks.table_location(s, name)).alias("na_pasta"))
 
 
+def ordered_files(s: SparkSession, d: str) -> DataFrame:
+    """Orders as a table in descending value, in several files: how many of these overlap."""
+    name, path, order = _name("ordered"), fresh_path(s, "ordered"), ["-o_totalprice", "o_orderkey"]
+    orders = b.read(s, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    sinks.save_table(s, sinks.in_order(orders, order, ranges=4), name, path)
+    files = s.table(name).select(F.col("_metadata.file_path")).distinct().count()
+    overlaps = sinks.overlapping_files(s.table(name), order).count()
+    return s.table(name).withColumns({"varios": F.lit(files > 1), "sobrepostos": F.lit(overlaps).cast("long")})
+
+
 def lineage_columns(s: SparkSession, d: str) -> DataFrame:
     """Clock columns are only tested for presence, the source for its file name."""
     return with_lineage(b.read(s, d, "orders")).select(
@@ -477,6 +487,7 @@ QUERIES = {
     "register_load": register_load,
     "stream_csv_facts": stream_csv_facts,
     "table_place": table_place,
+    "ordered_files": ordered_files,
     "bridge_from_file": bridge_from_file,
     "lineage_columns": lineage_columns,
     "changed_files": changed_event_files,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -37,8 +37,8 @@ def columns_of(spark: SparkSession, name: str) -> list[str]:
 
 
 def table_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    return rows.first()["data_type"]
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
 def snapshot_path(path: str) -> str:
@@ -107,15 +107,48 @@ def create_table(
     register(spark, name, df.schema, location, partition_by)
 
 
+def _sorts(order: list[str]) -> list[Column]:
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+
+
+def in_order(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Rows dealt out in ranges of `order` and sorted inside, so that the files written from them follow each other
+    and a filter on its first columns reads few of them. A minus sign before a column stands for descending. No task
+    sees all rows; `ranges` is up to Spark by default.
+    Rows equal in `order` stay together: add a key where very many are.
+    """
+    columns = _sorts(order)
+    dealt = df.repartitionByRange(ranges, *columns) if ranges else df.repartitionByRange(*columns)
+    return dealt.sortWithinPartitions(*columns)
+
+
+def overlapping_files(df: DataFrame, order: list[str]) -> DataFrame:
+    """(file, first, last) of the files of a scan whose rows don't all come after those of the files before them.
+
+    Ranks stand for the values, so that any order, descending and with nulls, is compared like whole numbers.
+    """
+    place = Window.orderBy(*_sorts(order))  # of the ends of files, not of rows
+    ends = df.select("*", F.col("_metadata.file_path").alias("_file"))
+    ends = ends.withColumn("_at", F.monotonically_increasing_id())
+    first = ends.groupBy("_file").agg(F.min("_at").alias("_a"), F.max("_at").alias("_b"))
+    kept = ends.join(first, "_file").filter("_at = _a or _at = _b").withColumn("_rank", F.dense_rank().over(place))
+    spans = kept.groupBy("_file").agg(F.min("_rank").alias("first"), F.max("_rank").alias("last"))
+    before = Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    return spans.withColumn("_before", F.max("last").over(before)).filter("first < _before").select(
+        F.col("_file").alias("file"), "first", "last"
+    )
+
+
 def save_table(
-    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
+    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None,
+    order: list[str] | None = None,
 ) -> None:
-    """Replace a whole table, schema included. Earlier snapshots stay until `remove_old_snapshots`, as
+    """Replace a whole table, schema included, with files in `order` if it is given. Earlier snapshots stay until `remove_old_snapshots`, as
     others may still read them. The name is missing for the moment between the two catalog calls; a
     reader that needs it all the time goes by `replace_rows`, which keeps the schema.
     """
     location = snapshot_path(path)
-    write_files(df, location, partition_by)
+    write_files(in_order(df, order) if order else df, location, partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     register(spark, name, df.schema, location, partition_by)
 
@@ -131,8 +164,8 @@ def remove_old_snapshots(spark: SparkSession, name: str, path: str) -> list[str]
             pairs = [p.split("=", 1) for p in row["partition"].split("/")]
             none = "__HIVE_DEFAULT_PARTITION__"
             values = [f"`{k}` = " + ("NULL" if v == none else quoted(unquote(v))) for k, v in pairs]
-            place = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({', '.join(values)})")
-            used.add(place.filter("col_name = 'Location'").first()["data_type"])
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({', '.join(values)})").collect()
+            used.add(next(r["data_type"] for r in place if r["col_name"] == "Location"))
     gone = []
     for status in files.listStatus(root):
         folder = status.getPath()

@@ -12,7 +12,7 @@ import urllib.parse
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from aduana.operators.dedup import latest_by_key
@@ -93,6 +93,25 @@ def staged(spark: SparkSession, df: DataFrame, label: str, partition_by: list[st
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def staged_counted(
+    spark: SparkSession, df: DataFrame, label: str, latest: str, partition_by: list[str] | None = None
+) -> tuple[DataFrame, dict]:
+    """`staged`, with what passes by on the way: `records`, the largest `latest`, and the set of `partitions`. Nothing
+    is read a second time for them."""
+    seen = Observation()
+    metrics = progress_of(latest)
+    if partition_by:  # as many as the folders of the table
+        metrics.append(F.collect_set(F.struct(*partition_by)).alias("partitions"))
+    written = staged(spark, _as_stored(df, partition_by or []).observe(seen, *metrics), label)
+    found = seen.get
+    return written, found | {"partitions": {tuple(r) for r in found.get("partitions", [])}}
+
+
+def progress_of(latest: str) -> list[Column]:
+    """Number of rows and the largest `latest`."""
+    return [F.count(F.lit(1)).alias("records"), F.max(latest).alias("latest")]
+
+
 def _as_stored(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Empty text cannot name a partition folder; it is stored, and so must be matched, as null."""
     texts = [f.name for f in df.schema.fields if f.name in partition_by and isinstance(f.dataType, StringType)]
@@ -145,8 +164,9 @@ def partition_folders(
     for values in wanted:
         spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, values, strict=True))
         try:
-            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").filter("col_name = 'Location'")
-            found[values] = rows.first()["data_type"]
+            # Collected as it is: a filter on it would be a job for every partition.
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
+            found[values] = next(r["data_type"] for r in rows if r["col_name"] == "Location")
         except AnalysisException as error:
             if "PARTITION" not in str(error.getCondition()):
                 raise
@@ -186,12 +206,13 @@ def upsert_table(
     partition_by: list[str] | None = None,
     null_safe: bool = True,
     newer_by: str | None = None,
+    partitions: set[tuple] | None = None,
 ) -> str:
     """Upsert `source` into the table `name` kept below `path`; returns `created` or `updated`.
 
     `source` holds one row per key and should be cheap to read again (see `staged`): the
     partitioned path uses it to find the partitions as well as the rows. A partition that loses
-    its last row leaves the catalog, and its files go.
+    its last row leaves the catalog, and its files go. `partitions` are those of the source, if known.
     """
     partition_by = partition_by or []
     source = _as_stored(source, partition_by)
@@ -205,14 +226,13 @@ def upsert_table(
         replace_rows(spark, name, merged(target, source, keys, null_safe, newer_by), path)
         return "updated"
 
-    partitions = source.select(*partition_by)
+    touched = _partition_values(source.select(*partition_by)) if partitions is None else set(partitions)
     if not set(partition_by) <= set(keys):
         # A key may have moved: the partition that holds its old row is rebuilt as well.
         moved = target.select(*keys, *partition_by).alias("t").join(
             source.select(*keys).alias("s"), _matches("t", "s", keys, null_safe), "left_semi"
         )
-        partitions = partitions.unionByName(moved.select(*partition_by))
-    touched = _partition_values(partitions)
+        touched |= _partition_values(moved.select(*partition_by))
     old = _of_partitions(target, touched, partition_by)
     rebuilt = merged(old, source, keys, null_safe, newer_by)
     replace_partitions(spark, name, rebuilt, path, partition_by, touched)

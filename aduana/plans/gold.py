@@ -40,6 +40,19 @@ DASHBOARD_TABLES = [
     "view_painel4_longevidade_cnae",
     "view_painel5_oportunidades",
 ]
+#: Order of the files of a table: what its reports ask for first, and a key to tell equals apart.
+#: A minus sign stands for descending.
+ORDERS = {
+    "view_painel2_ncm_var_mes": ["CO_NCM", "DATA"],
+    "view_painel3_rank_exportacao_pais": ["-valor_exportado", "produto_ncm", "no_pais"],
+    "view_painel3_rank_importacao_pais": ["-valor_importado", "produto_ncm", "no_pais"],
+    "view_painel4_dim_ncm_top10": ["co_ncm"],
+    "view_painel4_empresas_uf": ["-total_empresas", "codigo_cnae", "uf"],
+    "view_painel4_perfil_porte": ["codigo_cnae", "codigo_porte"],
+    "view_painel4_cnaes_por_regiao": ["no_regiao", "ranking"],
+    "view_painel4_longevidade_cnae": ["-longevidade_media_anos", "codigo_cnae"],
+    "view_painel5_oportunidades": ["-total_exportado", "desc_ncm"],
+}
 AUDIT_TABLES = ["auditoria_bridge_codigos", "auditoria_bridge_valor"]
 
 
@@ -123,5 +136,5 @@ def build_gold(
     ensure_database(spark, gold)
     tables = dashboards(spark, silver, as_of, top, audit_from)
     for name, df in tables.items():
-        save_table(spark, df, f"{gold}.{name}", f"{base_path}/{name}")
+        save_table(spark, df, f"{gold}.{name}", f"{base_path}/{name}", order=ORDERS.get(name))
     return list(tables)

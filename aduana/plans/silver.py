@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.lineage import LOAD_DATE, LOADED_AT
 from aduana.operators.mapping import apply_spec, missing_columns
-from aduana.operators.sinks import create_empty, ensure_database, save_table, table_exists
+from aduana.operators.sinks import create_empty, ensure_database, path_exists, save_table, table_exists
 from aduana.operators.spec import TableSpec
-from aduana.operators.upsert import replace_rows, staged, upsert_table
-from aduana.operators.watermark import CONTROL_SCHEMA, advance_watermark, batch_progress, last_watermark, new_rows
+from aduana.operators.upsert import progress_of, replace_rows, staged_counted, upsert_table
+from aduana.operators.watermark import CONTROL_SCHEMA, advance_watermark, latest_entries, moment, new_rows
 
 # How late a load may commit rows under an earlier load time.
 LATE = dt.timedelta(hours=1)
+#: Tables that a run works on side by side.
+TABLES_AT_ONCE = 4
+#: Partition column of the logs of the last loads.
+LOAD_MARK = "_load"
 REPORT_SCHEMA = "table_name string, status string, records bigint, missing_columns string, message string"
 
 
@@ -26,48 +34,69 @@ def _load_one(
     bronze: str,
     silver: str,
     base_path: str,
-    control: str,
-    control_path: str,
-    execution_id: str,
+    watermark: dt.datetime | None,
     overlap: dt.timedelta,
-) -> tuple:
+) -> tuple[tuple, tuple | None]:
+    """Report row of a table, and what its control row has to learn: latest load time and records."""
     source = f"{bronze}.{spec.name}"
     if not table_exists(spark, source):
-        return (spec.name, "failed", 0, None, f"{source} does not exist")
+        return (spec.name, "failed", 0, None, f"{source} does not exist"), None
     target = f"{silver}.{spec.name}"
     raw = spark.table(source)
     absent = ", ".join(missing_columns(raw, spec)) or None
-    watermark = last_watermark(spark.table(control), spec.name)
     fresh = new_rows(raw, watermark, overlap=overlap, date_col=LOAD_DATE)
     latest = latest_by_key(apply_spec(fresh, spec), spec.keys, [LOADED_AT])
-    first_load = not table_exists(spark, target)
-    if first_load:
+    place = f"{base_path}/{spec.name}"
+    log = f"{base_path}/_seen/{spec.name}"
+    if not table_exists(spark, target):
         if fresh.isEmpty():
-            return (spec.name, "unchanged", 0, absent, None)
+            return (spec.name, "unchanged", 0, absent, None), None
+        counted = Observation()
+        status = upsert_table(spark, target, latest.observe(counted, *progress_of(LOADED_AT)), spec.keys, place, spec.partition_by)
+        found, loaded = counted.get, spark.table(target)
     else:
         # What the overlap reads again is in the typed table, with the load time it came with.
         same = [*spec.keys, LOADED_AT]
-        seen = new_rows(spark.table(target), watermark, overlap=overlap).select(*same)
         match = reduce(lambda x, y: x & y, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in same])
+        seen = seen_rows(spark, log, spark.table(target), same, watermark, overlap)
         latest = latest.alias("n").join(seen.alias("o"), match, "left_anti")
-        # Written once: the count, the touched partitions and the merge all start from these files.
-        latest = staged(spark, latest, spec.name)
-    progress = batch_progress(latest, [], LOADED_AT)
-    if not first_load and not progress.first()["records_processed"]:
-        return (spec.name, "unchanged", 0, absent, None)
-    status = upsert_table(spark, target, latest, spec.keys, f"{base_path}/{spec.name}", spec.partition_by)
-    if first_load:
-        progress = batch_progress(spark.table(target), [], LOADED_AT)
-    records = progress.first()["records_processed"]
-    update = progress.select(
-        F.lit(spec.name).alias("table_name"),
-        F.greatest("last_ingestion_timestamp", F.lit(watermark).cast("timestamp")).alias("last_ingestion_timestamp"),
-        F.current_timestamp().alias("last_update"),
-        "records_processed",
-        F.lit(execution_id).alias("execution_id"),
-    )
-    replace_rows(spark, control, advance_watermark(spark.table(control), update), control_path)
-    return (spec.name, status, records, absent, None)
+        # Written once: the merge starts from these files, and all counts come from this write.
+        loaded, found = staged_counted(spark, latest, spec.name, LOADED_AT, spec.partition_by)
+        if not found["records"]:
+            return (spec.name, "unchanged", 0, absent, None), None
+        status = upsert_table(
+            spark, target, loaded, spec.keys, place, spec.partition_by, partitions=found["partitions"]
+        )
+    log_seen(spark, log, loaded, spec.keys, found["latest"], overlap)
+    return (spec.name, status, found["records"], absent, None), (found["latest"], found["records"])
+
+
+def log_seen(
+    spark: SparkSession, log: str, loaded: DataFrame, keys: list[str], latest: dt.datetime, overlap: dt.timedelta
+) -> None:
+    """Keep the keys and load times that a later run may read again: those of the last `overlap` of a load. The folder
+    of a load is named by its latest load time, so a run reads the last loads only."""
+    kept = loaded.filter(F.col(LOADED_AT) > moment(latest - overlap, loaded.schema[LOADED_AT].dataType))
+    columns = kept.select(*keys, LOADED_AT)
+    columns.write.mode("overwrite").parquet(f"{log}/{LOAD_MARK}={_mark(latest)}-{uuid.uuid4().hex[:8]}")
+
+
+def _mark(moment_: dt.datetime) -> str:
+    """Sorts as the moments do."""
+    return moment_.strftime("%Y%m%d%H%M%S%f")
+
+
+def seen_rows(
+    spark: SparkSession, log: str, target: DataFrame, columns: list[str], watermark: dt.datetime, overlap: dt.timedelta
+) -> DataFrame:
+    """Rows (keys and load time) of the target that were loaded in the last `overlap` before the watermark: from the
+    log of the last loads; from the table itself where it has none. A run with a longer overlap than the ones before
+    it may merge rows again that the log no longer has, which changes nothing but their count."""
+    if watermark is None or not path_exists(spark, log):
+        return new_rows(target, watermark, overlap=overlap).select(*columns)
+    schema = StructType([target.schema[c] for c in columns] + [StructField(LOAD_MARK, StringType())])
+    logged = spark.read.schema(schema).parquet(log)
+    return new_rows(logged.filter(F.col(LOAD_MARK) > _mark(watermark - overlap)), watermark, overlap=overlap).select(*columns)
 
 
 def run_silver(
@@ -80,25 +109,47 @@ def run_silver(
     control_path: str,
     execution_id: str,
     overlap: dt.timedelta = LATE,
+    at_once: int = TABLES_AT_ONCE,
 ) -> DataFrame:
     """Bring every table of `specs` up to date; returns one report row per table.
 
     A table that is missing or fails is reported and the run goes on. A run reads the last `overlap`
     before the watermark again, for rows that were committed late under an earlier load time; only
     those that the typed table has not seen count as new.
+
+    `at_once` tables are worked on side by side, each in a scheduler pool of its own name; with
+    `spark.scheduler.mode` FAIR these share the cluster evenly. All control rows are written at the end, once: a run
+    that dies before merges the same rows again. One run at a time: control rows of two would overwrite each other.
     """
     ensure_database(spark, silver)
     ensure_database(spark, control.split(".")[0])
     create_empty(spark, control, control_path, CONTROL_SCHEMA)
-    report = []
-    for spec in specs:
+    watermarks = {
+        r["table_name"]: r["last_ingestion_timestamp"]
+        for r in latest_entries(spark.table(control), "last_ingestion_timestamp", "last_ingestion_timestamp").collect()
+    }
+
+    def load(spec: TableSpec) -> tuple[tuple, tuple | None]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         try:
-            report.append(
-                _load_one(spark, spec, bronze, silver, base_path, control, control_path, execution_id, overlap)
-            )
+            return _load_one(spark, spec, bronze, silver, base_path, watermarks.get(spec.name), overlap)
         except Exception as error:  # noqa: BLE001 - recorded per table
-            report.append((spec.name, "failed", 0, None, str(error)))
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+            return (spec.name, "failed", 0, None, str(error)), None
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # Each thread gets properties of its own: those of the caller, and the pool of its table.
+        waiting = [pool.submit(inheritable_thread_target(spark)(load), spec) for spec in specs]
+        results = [w.result() for w in waiting]
+    updates = [
+        (report[0], max(filter(None, (found[0], watermarks.get(report[0])))), found[1], execution_id)
+        for report, found in results if found
+    ]
+    if updates:
+        update = spark.createDataFrame(
+            updates, "table_name string, last_ingestion_timestamp timestamp, records_processed bigint, execution_id string"
+        ).withColumn("last_update", F.current_timestamp())
+        replace_rows(spark, control, advance_watermark(spark.table(control), update), control_path)
+    return spark.createDataFrame([report for report, _ in results], REPORT_SCHEMA)
 
 
 def run_totals(report: DataFrame) -> DataFrame:

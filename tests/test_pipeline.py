@@ -271,6 +271,10 @@ def test_gold(spark, lake, loaded):
         ("Soja", 1500, 2)
     ]
     assert rows(table("view_painel4_perfil_porte"), "codigo_porte", "total_empresas") == [("01", 2), ("05", 1)]
+    from aduana.operators.sinks import overlapping_files
+
+    for name, order in gold.ORDERS.items():
+        assert overlapping_files(table(name), order).count() == 0, name
     # built again over the same paths
     gold.build_gold(spark, lake.silver, lake.gold, lake.path("gold"), dt.date(2024, 1, 1))
     assert table("dim_ncm").count() == 2

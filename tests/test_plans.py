@@ -135,3 +135,22 @@ def test_partition_filter_of_incremental_reading(spark, tmp_path):
     fresh = new_rows(spark.read.parquet(path), dt.datetime(2024, 1, 8), date_col="_ingestion_date")
     assert fresh.count() == 2
     assert re.search(r"PartitionFilters: \[.*_ingestion_date.* >= 2024-01-07", physical(fresh))
+
+
+def test_ordered_files_follow_each_other(spark, tmp_path):
+    from aduana.operators.sinks import in_order, overlapping_files
+
+    order = ["-o_totalprice", "o_orderkey"]
+    orders = b.read(spark, SF, "orders").select("o_orderkey", F.expr("if(o_orderkey % 9 = 0, null, o_totalprice)").alias("o_totalprice"))
+    in_order(orders, order, 5).write.parquet(f"{tmp_path}/sorted")
+    orders.repartition(5).write.parquet(f"{tmp_path}/mixed")
+    scan = spark.read.parquet(f"{tmp_path}/sorted")
+    assert scan.select(F.input_file_name()).distinct().count() == 5
+    assert overlapping_files(scan, order).count() == 0
+    assert overlapping_files(spark.read.parquet(f"{tmp_path}/mixed"), order).count() > 0
+    plan = physical(in_order(orders, order))
+    assert "rangepartitioning" in plan and "SinglePartition" not in plan
+    # A filter on the leading column finds its rows in one or two of the files.
+    wanted = scan.orderBy(F.desc("o_totalprice")).limit(20).select("o_totalprice").collect()
+    found = scan.filter(F.col("o_totalprice") >= wanted[-1][0]).select(F.input_file_name()).distinct().count()
+    assert found == 1
