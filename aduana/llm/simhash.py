@@ -4,12 +4,14 @@ Every distinct fingerprint gets its Hamming distances to many reference fingerpr
 two fingerprints within r bits have coordinates that differ by at most r, so a pair with a larger difference in any
 coordinate is discarded, and only survivors are verified. Coordinates alone would leave a share of all pairs that
 does not fall with their number; so the tables are divided first: with r differing bits, at least two of r + 2
-bands are equal in a linked pair, and every pair of bands is a table of its own, keyed by their bits.
+bands are equal in a linked pair, and every pair of bands is a table of its own, keyed by their bits. A table that is
+still too large is divided again by parts of the other bits, of which one must be equal.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -27,6 +29,8 @@ SEED = 42
 PIVOTS = 16
 #: Rows of a table that are compared with each other at once; of more, one at a time meets the rest.
 TILE = 512
+#: Rows of a table that one task compares.
+TABLE_ROWS = 4096
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -127,47 +131,89 @@ def pivot_links(fps: np.ndarray, bits: int, pivots: np.ndarray) -> list[tuple[in
     return [(int(fps[x]), int(fps[y])) for x, y in links]
 
 
-def fingerprint_links(fps: DataFrame, bits: int = BITS, pivots: int = PIVOTS) -> DataFrame:
-    """(a, b) fingerprints within `bits`, enough of them that components are those of all such pairs.
+def finer_masks(mask: int, bits: int) -> list[int]:
+    """The mask with each of bits + 1 parts of the bits it leaves out: fingerprints within `bits` that are equal under
+    the mask are equal under one of these as well."""
+    left = [i for i in range(64) if not mask >> i & 1]
+    edges = [len(left) * i // (bits + 1) for i in range(bits + 2)]
+    return [mask | sum(1 << i for i in left[lo:hi]) for lo, hi in zip(edges, edges[1:], strict=False)]
 
-    fps: distinct values in `fp`. A table keyed by two bands is read by one task as a stream in the order of its
-    keys; only tables with two rows or more do any work.
-    """
-    masks, references = band_masks(bits), reference_fingerprints(pivots)
 
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >= 1 << 63 else x
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
 
-    keys = F.array(*[
-        F.struct(F.lit(t).cast("int").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k"))
-        for t, m in enumerate(masks)
-    ])
-    keyed = fps.select("fp", F.explode(keys).alias("key")).select("key.t", "key.k", "fp")
+def fingerprint_links(
+    spark: SparkSession, fps: DataFrame, bits: int = BITS, pivots: int = PIVOTS, table_rows: int = TABLE_ROWS
+) -> DataFrame:
+    """(a, b) fingerprints within `bits`, enough of them that components are those of all such pairs.
+
+    fps: distinct values in `fp`. Tables are keyed by the bits under a mask. A task reads them as a stream in the
+    order of their keys; only tables with two rows or more do any work. The rows of a table with more than
+    `table_rows` are handed back and dealt out again under finer masks, as often as it takes, so that a family of any
+    size is compared by many tasks.
+    """
+    references = reference_fingerprints(pivots)
+    masks = F.array(*[F.lit(_signed(m)) for m in band_masks(bits)])
+    keyed = fps.select("fp", F.explode(masks).alias("mask"))
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest = handed = None  # rows of the last key so far, and a key whose rows are handed back
         for batch in batches:
-            rows = np.column_stack([batch["t"].to_numpy(np.int64), batch["k"], batch["fp"]])
+            rows = np.column_stack([batch["mask"].to_numpy(np.int64), batch["k"], batch["fp"]])
+            if handed is not None:
+                of = (rows[:, 0] == handed[0]) & (rows[:, 1] == handed[1])
+                if of.any():
+                    yield back(rows[of])
+                    rows = rows[~of]
+                if not len(rows):
+                    continue
+                handed = None
             if rest is not None:
                 rows = np.concatenate([rest, rows])
             last = np.flatnonzero((rows[:, 0] != rows[-1, 0]) | (rows[:, 1] != rows[-1, 1]))
             end = int(last[-1]) + 1 if len(last) else 0
+            yield from of_tables(rows[:end])
             rest = rows[end:]
-            yield of_tables(rows[:end])
+            if len(rest) > table_rows:
+                yield back(rest)
+                handed, rest = rest[0, :2], None
         if rest is not None:
-            yield of_tables(rest)
+            yield from of_tables(rest)
 
-    def of_tables(rows: np.ndarray) -> pd.DataFrame:
+    def back(rows: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"a": rows[:, 2], "b": rows[:, 2], "mask": rows[:, 0], "open": True})
+
+    def of_tables(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+        if not len(rows):
+            return
         found: list[tuple[int, int]] = []
-        if len(rows):
-            new = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
-            edges = np.concatenate([[0], new, [len(rows)]])
-            for i in np.flatnonzero(np.diff(edges) > 1):
-                found += pivot_links(rows[edges[i]:edges[i + 1], 2].view(np.uint64), bits, references)
+        new = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
+        edges = np.concatenate([[0], new, [len(rows)]])
+        sizes = np.diff(edges)
+        for i in np.flatnonzero(sizes > 1):
+            table = rows[edges[i]:edges[i + 1]]
+            if len(table) > table_rows:
+                yield back(table)
+            else:
+                found += pivot_links(table[:, 2].view(np.uint64), bits, references)
         pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return keyed.repartition("t", "k").sortWithinPartitions("t", "k").mapInPandas(linked, "a long, b long")
+        yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "mask": np.int64(0), "open": False})
+
+    done: list[DataFrame] = []
+    while True:
+        tables = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("k"), "fp")
+        result = written(spark, tables.repartition("mask", "k").sortWithinPartitions("mask", "k").mapInPandas(
+            linked, "a long, b long, mask long, open boolean"
+        ), "links")
+        done.append(result.filter("not open").select("a", "b"))
+        left = result.filter("open")
+        coarse = [r["mask"] for r in left.select("mask").distinct().collect()]  # three times as many a round at most
+        if not coarse:
+            return reduce(DataFrame.unionByName, done)
+        finer = [(m, _signed(f)) for m in coarse for f in finer_masks(m % (1 << 64), bits)]
+        pairs = spark.createDataFrame(finer, "mask long, finer long")
+        keyed = left.join(pairs, "mask").select(F.col("a").alias("fp"), F.col("finer").alias("mask")).distinct()
 
 
 def near_duplicates(
@@ -197,7 +243,7 @@ def near_duplicates(
 def rooted(spark: SparkSession, classes: DataFrame, bits: int) -> DataFrame:
     """(fp, first, root) of distinct fingerprints: root is the smallest fingerprint of the component."""
     classes = written(spark, classes, "classes")
-    linked = components(spark, fingerprint_links(classes.select("fp"), bits)).withColumnRenamed("node", "fp")
+    linked = components(spark, fingerprint_links(spark, classes.select("fp"), bits)).withColumnRenamed("node", "fp")
     return classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
@@ -205,8 +251,10 @@ def deduplicated(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED,
 ) -> DataFrame:
-    """One row of `docs` for each component of `near_duplicates`, with all its columns: the one with the smallest
-    id, or any one if none has an id."""
+    """One row of `docs` for each component of `near_duplicates`, with all its columns, whatever their names: the one
+    with the smallest id, or any one if none has an id. Null and empty texts are one component with those linked to
+    fingerprint zero; of rows that repeat the id and fingerprint one stays; texts of any length are read whole; an
+    empty table stays empty."""
     mark, key = free_name(docs, "_simhash"), free_name(docs, "_simhash_key")
     rows = written(spark, with_fingerprint(docs, text_col, shingle, seed, mark), "fingerprints")
     named = rooted(spark, rows.groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("first")), bits)

@@ -3,12 +3,16 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import time
+
 import numpy as np
 import pytest
 import xxhash
 
 from aduana.llm.components import components
-from aduana.llm.simhash import deduplicated, fingerprint, fingerprint_links, op7_simhash, pivot_links, reference_fingerprints
+from aduana.llm.simhash import (
+    deduplicated, fingerprint, fingerprint_links, finer_masks, op7_simhash, pivot_links, reference_fingerprints,
+)
 from tests.llm.cases import ODD, crowded, docs, table
 
 
@@ -62,7 +66,9 @@ def test_whole_table_and_odd_rows(spark):
     assert op7_simhash(spark, docs(spark, [])).count() == 0
 
 
-def test_links_join_what_brute_force_joins(spark):
+@pytest.mark.parametrize("rows", [4096, 3])
+def test_links_join_what_brute_force_joins(spark, rows):
+    """With tiny tables all of them are divided again and again."""
     draw = np.random.default_rng(3)
     prints = set()
     for _ in range(30):  # chains of fingerprints a bit or three apart
@@ -73,7 +79,7 @@ def test_links_join_what_brute_force_joins(spark):
                 at ^= 1 << int(bit)
     signed = [p - (1 << 64) if p >= 1 << 63 else p for p in prints]
     fps = spark.createDataFrame([(p,) for p in signed], "fp long")
-    found = components(spark, fingerprint_links(fps)).collect()
+    found = components(spark, fingerprint_links(spark, fps, table_rows=rows)).collect()
     got = defaultdict(set)
     for r in found:
         got[r["root"]].add(r["node"] % (1 << 64))
@@ -83,6 +89,45 @@ def test_links_join_what_brute_force_joins(spark):
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in expected.values() if len(v) > 1)
 
 
+@pytest.mark.parametrize("mask", [0xFFFFFFFF, 0xFFFF00000000FFFF, (1 << 64) - 8, (1 << 64) - 1])
+def test_finer_masks_lose_no_pair(mask):
+    draw = np.random.default_rng(6)
+    free = [i for i in range(64) if not mask >> i & 1]
+    finer = finer_masks(mask, 2)
+    for _ in range(200):
+        changed = sum(1 << int(i) for i in draw.choice(free, min(2, len(free)), replace=False)) if free else 0
+        assert any(not changed & m for m in finer)
+
+
+def test_a_large_family_is_divided(spark):
+    """100,000 fingerprints with two equal bands: one table, unless it is divided."""
+    rows = spark.range(100_000).selectExpr("(xxhash64(id) & 4294967295) | (7L << 40) as fp").distinct()
+    began = time.perf_counter()
+    found = fingerprint_links(spark, rows).distinct().collect()
+    assert time.perf_counter() - began < 120
+    values = np.sort(np.array([r["fp"] for r in rows.collect()], np.int64).view(np.uint64))
+    known = set(values.tolist())
+    masks = [1 << i for i in range(32)] + [(1 << i) | (1 << j) for i in range(32) for j in range(i)]
+    near = [(int(v), int(v) ^ m) for v in values[:2000] for m in masks if int(v) ^ m in known]
+    of = brute_root([(r["a"], r["b"]) for r in found])
+    assert near and all(of(a) == of(b) for a, b in near)
+    assert all((r["a"] ^ r["b"]).bit_count() <= 2 for r in found)
+
+
+def brute_root(links):
+    root = {}
+
+    def top(n):
+        while root.get(n, n) != n:
+            root[n] = root.get(root[n], root[n])
+            n = root[n]
+        return n
+
+    for a, b in links:
+        root[top(a)] = top(b)
+    return top
+
+
 def test_pivot_links_of_a_crowded_table():
     fps = np.unique(np.random.default_rng(5).integers(0, 1 << 12, 1500, np.uint64))
     links = pivot_links(fps, 2, reference_fingerprints())
