@@ -20,6 +20,8 @@ KMER = 5  # code points
 TUPLE = 2  # k-mers of a tuple
 FUNCTIONS = 50  # tuples of a fingerprint; with 20 many texts that share half with another have none in common
 SEED = 7
+#: K-mers of a long text that are looked at together.
+PIECE = 1 << 15
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -34,37 +36,69 @@ class OrderMinHash:
     def numbered(self, text: str) -> np.ndarray:
         """64-bit hashes of the k-mers in text order, each with its number among equal ones. A text shorter than
         a k-mer is a single one; the empty text has none."""
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         n = max(len(points) - self.kmer + 1, min(1, len(points)))
-        if n and len(points) < self.kmer:
-            points = np.concatenate([points, np.zeros(self.kmer - len(points), np.uint64)])
         h = np.zeros(n, np.uint64)
-        for j in range(self.kmer):
-            h += points[j:j + n] * self.weights[j]
-        h = mixed(h)
+        for start in range(0, n, PIECE):
+            part = points[start:start + PIECE + self.kmer - 1].astype(np.uint64) + np.uint64(1)
+            size = min(PIECE, n - start)
+            if len(part) < self.kmer:
+                part = np.concatenate([part, np.zeros(self.kmer - len(part), np.uint64)])
+            for j in range(self.kmer):
+                h[start:start + size] += part[j:j + size] * self.weights[j]
+            h[start:start + size] = mixed(h[start:start + size])
         if n < 2:
             return h
         # Equal k-mers meet when sorted with their place in the low bits; numbers follow the places.
-        bits = np.uint64(n.bit_length())
-        place = (np.uint64(1) << bits) - np.uint64(1)
-        keys = np.sort((h & ~place) | np.arange(n, dtype=np.uint64))
-        starts = np.concatenate([[0], np.flatnonzero((keys[1:] ^ keys[:-1]) > place) + 1])
-        if len(starts) < n:
-            number = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-            occurrence = np.zeros(n, np.uint64)
-            occurrence[(keys & place).astype(np.int64)] = number.astype(np.uint64)
-            h = mixed(h + occurrence * _SPREAD)
+        place = (np.uint64(1) << np.uint64(n.bit_length())) - np.uint64(1)
+        keys = h & ~place
+        for start in range(0, n, PIECE):
+            keys[start:start + PIECE] |= np.arange(start, min(start + PIECE, n), dtype=np.uint64)
+        keys.sort()
+        if all((keys[a + 1:a + PIECE + 1] ^ keys[a:a + PIECE][:len(keys) - a - 1] > place).all() for a in range(0, n, PIECE)):
+            return h
+        first = 0  # of the k-mers equal to the one before a piece
+        for start in range(0, n, PIECE):
+            part = keys[start:start + PIECE]
+            new = np.ones(len(part), bool)
+            new[1:] = part[1:] ^ part[:-1] > place
+            if start:
+                new[0] = part[0] ^ keys[start - 1] > place
+            at = np.arange(start, start + len(part))
+            firsts = np.maximum.accumulate(np.where(new, at, first))
+            first = int(firsts[-1])
+            places = (part & place).astype(np.int64)
+            h[places] = mixed(h[places] + (at - firsts).astype(np.uint64) * _SPREAD)
         return h
 
+    def _values(self, h: np.ndarray) -> np.ndarray:
+        """What each function makes of each k-mer."""
+        values = (h >> np.uint64(32)).astype(np.uint32)[None, :] * self.factor[:, None]
+        values ^= values >> np.uint32(15)
+        values *= np.uint32(0x2C1B3C6D)
+        return values
+
+    def _smallest(self, h: np.ndarray, size: int) -> np.ndarray:
+        """Places of the smallest of each function, for a long text: piece by piece, only the smallest so far stay."""
+        best = np.zeros((self.functions, 0), np.uint64)
+        for start in range(0, len(h), PIECE):
+            keys = self._values(h[start:start + PIECE]).astype(np.uint64) << np.uint64(32)
+            keys |= np.arange(start, start + keys.shape[1], dtype=np.uint64)
+            if keys.shape[1] > size:
+                keys = np.partition(keys, size - 1, axis=1)[:, :size]
+            best = np.sort(np.concatenate([best, keys], axis=1), axis=1)[:, :size]
+        return (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
     def signature(self, text: str) -> np.ndarray:
         """One 32-bit tuple hash for each function."""
         h = self.numbered(text)
         n = len(h)
         if not n:
             return np.zeros(self.functions, np.uint32)
-        values = (h >> np.uint64(32)).astype(np.uint32)[None, :] * self.factor[:, None]
-        values ^= values >> np.uint32(15)
-        values *= np.uint32(0x2C1B3C6D)
+        size = min(self.size, n)
+        if n > PIECE:
+            return self._folded(h, self._smallest(h, size))
+        values = self._values(h)
         # Nearly always the smallest lie below this limit; a function with too few there looks at all.
         limit = min(1.0, (self.size + 8) / n)
         at = np.flatnonzero((values <= np.uint32(int(limit * 0xFFFFFFFF))).ravel())
@@ -72,15 +106,18 @@ class OrderMinHash:
         order = np.argsort((rows.astype(np.uint64) << np.uint64(32)) | values.ravel()[at], kind="stable")
         rows, places = rows[order], at[order] - rows[order] * n
         first = np.searchsorted(rows, np.arange(self.functions + 1))
-        size = min(self.size, n)
         chosen = np.empty((self.functions, size), np.int64)
         enough = np.diff(first) >= size
         chosen[enough] = places[first[:-1][enough, None] + np.arange(size)]
         for i in np.flatnonzero(~enough):
             chosen[i] = np.argsort(values[i], kind="stable")[:size]
+        return self._folded(h, chosen)
+
+    def _folded(self, h: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Tuples of the chosen places of each function, in text order, hashed."""
         chosen.sort(axis=1)
-        folded = np.full(self.functions, size, np.uint64)
-        for j in range(size):
+        folded = np.full(self.functions, chosen.shape[1], np.uint64)
+        for j in range(chosen.shape[1]):
             folded = mixed(folded * _SPREAD + h[chosen[:, j]])
         return (folded >> np.uint64(32)).astype(np.uint32)
 
@@ -126,7 +163,8 @@ def with_next(
 
     Next is the row with the next smaller id; the smallest is followed by the largest. Equal ids follow each other
     by text; rows with a null id come last. A single row follows itself; an empty table gives no row; a null text
-    is empty. Ids are whole numbers.
+    is empty. Ids are whole numbers. Texts of any length are hashed whole, in some 25 bytes a character. Other columns
+    are not read, whatever their names.
 
     Rows are dealt out by ranges of ids whose upper ends are ids of the table, so that the row that follows a
     range's last one is known beforehand and sent along: texts are shuffled once, and no task sorts all of them.

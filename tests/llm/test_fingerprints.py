@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
+from aduana.llm import fingerprints as fingerprints_module
 from aduana.llm.common import mixed
 from aduana.llm.fingerprints import OrderMinHash, edited, fingerprints, likeness, with_next
+from tests.conftest import ROOT
 from tests.llm.cases import ODD, crowded, docs, table
 
 HASHER = OrderMinHash()
@@ -51,6 +56,31 @@ def test_signature_by_brute_force(text):
     assert HASHER.signature(text).tolist() == brute_signature(text, HASHER)
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_long_texts_go_by_pieces(monkeypatch, piece):
+    """The same signature whatever the pieces, repeated k-mers across them included."""
+    rng = np.random.default_rng(piece)
+    texts = ["abcde" * 40, "".join(rng.choice(list("ab é𝒳"), 300)), "".join(chr(200 + i) for i in range(150)), "abcd", "abcdef"]
+    whole = [HASHER.signature(t).tolist() for t in texts]
+    assert whole[:2] == [brute_signature(t, HASHER) for t in texts[:2]]
+    monkeypatch.setattr(fingerprints_module, "PIECE", piece)
+    assert [HASHER.signature(t).tolist() for t in texts] == whole
+
+
+def test_memory_of_a_long_text_is_bounded():
+    """4 million code points in a process of their own: far below a matrix of all functions and k-mers."""
+    code = (
+        "import resource, numpy as np\n"
+        "from aduana.llm.fingerprints import OrderMinHash\n"
+        "h = OrderMinHash(); h.signature('warm up ' * 9)\n"
+        "text = np.random.default_rng(1).integers(97, 123, 4_000_000, np.uint8).tobytes().decode()\n"
+        "a = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; h.signature(text)\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - a)\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT)
+    assert int(out.stdout) < 200_000  # KB
+
+
 def test_order_and_edits_show():
     words = [f"w{i}x" for i in range(400)]
     text = " ".join(words)
