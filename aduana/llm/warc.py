@@ -260,10 +260,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def _assembled(spark: SparkSession, path: str, found: DataFrame, split: DataFrame) -> DataFrame:
     """Records with the magic inside, put together from their chunks. Only blocks that hold such chunks are read
     again, and only these chunks are moved; a record's chunks meet as its bytes must."""
-    inside = found.alias("f").join(split.alias("s"), F.expr(
-        "f.file = s.file and f.offset >= s.offset and f.offset < s.next"
-    )).select("f.file", "f.block", F.col("f.offset").alias("piece"), F.col("s.offset").alias("of"))
+    # The last such record that has begun is carried forward, inside blocks and then over the blocks of a file.
+    marks = split.select("file", "offset", F.struct(F.col("offset").alias("of"), F.col("next").alias("until")).alias("s"))
+    marked = found.select("file", "block", "offset").join(marks, ["file", "offset"], "left")
     order = Window.partitionBy("file", "block")
+    here = F.max("s").over(order.orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))  # starts ascend
+    of_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.groupBy("file", "block").agg(F.max("s").alias("s")).select(
+        "file", "block", F.max("s").over(of_file).alias("before")
+    )
+    inside = marked.withColumn("here", here).join(carried, ["file", "block"]).select(
+        "file", "block", F.col("offset").alias("piece"), F.coalesce("here", "before").alias("s")
+    ).filter("piece < s.until").select("file", "block", "piece", "s.of")
+    inside = written(spark, inside, "inside")
     first = found.groupBy("file", "block").agg(F.min("offset").alias("first"))
     size = F.lit(len(MAGIC))
     blocks = inside.select("file", "block").distinct().join(first, ["file", "block"])
