@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as Over, functions as F
 
 from aduana.llm.common import written
 from aduana.llm.packing import default_tokenizer, token_ids
@@ -23,11 +23,9 @@ from aduana.llm.packing import default_tokenizer, token_ids
 BUDGET = 2048
 HISTORY_TOKENS = 256
 HISTORY_TURNS = 4
-#: Turn numbers of a segment. A window doesn't cross segments, so that a very long conversation is formatted by many
+#: Turns of a segment. A window doesn't cross segments, so that a very long conversation is formatted by many
 #: tasks; a segment still begins with the system turn and the history.
 SEGMENT_TURNS = 512
-#: Tokens that the marks of a turn count as.
-MARK_TOKENS = 8
 
 OPEN, CLOSE = "<turn {}>\n", "</turn>\n"
 _CONTROL = re.compile(r"\\|<(?=/?turn)")
@@ -52,8 +50,15 @@ def unescaped(text: str) -> str:
     return _ESCAPED.sub(lambda m: _FROM[m[1]], text)
 
 
+def rendered(role: str, text: str) -> tuple[str, str]:
+    """The opening mark and the body of a turn, as they are written before `CLOSE`."""
+    return OPEN.format(escaped_role(role)), escaped(text)
+
+
 @dataclass
 class Turn:
+    """tokens: of the turn as it is written. A turn begins and ends with a mark, so windows have the sum of these."""
+
     number: int | None
     role: str
     text: str
@@ -71,7 +76,7 @@ class Window:
     def render(self) -> Window:
         parts, at = [], 0
         for i, turn in enumerate(self.turns):
-            start, body = OPEN.format(escaped_role(turn.role)), escaped(turn.text)
+            start, body = rendered(turn.role, turn.text)
             if i >= self.repeated and turn.role == "assistant":
                 self.loss.append((at + len(start), at + len(start) + len(body)))
             parts += [start, body, CLOSE]
@@ -101,12 +106,12 @@ class Segment:
             if self.waiting > 8 * self.budget:
                 yield from self.windows(last=False)
 
-    def _history(self, first: Turn) -> list[Turn]:
+    def _history(self) -> list[Turn]:
+        """The turns right before, as many as history may have."""
         kept: list[Turn] = []
         left = self.history_tokens
         for turn in reversed(self.before[-self.history_turns:] if self.history_turns else []):
-            near = turn.number is None or first.number is None or turn.number >= first.number - self.history_turns
-            if turn is self.system or not near or turn.tokens > left:
+            if turn is self.system or turn.tokens > left:
                 break
             kept.append(turn)
             left -= turn.tokens
@@ -119,7 +124,7 @@ class Segment:
         while start < len(self.own):
             done = int(sums[start - 1]) if start else 0
             head = [self.system] if self.system else []
-            history = self._history(self.own[start])
+            history = self._history()
             room = self.budget - sum(t.tokens for t in head)
             if self.own[start].tokens > room - sum(t.tokens for t in history):
                 history = []  # the turn itself comes first
@@ -144,36 +149,31 @@ def windows(
 ) -> DataFrame:
     """One row per window: conv_id, segment, window, n_tokens, n_repeated, first_turn, text, loss, alone.
 
-    Rows are (conv_id, turn, role, text); other columns are not read. Turns come by number, null first; equal
-    numbers by role and text, and repeated rows are turns of their own. A null text or role is empty. Rows with a
-    null conv_id are one conversation. loss are the spans of `text` that are learned, in code points. No window
-    exceeds the budget unless its only new turn does with the system turn. alone says that all of the conversation
-    is in this segment. An empty table gives no window.
+    Rows are (conv_id, turn, role, text); other columns are not read, whatever their names. Turns come by number, null
+    first; equal numbers by role and text, and repeated rows are turns of their own. A null text or role is empty. Rows
+    with a null conv_id are one conversation. loss are the spans of `text` that are learned, in code points. n_tokens
+    are those of `text`; no window exceeds the budget unless its only new turn does with the system turn, and a text of
+    any length is one turn. alone says that all of the conversation is in this segment: one of more than
+    `segment_turns` turns is not. An empty table gives no window.
     """
     path = tokenizer or default_tokenizer()
-    number = F.col("turn").cast("long")
+    spark = conversations.sparkSession
     rows = conversations.select(
-        "conv_id", F.coalesce(F.floor(number / segment_turns), F.lit(-(1 << 60))).alias("segment"),
-        F.lit(OWN_ROW).alias("row"), number.alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
+        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    # What a segment repeats is sent to it: the end of the one before, and the system turn of the conversation.
-    tail = rows.filter(F.pmod("turn", F.lit(segment_turns)) >= segment_turns - history_turns).withColumns({
-        "segment": F.col("segment") + 1, "row": F.lit(HISTORY_ROW)
-    })
-    head = rows.filter("role = 'system'").groupBy("conv_id").agg(
-        F.min(F.struct(F.col("turn").isNotNull(), "turn", "text", "segment")).alias("s")
-    )
-    # Conversations beyond the first segment. As a table their number is known when the joins are planned.
-    later = rows.filter("segment <> 0").select("conv_id", "segment").distinct()
-    later = written(conversations.sparkSession, later, "segments")
-    sent = later.alias("l").join(
-        head.alias("h"), F.expr("l.conv_id <=> h.conv_id and l.segment > h.s.segment")
-    ).select(
-        "l.conv_id", "l.segment", F.lit(SYSTEM_ROW).alias("row"), F.col("h.s.turn").alias("turn"),
-        F.lit("system").alias("role"), F.col("h.s.text").alias("text"),
+    # Conversations of more than a segment: a table, so that its size is known when the joins are planned. A struct
+    # holds the id, as nulls in it are equal.
+    key = F.struct("conv_id")
+    many = written(spark, rows.groupBy(key.alias("_many")).agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > segment_turns
+    ).select("_many"), "long")
+    keyed = rows.withColumn("_many", key)
+    short = keyed.join(many, "_many", "left_anti").select(
+        "conv_id", F.lit(0).cast("long").alias("segment"), F.lit(OWN_ROW).alias("row"), "turn", "role", "text",
+        F.lit(0).cast("long").alias("rank"), F.lit(True).alias("alone"),
     )
-    several = later.select(F.col("conv_id").alias("c"), F.lit(False).alias("alone")).distinct()
+    dealt = short.unionByName(_segments(spark, keyed.join(many, "_many", "left_semi"), segment_turns, history_turns))
     kind = conversations.schema["conv_id"].dataType
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,13 +200,13 @@ def windows(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in batches:
-            for conv, part, row, turn, role, text, alone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, part, row, turn, role, text, _, alone in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if segment is None or (conv, part) != key:
                     if segment is not None:
                         emit(segment.windows())
                     key, count, single = (conv, part), 0, alone
                     segment = Segment(budget, history_tokens, history_turns)
-                tokens = len(token_ids(text, path)) + MARK_TOKENS
+                tokens = len(token_ids("".join([*rendered(role, text), CLOSE]), path))
                 emit(segment.add(row, Turn(turn, role, text, tokens)))
                 if len(out) >= 256:
                     yield batch_of()
@@ -214,18 +214,50 @@ def windows(
             emit(segment.windows())
         yield batch_of()
 
-    order = ["conv_id", "segment", "row", F.asc_nulls_first("turn"), "role", "text"]
-    return (
-        rows.unionByName(tail).unionByName(sent)
-        .join(several, F.expr("conv_id <=> c"), "left").drop("c")
-        .withColumn("alone", F.coalesce("alone", F.lit(True)))
-        .repartition("conv_id", "segment").sortWithinPartitions(*order)
-        .mapInArrow(
-            formatted,
-            f"conv_id {kind.simpleString()}, segment long, window long, n_tokens long, n_repeated long, "
-            "first_turn long, text string, loss array<struct<start: long, end: long>>, alone boolean",
-        )
+    order = ["conv_id", "segment", "row", "rank", F.asc_nulls_first("turn"), "role", "text"]
+    return dealt.repartition("conv_id", "segment").sortWithinPartitions(*order).mapInArrow(
+        formatted,
+        f"conv_id {kind.simpleString()}, segment long, window long, n_tokens long, n_repeated long, "
+        "first_turn long, text string, loss array<struct<start: long, end: long>>, alone boolean",
+    )
+
+
+def _segments(spark: SparkSession, rows: DataFrame, segment_turns: int, history_turns: int) -> DataFrame:
+    """The rows of long conversations in segments by their rank, with what each segment repeats.
+
+    Rows are sorted in ranges; the part of a conversation in each range tells at which rank the next range goes on.
+    So one conversation with most of the rows is spread like many, whatever numbers its turns have.
+    """
+    order = ["_many", F.asc_nulls_first("turn"), "role", "text", "_row"]
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Rows that are equal in all are told apart by where they were read, so that they may be in several ranges.
+    sorted_rows = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(parts, *order)
+    placed = written(spark, sorted_rows.sortWithinPartitions(*order).drop("_row").withColumn(
+        "_at", F.monotonically_increasing_id()
+    ), "ranked").withColumn("_part", F.shiftrightunsigned("_at", 33))
+    pieces = placed.groupBy("_many", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Over.partitionBy("_many").orderBy("_part").rowsBetween(Over.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    rank = F.col("_at") - F.col("_first") + F.col("_before")
+    own = placed.join(pieces, ["_many", "_part"]).select(
+        "conv_id", "_many", F.floor(rank / segment_turns).alias("segment"), F.lit(OWN_ROW).alias("row"), "turn", "role",
+        "text", rank.alias("rank"),
+    )
+    # What a segment repeats is sent to it: the end of the one before, and the system turn of the conversation.
+    last = own.groupBy("_many").agg(F.max("segment").alias("last"))
+    ends = own.filter(F.col("rank") % segment_turns >= segment_turns - history_turns)
+    tail = ends.join(last, "_many").filter("segment < last").drop("last").withColumns({
+        "segment": F.col("segment") + 1, "row": F.lit(HISTORY_ROW)
+    })
+    system = own.filter("role = 'system'").groupBy("_many").agg(
+        F.min(F.struct("rank", "segment", "turn", "text")).alias("s")
+    )
+    head = system.join(last, "_many").filter("s.segment < last").select(
+        F.col("_many.conv_id").alias("conv_id"), "_many", F.explode(F.sequence(F.col("s.segment") + 1, "last")).alias("segment"),
+        F.lit(SYSTEM_ROW).alias("row"), F.col("s.turn").alias("turn"), F.lit("system").alias("role"),
+        F.col("s.text").alias("text"), F.col("s.rank").alias("rank"),
     )
+    return own.unionByName(tail).unionByName(head).drop("_many").withColumn("alone", F.lit(False))
 
 
 def turns_of(text: str) -> list[tuple[str, str]]:

@@ -3,9 +3,11 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 
+import pytest
 from hypothesis import given, strategies as st
 
 from aduana.llm.chat import PROBE, escaped, op1_chat, read_back, turns_of, unescaped, windows
+from aduana.llm.packing import default_tokenizer, token_ids
 from tests.llm.cases import crowded, table
 
 ROWS = "conv_id long, turn long, role string, text string"
@@ -63,6 +65,41 @@ def test_odd_rows(spark):
     assert digests(op1_chat(spark, df.limit(0))).keys() == {-7}
 
 
+def test_tokens_are_those_of_the_text(spark):
+    """Turns of two letters, of backslashes, of marks; many roles: the text of a window has the tokens it states."""
+    kinds = ["ok", "\\" * 30, "<turn a></turn>" * 3, "", "  \n", "é𝒳!", "it's", " x ", "\n\n"]
+    rows = [(c, t, ["user", "assistant", "a b\n", ""][t % 4], kinds[c]) for c in range(len(kinds)) for t in range(600)]
+    path = default_tokenizer()
+    for r in windows(spark.createDataFrame(rows, ROWS)).collect():
+        assert len(token_ids(r["text"], path)) == r["n_tokens"] <= 2048
+
+
+@pytest.mark.parametrize("step", [1, 10, 600])
+def test_history_at_any_numbering(spark, step):
+    """Segments and history go by the order of the turns, not by their numbers."""
+    rows = [(1, step * i, "system" if i == 0 else ("user", "assistant")[i % 2], f"turn {i} " * 9) for i in range(300)]
+    df = spark.createDataFrame(rows, ROWS).repartition(4)
+    got = windows(df, budget=300, history_tokens=120, history_turns=3, segment_turns=64).orderBy("segment", "window").collect()
+    assert len({r["segment"] for r in got}) == 5 and not any(r["alone"] for r in got)
+    repeated = [[unescaped(t) for _, t in turns_of(r["text"])[:r["n_repeated"]]] for r in got]
+    assert all(x[0] == "turn 0 " * 9 and len(x) >= 3 for x in repeated[1:])
+    assert [(r["segment"], r["window"], r["n_repeated"]) for r in got] == _shape(spark, 1)
+
+
+def _shape(spark, step):
+    rows = [(1, step * i, "system" if i == 0 else ("user", "assistant")[i % 2], f"turn {i} " * 9) for i in range(300)]
+    got = windows(spark.createDataFrame(rows, ROWS), budget=300, history_tokens=120, history_turns=3, segment_turns=64)
+    return [(r["segment"], r["window"], r["n_repeated"]) for r in got.orderBy("segment", "window").collect()]
+
+
+def test_turns_without_a_number_are_spread(spark):
+    rows = [(1, None, "assistant", "same")] * 500 + [(None, 3, "user", f"t{i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, ROWS)
+    got = windows(df, segment_turns=50)
+    assert {(r["conv_id"], r["segment"]) for r in got.collect()} == {(1, i) for i in range(10)} | {(None, i) for i in range(8)}
+    assert digests(read_back(got)) == expected(rows)
+
+
 def test_windows_keep_budget_system_turn_and_history(spark):
     df = spark.createDataFrame(LONG, ROWS).repartition(5)
     rows = windows(df, budget=300, history_tokens=120, history_turns=3, segment_turns=100)
