@@ -5,12 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aduana.llm import packing, pii
 from aduana.llm.common import written
 from aduana.llm.quality import judged, fitted
-from tests.llm.cases import SF, table
+from tests.llm.cases import ODD, SF, crowded, table
+from tests.llm.cases import docs as odd_docs
 from tests.llm.test_simhash import _expected
 
 
@@ -43,6 +45,33 @@ def test_each_stage_on_its_own_input(spark):
         assert tokens[doc_id] == n * (len(packing.token_ids(kept[doc_id]["text"], path)) + 1)
 
 
+def test_stages_stand_odd_rows(spark):
+    """Nulls, empty and very long texts, repeated rows and columns with clashing names through every stage."""
+    long = "".join(f"Line {i} of a text that goes on for long, with word{i % 977}.\n" for i in range(9000))
+    more = [(60, long, "en", "a", len(long)), (61, "fine words of a plain text, number " + "one two three four " * 9, None, None, None)]
+    more += [(62, " ".join(f"w{i} of{i % 31}" for i in range(400)), "en", None, 0)] * 3 + [(63, " " * 1_200_000 + "x", "en", "b", 1)]
+    docs = crowded(odd_docs(spark, [*ODD, *more, (None, more[1][1] + "again", "en", "a", 5)]))
+    columns, sizes = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(spark, stage(spark, docs, SF), "stage")
+        if name != "packing":
+            assert out.columns == columns, name
+        sizes.append(out.count())
+        docs = out
+    quality, unique, clean, mixed, pieces = sizes[1:]
+    assert 0 < unique < quality < sizes[0] and clean == unique and pieces >= mixed > 0
+    # Each stage by itself on rows that no stage before it has sorted out.
+    docs = crowded(odd_docs(spark, [*ODD, *more]))
+    counts = {name: written(spark, stage(spark, docs, SF), "stage") for name, stage in corpus_pipeline.STAGES}
+    assert counts["pii"].count() == docs.count()
+    assert counts["simhash"].filter("doc_id = 62 or doc_id = 5").count() == 2
+    taken = {r["doc_id"] for r in counts["mixing"].select("doc_id").collect()}
+    assert not taken & {2, 3, 4}
+    tokens = counts["packing"].groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    found = {r["doc_id"]: r["n"] for r in tokens}
+    assert found[2] == found[3] == 1 and found[63] > 1_000_000
+
+
 def test_run_is_the_stages_in_turn(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == [
