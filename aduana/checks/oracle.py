@@ -410,6 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "dedup_latest": f"SELECT {_LINE_COLUMNS} FROM ({_latest('lineitem')})",
         "upsert_scd1": _UPSERTED,
         "upsert_table_scd1": _UPSERTED,
+        "upsert_bucketed": _UPSERTED,
         "stream_upsert": f"SELECT {_LINE_COLUMNS} FROM ({_latest('lineitem')})",
         "upsert_accumulate": f"""
             SELECT event_type AS table_name, max(ts) AS last_ingestion_timestamp, max(ts) AS last_update,

@@ -12,6 +12,7 @@ from aduana.checks import binding as b, table_queries
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.flows import EXPORT, IMPORT
 from aduana.operators.topk import refilled_top
+from aduana.operators.bucketed import upsert_bucketed
 from aduana.operators.upsert import accumulated, merged, staged, upsert_table
 from aduana.operators.watermark import batch_progress, latest_entries, moment, new_rows
 from aduana.plans import audit, company, geo, trade as t
@@ -96,6 +97,14 @@ def upsert_table_scd1(s: SparkSession, d: str) -> DataFrame:
     return s.table(name)
 
 
+def upsert_in_buckets(s: SparkSession, d: str) -> DataFrame:
+    """The same through a table of eight buckets."""
+    name, path = f"lines_{uuid.uuid4().hex[:12]}", fresh_path(s, "buckets")
+    for load in _two_loads(s, d):
+        upsert_bucketed(s, name, load, LINE_KEYS, path, buckets=8)
+    return s.table(name)
+
+
 def upsert_newer_only(s: SparkSession, d: str) -> DataFrame:
     """The older load arrives last and must not replace newer rows."""
     older, newer = _two_loads(s, d)
@@ -217,6 +226,7 @@ def queries() -> dict[str, Query]:
         "dedup_latest": lambda s, d: _latest_lines(_lines(s, d)),
         "upsert_scd1": upsert_scd1,
         "upsert_table_scd1": upsert_table_scd1,
+        "upsert_bucketed": upsert_in_buckets,
         "upsert_accumulate": upsert_accumulate,
         "incremental_filter": incremental_filter,
         "watermark_advance": watermark_advance,

@@ -1,0 +1,83 @@
+"""Bucketed tables: what a merge moves, and that it is the same merge."""
+
+from __future__ import annotations
+
+import random
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from aduana.operators.bucketed import buckets_of, create_bucketed, merged_in_buckets, upsert_bucketed
+from aduana.operators.sinks import remove_old_snapshots, table_location
+from aduana.operators.upsert import merged
+from tests.conftest import rows
+
+SCHEMA = "k string, n int, v string"
+
+
+def name():
+    return f"bucketed_{uuid.uuid4().hex[:10]}"
+
+
+def drawn(seed, count, nulls=True):
+    rng = random.Random(seed)
+    keys = {(rng.choice([None, *"abcdefgh"] if nulls else list("abcdefgh")), rng.randrange(30)) for _ in range(count)}
+    return [(k, n, f"{seed}-{k}-{n}") for k, n in keys]
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_merge_is_the_plain_one(spark, tmp_path, null_safe):
+    table = name()
+    first, second = (spark.createDataFrame(drawn(s, 120), SCHEMA) for s in (1, 2))
+    assert upsert_bucketed(spark, table, first, ["k", "n"], str(tmp_path), 6, null_safe) == "created"
+    assert upsert_bucketed(spark, table, second, ["k", "n"], str(tmp_path), 99, null_safe) == "updated"
+    assert rows(spark.table(table)) == rows(merged(first, second, ["k", "n"], null_safe).select("k", "n", "v"))
+    assert buckets_of(spark, table) == (6, ["k", "n"])
+
+
+def test_only_the_batch_is_shuffled(spark, tmp_path):
+    table = name()
+    create_bucketed(spark, spark.range(5000).selectExpr("id as k", "id % 7 as v"), table, str(tmp_path), ["k"], 8)
+    batch = spark.range(4000, 6000).selectExpr("id as k", "-1L as v").repartition(3)
+    joined = merged_in_buckets(spark.table(table), batch, ["k"])
+    joined.write.format("noop").mode("overwrite").save()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    whole = plan.split("Union")[1] if "Union" in plan else plan
+    branch = whole[:whole.index("isnull(")] if "isnull(" in whole else whole
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, (\d+)\)", branch)
+    assert exchanges == [("k", "8")]  # of the batch, into the table's buckets
+    assert re.search(r"Bucketed: true", joined._jdf.queryExecution().toString()) or "SelectedBucketsCount" in plan
+
+
+def test_buckets_stay_one_file_each(spark, tmp_path):
+    table = name()
+    create_bucketed(spark, spark.range(3000).selectExpr("id as k", "0L as v"), table, str(tmp_path), ["k"], 5)
+    for start in (1000, 2500):
+        upsert_bucketed(spark, table, spark.range(start, start + 1000).selectExpr("id as k", f"{start}L as v"), ["k"], str(tmp_path), 5)
+    files = spark.table(table).select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == 5
+    assert {r["v"]: r["count"] for r in spark.table(table).groupBy("v").count().collect()} == {0: 1500, 1000: 1000, 2500: 1000}
+    before = table_location(spark, table)
+    assert len(remove_old_snapshots(spark, table, str(tmp_path))) == 2
+    assert table_location(spark, table) == before and spark.table(table).count() == 3500
+
+
+def test_columns_come_and_stay(spark, tmp_path):
+    table = name()
+    upsert_bucketed(spark, table, spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, p string, q string"), ["k"], str(tmp_path), 2)
+    upsert_bucketed(spark, table, spark.createDataFrame([(2, "B", 9), (3, "C", 8)], "k int, p string, r int"), ["k"], str(tmp_path), 2)
+    assert rows(spark.table(table), "k", "p", "q", "r") == sorted([(1, "a", "x", None), (2, "B", "y", 9), (3, "C", None, 8)], key=repr)
+    upsert_bucketed(spark, table, spark.createDataFrame([], "k int, p string"), ["k"], str(tmp_path), 2)
+    assert spark.table(table).count() == 3
+
+
+def test_other_keys_and_plain_tables_are_refused(spark, tmp_path):
+    table, plain = name(), name()
+    create_bucketed(spark, spark.range(5).withColumn("v", F.lit(1)), table, str(tmp_path / "a"), ["id"], 2)
+    with pytest.raises(ValueError, match="bucketed by"):
+        upsert_bucketed(spark, table, spark.range(5).withColumn("v", F.lit(1)), ["v"], str(tmp_path / "a"), 2)
+    spark.range(3).write.option("path", str(tmp_path / "b")).saveAsTable(plain)
+    with pytest.raises(ValueError, match="not bucketed"):
+        upsert_bucketed(spark, plain, spark.range(5), ["id"], str(tmp_path / "b"), 2)
