@@ -17,7 +17,7 @@ from aduana.llm.pii import op9_pii
 from aduana.llm.quality import op5_quality
 from aduana.llm.runs import op12_runs
 from aduana.llm.simhash import op7_simhash
-from aduana.llm.trie import op11_query
+from aduana.llm.trie import OP11_SQL, op11_query
 from aduana.llm.urls import op8_urls
 from aduana.llm.warc import OP4_SQL, op4_warc
 
@@ -44,4 +44,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op13_exact": OP13_SQL}
+    return {"op4_warc": OP4_SQL, "op11_trie": OP11_SQL, "op13_exact": OP13_SQL}

@@ -253,5 +253,54 @@ def op11_trie(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     return trie(spark, *rebuilt(spark, conversations))
 
 
+# Checksums by the table of the reversed polynomial; beginnings are named by the digests of their turns, side by side.
+OP11_SQL = """
+WITH steps AS (
+    SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, b:
+        CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) ORDER BY i) AS step FROM range(256) r(i)
+), ranked AS (
+    SELECT conv_id AS c, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+        strlen(coalesce(text, ''))::BIGINT AS bytes,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rank
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT c, count(*) AS own, c - c % 5 AS base FROM ranked GROUP BY c
+), convs AS (
+    SELECT c, own, base, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''),
+        lambda x: ascii(x)::BIGINT), lambda a, b: xor(step[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 9 AS h
+    FROM own, steps
+), lengths AS (
+    SELECT a.c, a.base, a.h, least(a.h, coalesce(b.own, 0)) AS taken,
+        least(a.h, coalesce(b.own, 0)) + greatest(a.own - a.h, 0) AS length
+    FROM convs a LEFT JOIN own b ON b.c = a.base
+), turns AS (
+    SELECT c, rank - h + taken AS depth, digest, bytes FROM ranked JOIN lengths USING (c) WHERE rank > h
+    UNION ALL
+    SELECT l.c, r.rank, r.digest, r.bytes FROM lengths l JOIN ranked r ON r.c = l.base AND r.rank <= l.h
+), paths AS (
+    SELECT c, depth, string_agg(digest, '') OVER (PARTITION BY c ORDER BY depth) AS name, bytes FROM turns
+    UNION ALL
+    SELECT c, 0, '', 0 FROM lengths
+), nodes AS (
+    SELECT name, depth, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM paths GROUP BY name, depth
+), children AS (
+    SELECT left(name, 64 * (depth::INTEGER - 1)) AS name, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), rated AS (
+    SELECT x.*, coalesce(k.n, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM nodes x LEFT JOIN children k USING (name)
+), sums AS (
+    SELECT left(name, 64 * u.d::INTEGER) AS name, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+        sum(saved)::BIGINT AS saved_tokens
+    FROM rated, unnest(range(0, depth + 1)) u(d) GROUP BY 1
+), ends AS (
+    SELECT name, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest FROM paths JOIN lengths USING (c)
+    WHERE depth = length GROUP BY name
+)
+SELECT x.conv_id, x.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves, s.saved_tokens,
+    coalesce(e.digest, sha256('')) AS ends_sha256
+FROM rated x JOIN sums s USING (name) LEFT JOIN ends e USING (name)
+LEFT JOIN nodes u ON x.depth > 0 AND u.name = left(x.name, 64 * (x.depth::INTEGER - 1))
+"""
+
+
 def op11_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_trie(spark, table(spark, sf_dir, "conversations"))

@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 
 from aduana.llm.centroids import component_sums
-from aduana.llm.trie import end_digests, op11_trie, rebuilt, trie
-from tests.llm.cases import crowded, table
+from aduana.llm.trie import OP11_SQL, end_digests, op11_trie, rebuilt, trie
+from tests.compare import connect
+from tests.llm.cases import SF, crowded, table
 
 ROWS = "conv_id long, turn long, role string, text string"
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
@@ -100,6 +101,14 @@ def test_given_table(spark):
     assert got(op11_trie(spark, table(spark, "conversations"))) == nodes(whole(rows))
 
 
+def test_sql_says_the_same():
+    """The statement that the driver compares with, against the plain trie."""
+    for folder in (SF, SF.replace("0.001", "0.01")):
+        con = connect(folder)
+        rows = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+        assert sorted(con.execute(OP11_SQL).fetchall()) == nodes(whole(rows))
+
+
 def test_digest_of_many_numbers(spark):
     ids = list(range(-50, 1000, 3))
     df = spark.createDataFrame([(1, 2, c) for c in ids] + [(1, 3, 9)], "node long, depth long, c long").repartition(4)
