@@ -50,13 +50,17 @@ def tasks_can_open(paths: list[str]) -> bool:
 
 def _head(path: str, encoding: str) -> str:
     """The first line that is not blank, without its end; empty if there is none."""
-    held = b""
+    rest: list[bytes] = []
     with opened(path) as stream:
         while chunk := stream.read(HEAD_BYTES):
-            held = (held + chunk).lstrip(b"\r\n \t") if not held else held + chunk
-            if b"\n" in held or b"\r" in held:
-                break
-    return held.replace(b"\r", b"\n").split(b"\n", 1)[0].decode(encoding)
+            lines = chunk.replace(b"\r", b"\n").split(b"\n")
+            lines[0] = b"".join([*rest, lines[0]])
+            for line in lines[:-1]:
+                if line.strip():
+                    return line.decode(encoding)
+            rest = [*rest, chunk] if len(lines) == 1 else [lines[-1]]
+    line = b"".join(rest)
+    return line.decode(encoding) if line.strip() else ""
 
 
 def first_lines(spark: SparkSession, paths: list[str], encoding: str = ENCODING) -> DataFrame:
@@ -64,10 +68,13 @@ def first_lines(spark: SparkSession, paths: list[str], encoding: str = ENCODING)
     the beginnings of all files."""
     if not tasks_can_open(paths):
         # One scan of the text; of the blocks that a file is read in, only the first one counts.
-        lines = spark.read.option("encoding", encoding).text(paths).select(
-            "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        # A scan has names in the form of a URI, a listing as they are.
+        plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        lines = spark.read.text(paths).select(
+            F.decode(F.col("value").cast("binary"), encoding).alias("value"), plain.alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
-        ).filter((F.col("block") == 0) & (F.trim("value") != ""))
+        ).filter((F.col("block") == 0) & F.col("value").rlike(r"\S"))
         heads = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
         listed = spark.createDataFrame([(p,) for p in paths], "path string")
         return listed.join(heads, "path", "left").select(
