@@ -400,7 +400,7 @@ def _two_runs(s: SparkSession, d: str) -> tuple[str, list[DataFrame]]:
             F.lit(loaded_at).alias(LOADED_AT),
             F.lit(f"load-{number}").alias(SOURCE),
         )
-        sinks.create_or_append(s, rows, f"{raw_db}.linhas", f"{root}/raw", ["_ingestion_date"])
+        sinks.create_or_append(s, rows, f"{raw_db}.linhas", f"{root}/raw", ["_ingestion_date"], gather=False)
         report = run_silver(
             s, [spec, absent], raw_db, typed_db, f"{root}/typed", f"{typed_db}.controle", f"{root}/control",
             f"run-{number}",

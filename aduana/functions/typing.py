@@ -21,7 +21,7 @@ def parsed(c: Column, type_name: str) -> Column:
     if kind == "double" or kind.startswith("decimal"):
         return F.replace(c, F.lit(","), F.lit(".")).try_cast(kind)
     if kind in ("tinyint", "smallint", "int", "integer", "bigint", "long"):
-        # The cast to a whole number alone would refuse a decimal point.
+        # Nearly all are plain; only what that cast refuses, such as a decimal point, is looked at again.
         whole = F.regexp_replace(F.trim(c), r"^([+-]?\d+)\.\d*$", "$1")
-        return F.coalesce(whole.try_cast(kind), c.try_cast("decimal(38,9)").try_cast(kind))
+        return F.coalesce(c.try_cast(kind), whole.try_cast(kind), c.try_cast("decimal(38,9)").try_cast(kind))
     return c.try_cast(kind)

@@ -8,12 +8,11 @@ only the touched partitions rebuilt, into a folder of their own, and their entri
 
 from __future__ import annotations
 
-import urllib.parse
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField
 
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.sinks import (
@@ -29,6 +28,10 @@ from aduana.operators.sinks import (
 from aduana.session import delete_path, fresh_path
 
 
+# Fixed value: how Spark names the folder of a null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _matches(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
     pairs = [(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys]
     return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
@@ -138,9 +141,7 @@ def replace_partitions(
     location = snapshot_path(path)
     ordered = rows.select(*columns_of(spark, name))
     write_files(ordered, location, partition_by)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("folder")
-    written = spark.read.schema(ordered.schema).parquet(location).select(*partition_by, folder).distinct().collect()
-    new = {tuple(r[c] for c in partition_by): urllib.parse.unquote(r["folder"]) for r in written}
+    new = folders_below(spark, location, [ordered.schema[c] for c in partition_by])
     old = partition_folders(spark, name, partition_by, touched | set(new))
     for values in sorted(touched | set(new), key=repr):
         spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_by, values, strict=True))
@@ -156,6 +157,19 @@ def replace_partitions(
             delete_path(spark, place)
 
 
+def folders_below(spark: SparkSession, location: str, partition_by: list[StructField]) -> dict[tuple, str]:
+    """Folders of the partitions that were written to `location`, from the listing of its files: no row is read."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(location)
+    folders = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("_folder")).distinct()
+    values = []
+    for i, field in enumerate(partition_by):
+        named = F.element_at(F.split("_folder", "/"), i - len(partition_by))
+        # Folder names are escaped by percent signs only; a plus sign stands for itself.
+        text = F.url_decode(F.replace(F.substring_index(named, "=", -1), F.lit("+"), F.lit("%2B")))
+        values.append(F.nullif(text, F.lit(NULL_FOLDER)).cast(field.dataType).alias(f"_value{i}"))
+    return {tuple(r)[1:]: r["_folder"] for r in folders.select("_folder", *values).collect()}
+
+
 def partition_folders(
     spark: SparkSession, name: str, partition_by: list[str], wanted: set[tuple]
 ) -> dict[tuple, str]:
