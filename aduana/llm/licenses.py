@@ -193,7 +193,8 @@ def scan(
 
     exact places are those of the phrases, all of them; the others are notices with their key phrases verified and
     at least `min_share` of their words in place. A null text is empty. Null ids stay, repeated rows are scanned
-    alike, an empty table gives no row, other columns are not read. Equal frequencies are ordered by word.
+    alike, an empty table gives no row, other columns are not read. Equal frequencies are ordered by word. A text of
+    any length is scanned whole by one task, which holds its words.
     """
     made = templates(phrases, notices)
     vocabulary = {w for t in made for w in t.words}

@@ -118,7 +118,8 @@ def judged(
     """(id, host, path, rule, verdict, probability) of every row; rule and probability exclude each other.
 
     Host and path of a null url, or of one without `://`, are empty; no rule fits an empty host. Null ids stay,
-    repeated rows are judged alike, an empty table gives no row, other columns are not read.
+    repeated rows are judged alike, an empty table gives no row, other columns are not read, whatever their names. A
+    url of any length is judged whole, in some 100 bytes for each of its own.
     """
     model = model or trained()
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))

@@ -44,6 +44,59 @@ http://free-bet-offers.example.com/en/2
 https://bets-today.example.net/de/6
 http://casino-club.example.net/de/4
 http://ads-popup.example.org/en/1
+http://crypto-invest.example.com/doubler/now
+https://bitcoin-doubler.example.net/invest
+http://free-crypto.example.org/claim/bonus
+https://crypto-casino.example.com/bet
+http://sports-bets.example.org/bonus
+https://betting-odds.example.com/win
+http://online-betting.example.net/bet/free
+https://slots-jackpot.example.net/casino/spins
+http://poker-online.example.com/slots/bonus
+https://casino-bonus.example.org/en/6
+http://malware-install.example.com/update.exe
+https://flash-update.example.net/install/setup.exe
+http://free-antivirus-update.example.org/download.exe
+https://phishing-account.example.com/login/verify
+http://verify-login.example.net/account/password
+https://secure-account-verify.example.org/login
+http://win-free-prize.example.com/claim
+https://free-gift-prize.example.org/win
+http://prize-claim.example.net/winner
+https://popup-ads.example.com/click
+http://ads-click.example.net/track
+https://tracker-popup.example.com/ads/5
+http://adult-webcams.example.net/live/xxx
+https://adult-videos.example.org/watch
+http://xxx-adult.example.com/en/44
+https://hot-dating.example.net/singles
+http://singles-dating.example.com/adult
+https://sexy-cams.example.org/live
+http://cheap-meds.example.com/order
+https://online-pharmacy.example.net/pills/buy
+http://viagra-cheap.example.org/buy/now
+https://discount-pills.example.com/en/31
+http://payday-cash.example.net/loans
+https://fast-loans.example.org/apply/cash
+http://cash-loan.example.com/instant
+https://easy-money.example.net/rich/fast
+http://get-rich-fast.example.com/money
+https://cheap-replica-bags.example.org/buy
+http://replica-shoes.example.net/discount
+https://fake-watches.example.com/cheap
+http://keygen-serials.example.org/crack
+https://warez-download.example.net/serial/keygen
+http://torrent-movies.example.com/free/pirate
+https://pirate-downloads.example.org/torrent
+http://miracle-pills.example.net/weight-loss
+https://lose-weight.example.org/diet/miracle
+http://seo-links.example.com/farm/backlinks
+https://buy-backlinks.example.net/seo
+http://link-spam.example.org/en/90
+https://content-spam.example.net/de/14
+http://spam-links.example.com/es/3
+https://buy-followers.example.com/cheap/likes
+http://cheap-followers.example.net/buy
 """.split()] + [(url, 0) for url in """
 https://www.library.example.org/en/catalogue
 http://news.example.com/en/2024/05/story.html
@@ -91,4 +144,61 @@ https://football.example.net/results
 http://parliament.example.org/laws/12
 https://bank.example.com/accounts
 http://shop.example.net/shoes/41
+https://library.example.com/books/catalogue
+http://public-library.example.net/en/books
+https://www.university.example.org/library
+http://university.example.com/courses/history
+https://physics.example.edu/course/notes
+http://school.example.edu/courses/physics
+https://docs.example.net/guide/setup
+http://docs.project.example.com/install
+https://guide.example.org/docs/readme
+http://project.example.org/docs/install
+https://open-source.example.com/project/guide
+http://wiki.example.com/wiki/Geography
+https://de.wiki.example.net/wiki/Geschichte
+http://fr.wiki.example.org/wiki/Histoire
+https://es.wiki.example.com/wiki/Historia
+http://news.example.org/2023/11/story
+https://news.example.net/articles/politics
+http://www.news.example.com/en/world
+https://daily.example.com/news/2024/01
+http://zeitung.example.com/de/sport
+https://nachrichten.example.org/de/politik
+http://science.example.net/articles/biology
+https://journal.example.org/articles/12
+http://city.example.net/council/meetings
+https://council.example.com/meetings/minutes
+http://parliament.example.net/debates/2023
+https://laws.example.gov/parliament/acts
+http://health.example.org/vaccines/schedule
+https://hospital.example.com/health/contact
+http://travel.example.com/rome/museums
+https://hotels.example.org/travel/paris
+http://museum.example.com/collection/paintings
+https://art.example.net/museum/concerts
+http://music.example.org/concerts/programme
+https://orchestra.example.com/music/june
+http://football.example.com/results/2024
+https://sport.example.org/football/table
+http://bank.example.net/accounts/contact
+https://www.bank.example.org/branches
+http://shop.example.com/books/history
+https://shoes.example.org/shop/women
+http://recipes.example.net/soup/tomato
+https://cooking.example.org/recipes/pasta
+http://blog.cooking.example.net/recipes/bread
+https://gardening.example.com/roses/pruning
+http://blog.example.org/gardening/2022
+https://forum.example.net/thread/872
+http://forum.gardening.example.org/thread/19
+https://weather.example.com/madrid/today
+http://weather.example.org/en/lisbon
+https://school.example.net/timetable/2024
+http://blog.onther.example.com/en/602
+https://m.andere.example.net/de/518.html
+http://eresti.example.org/es/240/
+https://laient.example.net/fr/365?page=2
+http://www.uncher.example.com/de/911
+https://ingare.example.org/en/73
 """.split()]
