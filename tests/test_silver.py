@@ -8,10 +8,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from aduana.operators.sinks import create_or_append, ensure_database
+from aduana.operators.sinks import create_or_append, ensure_database, write_files
 from aduana.operators.spec import TableSpec, same_name
-from aduana.operators.upsert import staged_counted
+from aduana.operators.upsert import folders_below, staged_counted
 from aduana.plans import silver
+from aduana.session import fresh_path
 from tests.conftest import rows
 from tests.test_archives import jobs_of
 
@@ -125,3 +126,23 @@ def test_every_table_has_a_pool_of_its_own(spark, tmp_path, monkeypatch):
     layer.run([spec(n) for n in "abcdef"], at_once=3)
     assert pools == {n: n for n in "abcdef"}
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_folders_of_a_write_from_the_listing(spark):
+    """Values of any sort come back from folder names, without reading a row."""
+    df = spark.createDataFrame([
+        (1, "a+b c/d%e=f:g", dt.date(2024, 1, 2), 1), (2, None, None, 2), (3, "ação '\"#?", dt.date(2024, 1, 3), None),
+        (4, "100%", dt.date(1, 1, 1), -5),
+    ], "v int, s string, d date, n int")
+    parts = ["s", "d", "n"]
+    path = fresh_path(spark, "a b+c")
+    write_files(df, path, parts)
+    found = folders_below(spark, path, [df.schema[c] for c in parts])
+    assert set(found) == {(r.s, r.d, r.n) for r in df.collect()}
+    for values, folder in found.items():
+        assert spark.read.parquet(folder).first()["v"] == next(
+            r.v for r in df.collect() if (r.s, r.d, r.n) == values
+        )
+    empty = fresh_path(spark, "empty")
+    write_files(df.limit(0), empty, parts)
+    assert folders_below(spark, empty, [df.schema[c] for c in parts]) == {}
