@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.lineage import LOAD_DATE, LOADED_AT
-from aduana.operators.mapping import apply_spec, missing_columns
+from aduana.operators.mapping import TYPED_AT, apply_spec, missing_columns
 from aduana.operators.sinks import create_empty, ensure_database, path_exists, save_table, table_exists
 from aduana.operators.spec import TableSpec
 from aduana.operators.upsert import progress_of, replace_rows, staged_counted, upsert_table
@@ -45,21 +45,24 @@ def _load_one(
     raw = spark.table(source)
     absent = ", ".join(missing_columns(raw, spec)) or None
     fresh = new_rows(raw, watermark, overlap=overlap, date_col=LOAD_DATE)
-    latest = latest_by_key(apply_spec(fresh, spec), spec.keys, [LOADED_AT])
+    typed = apply_spec(fresh, spec, stamp=False)
+
+    def latest_of(rows: DataFrame) -> DataFrame:
+        return latest_by_key(rows, spec.keys, [LOADED_AT]).withColumn(TYPED_AT, F.current_timestamp())
+
     place = f"{base_path}/{spec.name}"
     log = f"{base_path}/_seen/{spec.name}"
     if not table_exists(spark, target):
         if fresh.isEmpty():
             return (spec.name, "unchanged", 0, absent, None), None
         counted = Observation()
-        status = upsert_table(spark, target, latest.observe(counted, *progress_of(LOADED_AT)), spec.keys, place, spec.partition_by)
+        latest = latest_of(typed).observe(counted, *progress_of(LOADED_AT))
+        status = upsert_table(spark, target, latest, spec.keys, place, spec.partition_by)
         found, loaded = counted.get, spark.table(target)
     else:
         # What the overlap reads again is in the typed table, with the load time it came with.
-        same = [*spec.keys, LOADED_AT]
-        match = reduce(lambda x, y: x & y, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in same])
-        seen = seen_rows(spark, log, spark.table(target), same, watermark, overlap)
-        latest = latest.alias("n").join(seen.alias("o"), match, "left_anti")
+        seen = seen_rows(spark, log, spark.table(target), [*spec.keys, LOADED_AT], watermark, overlap)
+        latest = latest_of(unseen_rows(spark, typed, seen, spec.keys, spec.name))
         # Written once: the merge starts from these files, and all counts come from this write.
         loaded, found = staged_counted(spark, latest, spec.name, LOADED_AT, spec.partition_by)
         if not found["records"]:
@@ -99,6 +102,28 @@ def seen_rows(
     return new_rows(logged.filter(F.col(LOAD_MARK) > _mark(watermark - overlap)), watermark, overlap=overlap).select(*columns)
 
 
+def unseen_rows(spark: SparkSession, rows: DataFrame, seen: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Rows that came in after every row of their key in `seen` (keys and load time).
+
+    Rows loaded after all of `seen` pass as they are. Of the others, which an overlap reads again, only keys and load
+    times are compared; whole rows are looked up for those that are new among them, commonly none.
+    """
+    last = seen.agg(F.max(LOADED_AT)).first()[0]
+    at = F.col(LOADED_AT)
+    bound = moment(last, rows.schema[LOADED_AT].dataType) if last is not None else None
+    again = rows if bound is None else rows.filter(at.isNull() | (at <= bound))
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in keys]
+    older = F.col(f"n.{LOADED_AT}").isNull() | (F.col(f"n.{LOADED_AT}") <= F.col(f"o.{LOADED_AT}"))
+    pairs = again.select(*keys, LOADED_AT).alias("n").join(seen.alias("o"), reduce(lambda x, y: x & y, [*same, older]), "left_anti")
+    # Written, so that their number is known before whole rows are dealt out for them.
+    late, found = staged_counted(spark, pairs, f"late-{label}", LOADED_AT)
+    after = rows.limit(0) if bound is None else rows.filter(at > bound)
+    if not found["records"]:
+        return after
+    match = [*same, F.col(f"n.{LOADED_AT}").eqNullSafe(F.col(f"o.{LOADED_AT}"))]
+    return after.unionByName(again.alias("n").join(late.alias("o"), reduce(lambda x, y: x & y, match), "left_semi"))
+
+
 def run_silver(
     spark: SparkSession,
     specs: list[TableSpec],
