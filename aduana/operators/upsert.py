@@ -16,6 +16,8 @@ from pyspark.sql.types import StringType, StructField
 
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.sinks import (
+    FEW_PARTITIONS,
+    MANY_ROWS,
     add_new_columns,
     columns_of,
     create_table,
@@ -129,7 +131,8 @@ def replace_rows(spark: SparkSession, name: str, rows: DataFrame, path: str) ->
 
 
 def replace_partitions(
-    spark: SparkSession, name: str, rows: DataFrame, path: str, partition_by: list[str], touched: set[tuple]
+    spark: SparkSession, name: str, rows: DataFrame, path: str, partition_by: list[str], touched: set[tuple],
+    gather: bool = True,
 ) -> None:
     """Whole partitions of a table from `rows`, which may read from the table itself.
 
@@ -140,7 +143,7 @@ def replace_partitions(
     """
     location = snapshot_path(path)
     ordered = rows.select(*columns_of(spark, name))
-    write_files(ordered, location, partition_by)
+    write_files(ordered, location, partition_by, gather=gather)
     new = folders_below(spark, location, [ordered.schema[c] for c in partition_by])
     old = partition_folders(spark, name, partition_by, touched | set(new))
     for values in sorted(touched | set(new), key=repr):
@@ -221,17 +224,19 @@ def upsert_table(
     null_safe: bool = True,
     newer_by: str | None = None,
     partitions: set[tuple] | None = None,
+    gather: bool = True,
 ) -> str:
     """Upsert `source` into the table `name` kept below `path`; returns `created` or `updated`.
 
     `source` holds one row per key and should be cheap to read again (see `staged`): the
     partitioned path uses it to find the partitions as well as the rows. A partition that loses
     its last row leaves the catalog, and its files go. `partitions` are those of the source, if known.
+    `gather=False` saves the shuffle of the first write (see `worth_gathering`); later ones find out for themselves.
     """
     partition_by = partition_by or []
     source = _as_stored(source, partition_by)
     if not table_exists(spark, name):
-        create_table(spark, source, name, path, partition_by)
+        create_table(spark, source, name, path, partition_by, gather)
         return "created"
 
     add_new_columns(spark, name, source.schema)
@@ -249,5 +254,6 @@ def upsert_table(
         touched |= _partition_values(moved.select(*partition_by))
     old = _of_partitions(target, touched, partition_by)
     rebuilt = merged(old, source, keys, null_safe, newer_by)
-    replace_partitions(spark, name, rebuilt, path, partition_by, touched)
+    few = len(touched) <= FEW_PARTITIONS and old.count() >= MANY_ROWS
+    replace_partitions(spark, name, rebuilt, path, partition_by, touched, gather=not few)
     return "updated"

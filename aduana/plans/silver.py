@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from aduana.operators.dedup import latest_by_key
 from aduana.operators.lineage import LOAD_DATE, LOADED_AT
 from aduana.operators.mapping import TYPED_AT, apply_spec, missing_columns
-from aduana.operators.sinks import create_empty, ensure_database, path_exists, save_table, table_exists
+from aduana.operators.sinks import create_empty, ensure_database, path_exists, save_table, table_exists, worth_gathering
 from aduana.operators.spec import TableSpec
 from aduana.operators.upsert import progress_of, replace_rows, staged_counted, upsert_table
 from aduana.operators.watermark import CONTROL_SCHEMA, advance_watermark, latest_entries, moment, new_rows
@@ -57,7 +57,8 @@ def _load_one(
             return (spec.name, "unchanged", 0, absent, None), None
         counted = Observation()
         latest = latest_of(typed).observe(counted, *progress_of(LOADED_AT))
-        status = upsert_table(spark, target, latest, spec.keys, place, spec.partition_by)
+        gather = worth_gathering(typed, spec.partition_by)
+        status = upsert_table(spark, target, latest, spec.keys, place, spec.partition_by, gather=gather)
         found, loaded = counted.get, spark.table(target)
     else:
         # What the overlap reads again is in the typed table, with the load time it came with.

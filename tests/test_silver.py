@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from aduana.operators import sinks, upsert
 from aduana.operators.sinks import create_or_append, ensure_database, write_files
 from aduana.operators.spec import TableSpec, same_name
 from aduana.operators.upsert import folders_below, staged_counted
@@ -173,3 +174,34 @@ def test_rows_read_again_are_not_dealt_out_whole(spark):
     assert rows(silver.unseen_rows(spark, untimed, seen.limit(0), ["k"], "t"), "k", "v") == [("a", 1), ("x", 2)]
     gone = untimed.filter("k = 'a'").select("k", "_ingestion_timestamp")
     assert rows(silver.unseen_rows(spark, untimed, gone, ["k"], "t"), "k", "v") == [("x", 2)]
+
+
+def test_many_rows_of_few_partitions_are_written_as_they_are(spark, tmp_path, monkeypatch):
+    few = spark.range(100).selectExpr("id", "cast(id % 3 as string) p", "cast(nullif(id % 40, 7) as string) q")
+    assert sinks.worth_gathering(few, ["p"]) and sinks.worth_gathering(few, None)
+    monkeypatch.setattr(sinks, "MANY_ROWS", 100)
+    monkeypatch.setattr(upsert, "MANY_ROWS", 100)
+    assert not sinks.worth_gathering(few, ["p"]) and sinks.worth_gathering(few, ["q"])
+    gathered = []
+
+    def written(df, path, partition_by=None, mode="error", gather=True):
+        if partition_by:
+            gathered.append(gather)
+        write_files(df, path, partition_by, mode, gather)
+
+    monkeypatch.setattr(sinks, "write_files", written)
+    monkeypatch.setattr(upsert, "write_files", written)
+    layer = Layer(spark, tmp_path, "few")
+    layer.load("a", NOON, [(f"{i}", f"U{i % 3}", "1") for i in range(120)])
+    layer.load("b", NOON, [(f"{i}", f"U{i % 30}", "1") for i in range(120)])
+    del gathered[:]
+    layer.run([spec("a"), spec("b")], at_once=1)
+    assert gathered == [False, True]
+    for name in "ab":
+        layer.load(name, NOON + dt.timedelta(days=1), [(f"{i}", f"U{(i + 1) % 4}" if i else "", "2") for i in range(100)])
+    del gathered[:]
+    assert rows(layer.run([spec("a"), spec("b")], at_once=1), "status", "records") == [("updated", 100)] * 2
+    assert gathered == [False, True]
+    for name in "ab":
+        got = spark.table(f"{layer.typed}.{name}")
+        assert got.count() == 120 and got.filter("v = 2").count() == 100 and got.filter("uf is null").count() == 1
