@@ -214,6 +214,19 @@ def _of_partitions(df: DataFrame, values: set[tuple], partition_by: list[str]) -
     return df.alias("t").join(listed.alias("p"), _matches("t", "p", partition_by, True), "left_semi")
 
 
+def _beside_partitions(df: DataFrame, values: set[tuple], partition_by: list[str]) -> DataFrame:
+    """Rows of all other partitions. With one partition column the scan leaves the given ones out."""
+    if not values:
+        return df
+    if len(partition_by) == 1:
+        column = F.col(partition_by[0])
+        known = [v for (v,) in values if v is not None]
+        given = F.coalesce(column.isin(known), F.lit(False)) if known else F.lit(False)
+        return df.filter(~given & column.isNotNull() if (None,) in values else ~given)
+    listed = df.sparkSession.createDataFrame(sorted(values, key=repr), df.select(*partition_by).schema)
+    return df.alias("t").join(listed.alias("p"), _matches("t", "p", partition_by, True), "left_anti")
+
+
 def upsert_table(
     spark: SparkSession,
     name: str,
@@ -247,11 +260,13 @@ def upsert_table(
 
     touched = _partition_values(source.select(*partition_by)) if partitions is None else set(partitions)
     if not set(partition_by) <= set(keys):
-        # A key may have moved: the partition that holds its old row is rebuilt as well.
-        moved = target.select(*keys, *partition_by).alias("t").join(
-            source.select(*keys).alias("s"), _matches("t", "s", keys, null_safe), "left_semi"
-        )
-        touched |= _partition_values(moved.select(*partition_by))
+        # A key may have moved: the partition that holds its old row is rebuilt as well. Touched ones are anyhow.
+        others = _beside_partitions(target, touched, partition_by).select(*keys, *partition_by)
+        if not others.isEmpty():
+            moved = others.alias("t").join(
+                source.select(*keys).alias("s"), _matches("t", "s", keys, null_safe), "left_semi"
+            )
+            touched |= _partition_values(moved.select(*partition_by))
     old = _of_partitions(target, touched, partition_by)
     rebuilt = merged(old, source, keys, null_safe, newer_by)
     few = len(touched) <= FEW_PARTITIONS and old.count() >= MANY_ROWS

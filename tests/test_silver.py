@@ -205,3 +205,18 @@ def test_many_rows_of_few_partitions_are_written_as_they_are(spark, tmp_path, mo
     for name in "ab":
         got = spark.table(f"{layer.typed}.{name}")
         assert got.count() == 120 and got.filter("v = 2").count() == 100 and got.filter("uf is null").count() == 1
+
+
+def test_moved_keys_are_looked_for_in_other_partitions(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "moved_beside"
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c")], "k int, p string")
+    for values, left in (({("a",)}, [2, 3, 4]), ({(None,)}, [1, 2, 4]), ({("a",), (None,)}, [2, 4]), (set(), [1, 2, 3, 4])):
+        assert [k for (k,) in rows(upsert._beside_partitions(old, values, ["p"]), "k")] == left
+    two = old.withColumn("q", F.col("k") % 2)
+    assert rows(upsert._beside_partitions(two, {("a", 1), (None, 1), ("b", 1)}, ["p", "q"]), "k") == [(2,), (4,)]
+    upsert.upsert_table(spark, name, old, ["k"], path, ["p"])
+    plan = upsert._beside_partitions(spark.table(name), {("a",), ("b",), ("c",), (None,)}, ["p"])
+    assert plan.isEmpty()
+    assert "PartitionFilters: []" not in plan._jdf.queryExecution().executedPlan().toString()
+    upsert.upsert_table(spark, name, spark.createDataFrame([(4, "a"), (3, "b")], "k int, p string"), ["k"], path, ["p"])
+    assert rows(spark.table(name), "k", "p") == [(1, "a"), (2, "b"), (3, "b"), (4, "a")]
